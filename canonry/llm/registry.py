@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules of the problems; each may define QUERIES and SQL.
-MODULES = ["p5_groups"]
+MODULES = ["p3_match", "p4_survivor", "p5_groups"]
 
 
 def _gather(attribute: str) -> dict:
