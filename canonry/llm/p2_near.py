@@ -6,7 +6,8 @@ of BINS ranges is its signature (one permutation, empty ranges filled from other
 tree of the forest is keyed by a prefix of its own part of the signature, so sorting by
 key is the trie. Prefixes start at full depth and are shortened until the recall at the
 threshold, 1 - (1 - s^depth)^trees, reaches the target. Pairs under one prefix are first
-held against a bit sketch that travels with the key, then verified exactly on the texts.
+held against bit sketches of the signatures, then verified exactly on the texts. Only keys
+and sketches are shuffled for all records; texts move for verified pairs alone.
 
 Results in special cases: null and blank texts and texts of fewer than five characters
 match nothing; repeated rows count once; an id with several texts matches by any of them;
@@ -29,9 +30,11 @@ WIDTH = 5
 THRESHOLD = 0.6
 RECALL = 0.995
 #: Values of a signature; each tree takes DEPTH of its own.
-BINS, TREES, DEPTH = 512, 64, 8
+BINS, TREES, DEPTH = 512, 66, 7
 #: Bits of the sketch that may differ: four standard deviations beyond what the threshold gives.
 SKETCH = 256
+#: Classes or ids that may be broadcast, about 50 bytes each; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 _EXPECTED = SKETCH * (1 - THRESHOLD) / 2
 MOST_DIFFERENT = int(_EXPECTED + 4 * (SKETCH * (1 - THRESHOLD) / 2 * (1 + THRESHOLD) / 2) ** 0.5)
 
@@ -89,20 +92,21 @@ def signature(h: np.ndarray) -> np.ndarray:
 
 def _sketch(batches: Iterator[pd.DataFrame], depth: int) -> Iterator[pd.DataFrame]:
     part = np.arange(TREES)[:, None] * DEPTH + np.arange(depth)[None, :]
-    salt = _mix(np.arange(TREES, dtype=np.uint64) + np.uint64(77))
     for batch in batches:
         rows = []
         for kind, key, text in zip(batch.kind, batch.key, batch.text, strict=True):
             h = grams(text)
             if not len(h):
+                rows.append((0, None, 0, 0, 0, 0))
                 continue
             sig = signature(h)
-            k = salt.copy()
+            k = _mix(np.arange(TREES, dtype=np.uint64) + np.uint64(sum(kind.encode()) << 20))
             for d in range(depth):
                 k = _mix(k * np.uint64(31) + sig[part[:, d]])
             bits = np.packbits(((sig[:: BINS // SKETCH] >> np.uint64(17)) & np.uint64(1)).astype(np.uint8)).view(np.int64)
-            rows.append((kind, key, len(h), k.view(np.int64), *bits.tolist()))
-        yield pd.DataFrame(rows, columns=["kind", "key", "n", "prefixes", "s0", "s1", "s2", "s3"])
+            rows.append((len(h), k.view(np.int64), *bits.tolist()))
+        own = pd.DataFrame(rows, columns=["n", "prefixes", "s0", "s1", "s2", "s3"])
+        yield pd.concat([batch[["kind", "id", "key"]].reset_index(drop=True), own], axis=1)
 
 
 def _verify(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
@@ -121,38 +125,48 @@ def _verify(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.Da
 def classes(rows: DataFrame) -> DataFrame:
     """kind, id, key, text of ``rows`` (kind, id, text): key names the class of equal texts."""
     own = rows.select("kind", "id", F.lower(compact(F.col("text"))).alias("text")).where((F.length("text") > 0) & F.col("id").isNotNull())
-    return own.select("kind", "id", F.xxhash64("kind", "text").alias("h1"), F.xxhash64(F.lit(1), F.reverse("text")).alias("h2"), "text").select(
-        "kind", "id", F.concat(F.hex("h1"), F.hex("h2")).alias("key"), "text"
-    )
+    return own.select("kind", "id", F.concat(F.hex(F.xxhash64("kind", "text")), F.hex(F.xxhash64(F.lit(1), F.reverse("text")))).alias("key"), "text")
 
 
-def near_pairs(texts: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """(kind, a, b), a < b: the classes of ``texts`` (kind, key, text) that are similar enough."""
+def sketches(rows: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """kind, id, key of every record with a text, its number of sequences, prefixes and sketch."""
     depth = depth_for(threshold, recall)
-    sketched = texts.mapInPandas(
-        lambda it: _sketch(it, depth), "kind string, key string, n int, prefixes array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
+    return cut(
+        classes(rows).mapInPandas(
+            lambda it: _sketch(it, depth), "kind string, id string, key string, n int, prefixes array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
+        )
     )
-    leaves = sketched.select("kind", "key", "n", "s0", "s1", "s2", "s3", F.explode("prefixes").alias("prefix"))
-    leaves = cut(leaves)
-    # A prefix that only one class has is no candidate; the count is small before the join.
-    shared = leaves.groupBy("kind", "prefix").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("kind", "prefix")
-    live = leaves.join(shared, ["kind", "prefix"], "left_semi")
-    x, y = (live.select("kind", "prefix", *(F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "s0", "s1", "s2", "s3"))) for side in "ab")
-    differing = sum((F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(1, 4)), F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
-    candidates = (
-        x.join(y, ["kind", "prefix"])
-        .where((F.col("key_a") < F.col("key_b")) & (F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")) & (differing <= MOST_DIFFERENT))
-        .select("kind", F.col("key_a").alias("a"), F.col("key_b").alias("b"))
-        .distinct()
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """Marked for broadcast where its rows, counted, are few enough; else as it is."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def near_pairs(rows: DataFrame, known: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(kind, a, b), a < b: the classes of ``rows`` that are similar enough; ``known`` has their sketches."""
+    first = known.where("n > 0").groupBy("kind", "key").agg(F.min("id").alias("id"))
+    one = cut(known.join(first, ["kind", "key", "id"]).dropDuplicates(["kind", "key"]))
+    leaves = one.select("key", "n", F.explode("prefixes").alias("prefix"))
+    x, y = (leaves.select("prefix", F.col("key").alias(s), F.col("n").alias(f"n_{s}")) for s in "ab")
+    met = x.join(y, "prefix").where((F.col("a") < F.col("b")) & (F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))).select("a", "b")
+    few = one.count() <= BROADCAST_ROWS
+    bits = one.select("key", "kind", "s0", "s1", "s2", "s3")
+    of = lambda s: (F.broadcast if few else lambda d: d)(bits.select(F.col("key").alias(s), F.col("kind").alias(f"kind_{s}"), *(F.col(f"s{i}").alias(f"{s}{i}") for i in range(4))))
+    differing = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, 4)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
+    if not few:
+        met = met.distinct()  # before the pairs are shuffled once more
+    candidates = cut(
+        met.join(of("a"), "a").join(of("b"), "b").where((F.col("kind_a") == F.col("kind_b")) & (differing <= MOST_DIFFERENT)).select(F.col("kind_a").alias("kind"), "a", "b").distinct()
     )
-    candidates = cut(candidates)
-    # Each text moves once for all its pairs, and only texts that have one.
+    # Texts of candidates, one record for each class.
     wanted = candidates.select("kind", F.col("a").alias("key")).unionAll(candidates.select("kind", F.col("b").alias("key"))).distinct()
-    held = cut(texts.join(wanted, ["kind", "key"], "left_semi"))
-    one, two = (held.select("kind", F.col("key").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
-    pairs = candidates.join(one, ["kind", "a"]).join(two, ["kind", "b"])
+    ids = cut(one.select("kind", "key", "id").join(wanted, ["kind", "key"], "left_semi").select("kind", "id", "key"))
+    held = cut(classes(rows.join(_few(ids.select("kind", "id")), ["kind", "id"], "left_semi")).join(_few(ids), ["kind", "id", "key"], "left_semi").dropDuplicates(["kind", "key"]))
+    left, right = (held.select("kind", F.col("key").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
+    pairs = candidates.join(left, ["kind", "a"]).join(right, ["kind", "b"])
     found = cut(pairs.mapInPandas(lambda it: _verify(it, threshold), "kind string, a string, b string"))
-    release(leaves, candidates, held)
+    release(candidates, ids, held)
     return found
 
 
@@ -162,25 +176,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return law.unionAll(writ)
 
 
-def _texts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The members (kind, id, key) and one text per class."""
-    known = classes(rows)
-    members = cut(known.select("kind", "id", "key").distinct())
-    first = members.groupBy("kind", "key").agg(F.min("id").alias("id"))
-    # The text of a class is that of its first member: ids meet, texts stay in their rows.
-    return members, known.join(first, ["kind", "key", "id"], "left_semi").dropDuplicates(["kind", "key"])
-
-
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of ids that are copies of one another: law and writ by text, asset by digest."""
-    members, texts = _texts(documents(spark, sf_dir))
-    texts = cut(texts.select("kind", "key", "text"))
-    similar = near_pairs(texts)
-    release(texts)
-    a, b = (members.select("kind", F.col("id").alias(f"id_{s}"), F.col("key").alias(s)) for s in "ab")
+    rows = documents(spark, sf_dir)
+    known = sketches(rows)
+    similar = near_pairs(rows, known)
+    a, b = (known.where("n > 0").select("kind", F.col("id").alias(f"id_{s}"), F.col("key").alias(s)).distinct() for s in "ab")
     between = similar.join(a, ["kind", "a"]).join(b, ["kind", "b"]).select("kind", "id_a", "id_b")
     same = a.join(b, (a["kind"] == b["kind"]) & (a["a"] == b["b"])).select(a["kind"], "id_a", "id_b")
-    # A text that is too short for any sequence is nobody's copy.
     assets = table(spark, sf_dir, "asset_record").where("size_bytes > 0").select("asset_id", digest(F.col("sha256")).alias("sha")).dropna().distinct()
     copies = assets.withColumnRenamed("asset_id", "id_a").join(assets.withColumnRenamed("asset_id", "id_b"), "sha")
     both = between.unionAll(same).unionAll(copies.select(F.lit("asset").alias("kind"), "id_a", "id_b")).where("id_a <> id_b")
@@ -189,11 +192,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per law and writ text: the class of equal texts and its number of similar classes."""
-    members, texts = _texts(documents(spark, sf_dir))
-    similar = near_pairs(cut(texts.select("kind", "key", "text")))
+    rows = documents(spark, sf_dir)
+    known = sketches(rows)
+    similar = near_pairs(rows, known)
     ends = similar.select("kind", F.col("a").alias("key")).unionAll(similar.select("kind", F.col("b").alias("key")))
     links = ends.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("links"))
-    return members.join(links, ["kind", "key"], "left").select(
+    return known.select("kind", "id", "key").distinct().join(links, ["kind", "key"], "left").select(
         F.col("kind").alias("record_kind"), F.col("id").alias("record_id"), F.col("key").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")
     )
 
