@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules of the problems; each may define QUERIES and SQL.
-MODULES = ["p3_match", "p4_survivor", "p5_groups", "p8_tokens", "p10_quality"]
+MODULES = ["p2_near", "p3_match", "p4_survivor", "p5_groups", "p8_tokens", "p9_leaks", "p10_quality"]
 
 
 def _gather(attribute: str) -> dict:
