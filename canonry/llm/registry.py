@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules of the problems; each may define QUERIES and SQL.
-MODULES = ["p1_pages", "p2_near", "p3_match", "p4_survivor", "p5_groups", "p7_encoding", "p8_tokens", "p9_leaks", "p10_quality"]
+MODULES = ["p1_pages", "p2_near", "p3_match", "p4_survivor", "p5_groups", "p6_scans", "p7_encoding", "p8_tokens", "p9_leaks", "p10_quality"]
 
 
 def _gather(attribute: str) -> dict:
