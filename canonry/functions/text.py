@@ -37,3 +37,97 @@ def digest(sha: Column) -> Column:
     """
     bare = F.regexp_replace(F.lower(compact(sha)), r"^sha-?256[:=]", "")
     return F.when(bare.rlike("^[0-9a-f]{64}$"), bare)
+
+
+#: White space and punctuation that titles and numbers are compared without.
+PUNCT = SPACE + r"，。、；：？！“”‘’（）《》〈〉【】〔〕﹝﹞｜\[\]().,;:?!\"'·—_…|/\\-"
+#: What marks a draft or a trial version in a title.
+DRAFT = "征求意见稿|草案|意见稿|consultation draft|draft"
+TRIAL = "试行|暂行|trial"
+
+
+def clean_title(title: Column) -> Column:
+    """Title without outer blanks, a leading attachment mark and a file suffix."""
+    x = F.regexp_replace(title, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    x = F.regexp_replace(x, r"^附件[0-9一二三四五六七八九十]*[：:.、]", "")
+    return F.regexp_replace(x, r"\.(?:pdf|docx?|xlsx?|txt|html?)$", "")
+
+
+def normal_title(title: Column) -> Column:
+    """Cleaned title without white space and punctuation, lower case."""
+    return F.lower(F.regexp_replace(clean_title(title), f"[{PUNCT}]+", ""))
+
+
+def quoted_titles(text: Column) -> Column:
+    """Every title of 4 to 120 characters between 《 and 》, in order."""
+    return F.regexp_extract_all(text, F.lit("《([^《》]{4,120})》"), 1)
+
+
+def title_keys(title: Column) -> Column:
+    """Distinct normal forms of a title and of the titles quoted in it, draft marks removed."""
+    bare = lambda x: normal_title(F.regexp_replace(F.lower(x), f"[(（]?(?:{DRAFT})[)）]?", ""))
+    return F.filter(F.array_distinct(F.concat(F.array(bare(title)), F.transform(quoted_titles(title), bare))), lambda x: F.length(x) > 0)
+
+
+def fileno_key(fileno: Column) -> Column:
+    """Issuer, year and serial number of a document number, in any notation; else null."""
+    x = F.regexp_replace(F.lower(fileno), f"[{PUNCT}第号年]+", "")
+    return F.when(x.rlike(r"^\p{L}+(?:19|20)\d{2}\d+$"), x)
+
+
+def body_hash(text: Column, least: int = 80) -> Column:
+    """SHA-256 of the text without white space; null under ``least`` characters."""
+    x = compact(text)
+    return F.when(F.length(x) >= least, F.sha2(x, 256))
+
+
+def clean_lines(text: Column) -> Column:
+    """Trimmed, non-empty lines with inner blanks squeezed, joined by line feeds."""
+    lines = F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n")
+    squeezed = F.transform(lines, lambda x: F.regexp_replace(F.regexp_replace(x, f"[{SPACE}]+", " "), "^ | $", ""))
+    return F.array_join(F.filter(squeezed, lambda x: F.length(x) > 0), "\n")
+
+
+def shingle_coverage(source: Column, target: Column, width: int = 20) -> Column:
+    """Share of a source's chunks of ``width`` letters and digits found in the target.
+
+    Null for an empty source; 0 or 1 where it is shorter than a chunk.
+    """
+    s, t = letters_digits(source), letters_digits(target)
+    n = F.length(s)
+    starts = F.sequence(F.lit(1), F.greatest(n - width + 1, F.lit(1)), F.lit(width))
+    hit = F.size(F.filter(starts, lambda i: F.contains(t, F.substring(s, i, F.lit(width)))))
+    return F.when(n > 0, F.round(hit / F.size(starts), 6))
+
+
+def overlap_score(a: Column, b: Column) -> Column:
+    """Share of the longer title's distinct characters in both; 1 where one holds the other."""
+    x, y = F.array_distinct(F.split(a, "")), F.array_distinct(F.split(b, ""))
+    ratio = F.size(F.array_intersect(x, y)) / F.greatest(F.size(x), F.size(y))
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0.0)).when(F.contains(a, b) | F.contains(b, a), F.lit(1.0)).otherwise(F.round(ratio, 6))
+
+
+#: Query keys that only track visitors.
+TRACKING = "utm_[a-z]+|spm|from|share_token|gclid|fbclid"
+
+
+def canonical_url(url: Column, keep_query: bool = True) -> Column:
+    """Lower-case scheme and host, no double slashes in the path, no fragment, ``/`` for an
+    empty path; tracking keys dropped in order, or with ``keep_query`` off the whole query."""
+    p = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+    part = lambda i: F.regexp_extract(url, p, i)
+    path = F.regexp_replace(part(3), "/{2,}", "/")
+    kept = F.array_join(F.filter(F.split(part(4), "&"), lambda k: (F.length(k) > 0) & ~k.rlike(f"^(?:{TRACKING})(?:=|$)")), "&")
+    out = F.concat(F.lower(part(1)), F.lit("://"), F.lower(part(2)), F.when(path == "", F.lit("/")).otherwise(path))
+    if keep_query:
+        out = F.concat(out, F.when(kept == "", F.lit("")).otherwise(F.concat(F.lit("?"), kept)))
+    return F.when(url.rlike(p), out).otherwise(url)
+
+
+def truncate_utf8(text: Column, size: int) -> Column:
+    """The longest beginning of a text that takes at most ``size`` bytes of UTF-8."""
+    bytes_of = F.transform(F.split(text, ""), lambda c: F.octet_length(c))
+    ends = F.aggregate(bytes_of, F.struct(F.lit(0).alias("bytes"), F.lit(0).alias("chars")), lambda s, b: F.when(
+        (s["bytes"] >= 0) & (s["bytes"] + b <= size), F.struct((s["bytes"] + b).alias("bytes"), (s["chars"] + 1).alias("chars"))
+    ).otherwise(F.struct(F.lit(-1).alias("bytes"), s["chars"].alias("chars"))))
+    return F.substring(text, F.lit(1), ends["chars"])
