@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -19,6 +20,16 @@ def anchor_dedupe(df: DataFrame, keys: list[str], day: str, id_col: str, days: i
     known = df.where(F.col(day).isNotNull()).dropna(subset=keys)
     by_day = known.groupBy(*keys, day).agg(F.min(id_col).alias("_first"))
 
+    # Days further apart than the band never share an anchor: they split a key into stretches,
+    # and a stretch no longer than the band has its first day as the anchor.
+    w = W.partitionBy(*keys).orderBy(day)
+    fresh = F.coalesce((F.datediff(F.col(day), F.lag(day).over(w)) > days).cast("int"), F.lit(1))
+    parts = by_day.withColumn("_fresh", fresh).withColumn("_part", F.sum("_fresh").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_fresh")
+    each = W.partitionBy(*keys, "_part")
+    spans = parts.withColumn("_from", F.min(F.struct(F.col(day).alias("d"), F.col("_first").alias("id"))).over(each)).withColumn("_to", F.max(day).over(each))
+    wide = F.datediff("_to", "_from.d") > days
+    short = spans.where(~wide).select(*keys, day, F.col("_from.id").alias("anchor_id"))
+
     def greedy(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(day).reset_index(drop=True)
         at, anchor, out = None, None, []
@@ -26,11 +37,12 @@ def anchor_dedupe(df: DataFrame, keys: list[str], day: str, id_col: str, days: i
             if at is None or (d - at).days > days:
                 at, anchor = d, first
             out.append(anchor)
-        return g.assign(anchor_id=out)
+        return g[[*keys, day]].assign(anchor_id=out)
 
-    fields = ", ".join(f"{k} {t}" for k, t in by_day.dtypes)
-    anchored = by_day.groupBy(*keys).applyInPandas(greedy, f"{fields}, anchor_id {dict(df.dtypes)[id_col]}")
-    return known.join(anchored.drop("_first"), [*keys, day]).select(id_col, "anchor_id").unionByName(spare)
+    types = dict(df.dtypes)
+    schema = ", ".join(f"{c} {types[c]}" for c in [*keys, day]) + f", anchor_id {types[id_col]}"
+    anchored = spans.where(wide).select(*keys, "_part", day, "_first").groupBy(*keys, "_part").applyInPandas(greedy, schema)
+    return known.join(short.unionAll(anchored), [*keys, day]).select(id_col, "anchor_id").unionByName(spare)
 
 
 def fold(df: DataFrame, group: str, order: str, first_known: list[str], longest: list[str], union: list[str]) -> DataFrame:
