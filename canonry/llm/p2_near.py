@@ -84,9 +84,8 @@ def signature(h: np.ndarray) -> np.ndarray:
         ok = full[to]
         out[empty[ok]] = _mix(out[to[ok]] + np.uint64(turn + 1))
         empty = empty[~ok]
-    if len(empty):  # fewer values than ranges can find: take them in order
-        have = np.flatnonzero(full)
-        out[empty] = _mix(out[have[empty % len(have)]] + empty.astype(np.uint64))
+    if len(empty):  # only where there are few values: each range takes the least under its own hash
+        out[empty] = _mix(h[:, None] + (empty.astype(np.uint64) << np.uint64(40))[None, :]).min(axis=0)
     return out
 
 

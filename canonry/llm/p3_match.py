@@ -83,10 +83,10 @@ def _side(df: DataFrame, key: str, name: Column, fileno: Column, day: Column, ra
 
 
 def sides(law_detail: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    law = law_detail.select("lawlist.law.*").withColumnRenamed("secFutrsLawId", "law_id")
+    law = law_detail.select(F.col("lawlist.law.secFutrsLawId").alias("law_id"), *(F.col(f"lawlist.law.{c}").alias(c) for c in ("secFutrsLawName", "fileno", "pubDate")))
     day = china_date(F.col("pubDate"))
     a = _side(law, "law_id", F.col("secFutrsLawName"), F.col("fileno"), day, day.cast("string"))
-    m = records.select("source_record_id", "metadata.*")
+    m = records.select("source_record_id", *(F.col(f"metadata.{c}").alias(c) for c in ("name", "fileno", "pub_date")))
     b = _side(m, "source_record_id", F.col("name"), F.col("fileno"), lenient_date(F.col("pub_date")), F.col("pub_date"))
     return a, b
 
@@ -108,13 +108,14 @@ def _near(distance: int) -> Column:
     )
 
 
-_AGREE_DAY = F.abs(F.datediff("a.day", "b.day")) <= DAYS
-_SAME_NAME = F.coalesce(F.col("a.core") == F.col("b.core"), F.lit(False))
-_SAME_NUMBER = F.coalesce(F.col("a.number") == F.col("b.number"), F.lit(False))
-_OTHER_NUMBER = F.coalesce(F.col("a.number") != F.col("b.number"), F.lit(False))
-_NO_DAY = F.col("a.day").isNull() | F.col("b.day").isNull()
-_YEAR_OK = F.coalesce(F.abs(F.col("a.year") - F.col("b.year")) <= 1, F.lit(True))
-_MARKED_ALIKE = F.col("a.marks") == F.col("b.marks")
+#: Conditions on a pair, as SQL, so the module can be imported without a session.
+_AGREE_DAY = f"abs(datediff(a.day, b.day)) <= {DAYS}"
+_SAME_NAME = "coalesce(a.core = b.core, false)"
+_SAME_NUMBER = "coalesce(a.number = b.number, false)"
+_OTHER_NUMBER = "coalesce(a.number <> b.number, false)"
+_NO_DAY = "(a.day is null or b.day is null)"
+_YEAR_OK = "coalesce(abs(a.year - b.year) <= 1, true)"
+_MARKED_ALIKE = "a.marks = b.marks"
 
 
 def _part(core: str, where: str) -> Column:
@@ -131,21 +132,22 @@ def matches(a: DataFrame, b: DataFrame, labels: bool = True) -> DataFrame:
     wide = a.withColumn("near_day", F.explode_outer(F.array(*(F.date_add("day", i) for i in range(-DAYS, DAYS + 1)))))
     strip = lambda df: df.select(F.struct(*(F.col(f"a.{c}") for c in a.columns)).alias("a"), "b")
     # Rule: pairs by its keys, what must hold, what labels a pair, and whether it is right.
-    both_numbers = _SAME_NUMBER | _OTHER_NUMBER
+    agree_day, same_name, same_number, other_number, no_day, year_ok, alike = map(F.expr, (_AGREE_DAY, _SAME_NAME, _SAME_NUMBER, _OTHER_NUMBER, _NO_DAY, _YEAR_OK, _MARKED_ALIKE))
+    both_numbers = same_number | other_number
     rules = [
-        ("number_name", lambda a, b: _pairs(a, b, [by(number), by(core)]), _MARKED_ALIKE, ~_NO_DAY, _AGREE_DAY),
-        ("number_day", lambda a, b: strip(_pairs(wide, b, [by(number), (F.col("near_day"), F.col("day"))])), _MARKED_ALIKE, ~F.col("a.odd"), _SAME_NAME | _near(2)),
-        ("number_near_name", lambda a, b: _pairs(a, b, [by(number)]), _MARKED_ALIKE & _near(2) & _YEAR_OK, ~_NO_DAY, _AGREE_DAY),
-        ("name_day", lambda a, b: strip(_pairs(wide, b, [by(core), (F.col("near_day"), F.col("day"))])), _MARKED_ALIKE, both_numbers, _SAME_NUMBER),
-        ("near_name_day", lambda a, b: strip(_by_parts(wide, b, [(F.col("near_day"), F.col("day"))])), _MARKED_ALIKE & _near(2), both_numbers, _SAME_NUMBER),
-        ("number_unreadable_name", lambda a, b: _pairs(a, b, [by(number)]), (F.col("a.odd") | F.col("a.core").isNull()) & _NO_DAY & _YEAR_OK & (F.col("b.marks") == ""), ~_NO_DAY, _AGREE_DAY),
-        ("name", lambda a, b: _pairs(a, b, [by(core)]), _MARKED_ALIKE & _NO_DAY & _YEAR_OK, both_numbers, _SAME_NUMBER),
-        ("near_name", lambda a, b: _by_parts(a, b, []), _MARKED_ALIKE & _NO_DAY & _YEAR_OK & _near(2), both_numbers, _SAME_NUMBER),
+        ("number_name", lambda a, b: _pairs(a, b, [by(number), by(core)]), alike, ~no_day, agree_day),
+        ("number_day", lambda a, b: strip(_pairs(wide, b, [by(number), (F.col("near_day"), F.col("day"))])), alike, ~F.col("a.odd"), same_name | _near(2)),
+        ("number_near_name", lambda a, b: _pairs(a, b, [by(number)]), alike & _near(2) & year_ok, ~no_day, agree_day),
+        ("name_day", lambda a, b: strip(_pairs(wide, b, [by(core), (F.col("near_day"), F.col("day"))])), alike, both_numbers, same_number),
+        ("near_name_day", lambda a, b: strip(_by_parts(wide, b, [(F.col("near_day"), F.col("day"))])), alike & _near(2), both_numbers, same_number),
+        ("number_unreadable_name", lambda a, b: _pairs(a, b, [by(number)]), (F.col("a.odd") | F.col("a.core").isNull()) & no_day & year_ok & (F.col("b.marks") == ""), ~no_day, agree_day),
+        ("name", lambda a, b: _pairs(a, b, [by(core)]), alike & no_day & year_ok, both_numbers, same_number),
+        ("near_name", lambda a, b: _by_parts(a, b, []), alike & no_day & year_ok & _near(2), both_numbers, same_number),
     ]
     open_records, found = b, None
     for i, (rule, pairs, holds, labelled, right) in enumerate(rules):
         kept = cut(
-            pairs(a, open_records).where(holds & ~_OTHER_NUMBER).select(
+            pairs(a, open_records).where(holds & ~other_number).select(
                 F.col("a.law_id").alias("law_id"), F.col("b.source_record_id").alias("source_record_id"), F.lit(rule).alias("rule"), F.lit(i).alias("pass"),
                 F.coalesce(F.abs(F.datediff("a.day", "b.day")), F.lit(DAYS + 1)).alias("apart"), F.levenshtein(F.coalesce("a.core", F.lit("")), F.coalesce("b.core", F.lit(""))).alias("edits"),
             )
@@ -169,9 +171,20 @@ def matches(a: DataFrame, b: DataFrame, labels: bool = True) -> DataFrame:
 
 
 def _by_parts(a: DataFrame, b: DataFrame, more: list[tuple[Column, Column]]) -> DataFrame:
-    heads = _pairs(a, b, [(_part("core", "head"), _part("core", "head")), *more])
-    tails = _pairs(a, b, [(_part("core", "tail"), _part("core", "tail")), *more])
-    return heads.unionAll(tails).distinct()
+    pairs = [_pairs(a, b, [(_part("core", end), _part("core", end)), *more]) for end in ("head", "tail")]
+    if more:  # names too short for long parts; these are selective only together with a day
+        pairs += [_pairs(a, b, [(_short_part("core", end), _short_part("core", end)), *more]) for end in ("head", "tail")]
+    out = pairs[0]
+    for p in pairs[1:]:
+        out = out.unionAll(p)
+    return out.distinct()
+
+
+def _short_part(core: str, where: str) -> Column:
+    """The first four letters of a short name, or the four before its last four."""
+    bare = F.regexp_replace(core, "^关于", "")
+    piece = F.substring(bare, 1, 4) if where == "head" else F.substring(bare, F.length(bare) - 7, F.lit(4))
+    return F.when((F.length(bare) >= 8) & (F.length(bare) < 2 * PART + 3), piece)
 
 
 def _matched(spark: SparkSession, sf_dir: str, labels: bool) -> DataFrame:

@@ -131,7 +131,8 @@ def covered(item: str, doc: str, diagonals: list[int], run: int) -> int:
     a, b = _codes(item), _codes(doc)
     seen = np.zeros(len(a), bool)
     for d in diagonals:  # place in the document less place in the item
-        lo, hi = max(0, -d), min(len(a), len(b) - d)
+        lo = max(0, -d)
+        hi = max(lo, min(len(a), len(b) - d))
         same = np.concatenate([[False], a[lo:hi] == b[lo + d : hi + d], [False]])
         edges = np.flatnonzero(same[1:] != same[:-1])
         for s, e in zip(edges[::2], edges[1::2], strict=True):
