@@ -131,3 +131,42 @@ def truncate_utf8(text: Column, size: int) -> Column:
         (s["bytes"] >= 0) & (s["bytes"] + b <= size), F.struct((s["bytes"] + b).alias("bytes"), (s["chars"] + 1).alias("chars"))
     ).otherwise(F.struct(F.lit(-1).alias("bytes"), s["chars"].alias("chars"))))
     return F.substring(text, F.lit(1), ends["chars"])
+
+
+def slice_between(text: Column, start: Column, end: Column) -> Column:
+    """Compact text from the start marker up to the end marker (TXT-09), white space ignored.
+
+    Null unless each marker occurs exactly once and in that order.
+    """
+    t, a, b = compact(text), compact(start), compact(end)
+    times = lambda m: (F.length(t) - F.length(F.replace(t, m, F.lit("")))) / F.length(m)
+    i, j = F.instr(t, a), F.instr(t, b)
+    return F.when((F.length(a) > 0) & (F.length(b) > 0) & (times(a) == 1) & (times(b) == 1) & (i < j), F.substring(t, i, j - i))
+
+
+def markdown_body(text: Column) -> Column:
+    """Plain text as Markdown (TXT-10): chapters and articles become headings, page numbers go,
+    wrapped lines are joined, with a blank only between Latin words, until a sentence ends."""
+    lines = F.split(clean_lines(text), "\n")
+    heading = lambda x: F.when(x.rlike("^第[一二三四五六七八九十百]+章|^Chapter [0-9]+"), F.concat(F.lit("## "), x)).when(x.rlike("^第[一二三四五六七八九十百]+条|^Article [0-9]+"), F.concat(F.lit("**"), F.regexp_extract(x, "^(第[一二三四五六七八九十百]+条|Article [0-9]+)", 1), F.lit("**"), F.regexp_replace(x, "^(?:第[一二三四五六七八九十百]+条|Article [0-9]+)", "")))
+    kept = F.filter(lines, lambda x: ~x.rlike("^[-—– ]*[0-9]{1,4}[-—– ]*$"))
+
+    def add(done: Column, x: Column) -> Column:
+        head = heading(x)
+        last = F.when(F.size(done) > 0, F.element_at(done, -1))
+        opened = last.isNotNull() & ~last.rlike("[。！？；：.!?;:]$") & ~F.startswith(last, F.lit("## "))
+        blank_between = F.when(last.rlike("[A-Za-z0-9,;)]$") & x.rlike("^[A-Za-z0-9(]"), F.lit(" ")).otherwise(F.lit(""))
+        joined = F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.concat(last, blank_between, x)))
+        return F.when(head.isNotNull(), F.concat(done, F.array(head))).when(opened, joined).otherwise(F.concat(done, F.array(x)))
+
+    return F.array_join(F.aggregate(kept, F.array().cast("array<string>"), add), "\n\n")
+
+
+def markdown_table(matrix: Column) -> Column:
+    """A ragged matrix of cells as a Markdown table (TXT-14), padded, with escaped bars."""
+    width = F.array_max(F.transform(matrix, F.size))
+    cell = lambda c: F.replace(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s*\n\s*", " "), F.lit("|"), F.lit("\\|"))
+    row = lambda r: F.concat(F.lit("| "), F.array_join(F.transform(F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))), cell), " | "), F.lit(" |"))
+    rows = F.transform(matrix, row)
+    rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), width), " | "), F.lit(" |"))
+    return F.when(F.size(matrix) > 0, F.array_join(F.concat(F.slice(rows, 1, 1), F.array(rule), F.slice(rows, 2, 1 << 30)), "\n"))

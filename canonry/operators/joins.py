@@ -72,3 +72,37 @@ def first_wins(edges: DataFrame, key: list[str], priority: list[Column]) -> Data
     rest = [c for c in edges.columns if c not in key]
     order = F.struct(*(p.alias(f"_p{i}") for i, p in enumerate(priority)), *rest)
     return edges.groupBy(*key).agg(F.min(order).alias("_first")).select(*key, *(F.col(f"_first.{c}").alias(c) for c in rest))
+
+
+def chain_edges(chains: DataFrame, chain: str, position: str, keys: list[str], entities: DataFrame, entity_id: str) -> DataFrame:
+    """Edges between consecutive items of configured chains (JN-12): chain, from (newer), to (older).
+
+    Items are found by ``keys``; where a key names several entities the last id counts. The
+    older item must exist, the newer may be unknown and then has no id.
+    """
+    known = entities.groupBy(*keys).agg(F.max(entity_id).alias("_id"))
+    w = W.partitionBy(chain).orderBy(position)
+    found = chains.join(known, keys, "left").select(chain, position, "_id")
+    pair = found.withColumn("to_id", F.lag("_id").over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    return pair.where(~F.col("_first") & F.col("to_id").isNotNull()).select(chain, F.col("_id").alias("from_id"), "to_id")
+
+
+def resolve_documents(refs: DataFrame, source_map: DataFrame, document: str, keys: list[str], entity_id: str) -> DataFrame:
+    """Configured documents with the one entity their sources map to (JN-13): document, entity,
+    and ``conflict`` where the sources map to several, which is an error of the configuration."""
+    hit = refs.join(source_map.select(*keys, entity_id).distinct(), keys, "left")
+    n = hit.groupBy(document).agg(F.min(entity_id).alias("_a"), F.max(entity_id).alias("_b"))
+    return n.select(document, F.when(F.col("_a") == F.col("_b"), F.col("_a")).alias(entity_id), F.coalesce(F.col("_a") != F.col("_b"), F.lit(False)).alias("conflict"))
+
+
+def clause_targets(texts: DataFrame, text_id: str, text: str, verbs: str, titles: DataFrame, title_key: str, target_id: str, key_of) -> DataFrame:
+    """(text_id, target_id, title): titles quoted in a clause with one of ``verbs``, resolved by a
+    unique key (JN-07, JN-11). Never the text itself; each pair once.
+
+    A clause is what lies between full stops, semicolons and line ends.
+    """
+    clauses = F.explode(F.filter(F.split(F.col(text), "[。；;！？!?\n]"), lambda c: c.rlike(verbs) & F.contains(c, F.lit("《"))))
+    quoted = F.explode(F.array_distinct(F.regexp_extract_all("_clause", F.lit("《([^《》]{4,120})》"), 1)))
+    named = texts.select(F.col(text_id).alias("_text"), clauses.alias("_clause")).select("_text", quoted.alias("title")).withColumn("_key", key_of(F.col("title")))
+    known = titles.groupBy(F.col(title_key).alias("_key")).agg(F.min(target_id).alias("_a"), F.max(target_id).alias("_b")).where("_a = _b and _key <> ''")
+    return named.join(known, "_key").where("_text <> _a").select(F.col("_text").alias(text_id), F.col("_a").alias(target_id), "title").distinct()

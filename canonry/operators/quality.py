@@ -32,3 +32,18 @@ def required(df: DataFrame, key: str, columns: list[str], check: str) -> DataFra
 def allowed(df: DataFrame, key: str, column: str, values: list[str], check: str) -> DataFrame:
     """Rows whose value isn't one of those allowed."""
     return _issue(df.where(F.col(column).isNotNull() & ~F.col(column).isin(values)), check, F.col(key), F.col(column))
+
+
+def mismatches(a: DataFrame, b: DataFrame, key: str, columns: list[str], check: str) -> DataFrame:
+    """Keys whose rows differ between two tables, or that one lacks (VAL-10): the fields that differ."""
+    x = a.select(key, *(F.col(c).alias(f"_a_{c}") for c in columns), F.lit(1).alias("_in_a"))
+    y = b.select(key, *(F.col(c).alias(f"_b_{c}") for c in columns), F.lit(1).alias("_in_b"))
+    differ = F.array_compact(F.array(*(F.when(~F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}")), F.lit(c)) for c in columns)))
+    what = F.when(F.col("_in_a").isNull(), F.array(F.lit("extra"))).when(F.col("_in_b").isNull(), F.array(F.lit("missing"))).otherwise(differ)
+    return _issue(x.join(y, key, "full_outer").withColumn("_what", what).where(F.size("_what") > 0), check, F.col(key), F.array_join("_what", ","))
+
+
+def exactly_one(keys: DataFrame, key: str, rows: DataFrame, check: str) -> DataFrame:
+    """Keys that ``rows`` has not exactly once (VAL-05), with how often it has them."""
+    n = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return _issue(keys.select(key).distinct().join(n, key, "left").where(F.coalesce("n", F.lit(0)) != 1), check, F.col(key), F.coalesce("n", F.lit(0)))

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from canonry.session import cut
+
 
 def anchor_dedupe(df: DataFrame, keys: list[str], day: str, id_col: str, days: int = 3) -> DataFrame:
     """(id, anchor_id): each record joins the first anchor of its key within ``days`` (JN-02).
@@ -56,3 +58,46 @@ def fold(df: DataFrame, group: str, order: str, first_known: list[str], longest:
     picks += [F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in union]
     out = df.groupBy(group).agg(F.count(F.lit(1)).alias("merged"), *picks)
     return out.select(group, "merged", *(F.col(f"{c}.v").alias(c) for c in [*first_known, *longest]), *union)
+
+
+def dedupe_passes(df: DataFrame, id_col: str, order: list[str], passes: list[list[str]]) -> DataFrame:
+    """(id, kept_id, pass) of the records that merge in ordered passes (AGG-02).
+
+    Each pass groups the survivors of the one before by its key columns; rows with a null
+    key take no part, so blanks never make one giant group. Kept is the first by ``order``,
+    then by id. A record's kept one may itself merge in a later pass; the result follows
+    that on, so every record ends at a survivor.
+    """
+    alive = cut(df.select(id_col, *dict.fromkeys([*order, *(k for p in passes for k in p)])))
+    merged = None
+    for n, keys in enumerate(passes):
+        rank = F.struct(*order, id_col)
+        best = alive.dropna(subset=keys).groupBy(*keys).agg(F.min(rank).alias("_best"), F.count(F.lit(1)).alias("_size")).where("_size > 1")
+        gone = cut(alive.join(best, keys).select(id_col, F.col(f"_best.{id_col}").alias("kept_id"), F.lit(n).alias("pass")).where(F.col(id_col) != F.col("kept_id")))
+        if merged is not None:  # those kept by an earlier pass that merge now
+            on = gone.select(F.col(id_col).alias("_from"), F.col("kept_id").alias("_to"))
+            merged = merged.join(on, merged["kept_id"] == on["_from"], "left").select(id_col, F.coalesce("_to", "kept_id").alias("kept_id"), "pass").unionByName(gone)
+        else:
+            merged = gone
+        merged = cut(merged)
+        alive = cut(alive.join(gone.select(id_col), id_col, "left_anti"))
+    return merged
+
+
+def unique_overlap(records: DataFrame, entities: DataFrame, record_id: str, entity_id: str, keys: str, agree: list[str]) -> DataFrame:
+    """(record_id, entity_id) where exactly one entity shares a key and contradicts nothing (JN-05).
+
+    ``keys`` is an array column on both sides; each of ``agree`` must be equal or missing on
+    one side. If candidates share the first of ``agree``, only those count. An exploded
+    equi-join instead of a scan of all entities per record.
+    """
+    r = records.select(record_id, *agree, F.explode(F.array_distinct(keys)).alias("_key"))
+    e = entities.select(entity_id, *(F.col(c).alias(f"_{c}") for c in agree), F.explode(F.array_distinct(keys)).alias("_key"))
+    fits = [F.coalesce(F.col(c) == F.col(f"_{c}"), F.lit(True)) for c in agree]
+    joined = r.join(e, "_key")
+    for f in fits:
+        joined = joined.where(f)
+    strong = F.coalesce(F.col(agree[0]) == F.col(f"_{agree[0]}"), F.lit(False)) if agree else F.lit(False)
+    ends = joined.groupBy(record_id).agg(*(f(F.when(c, F.col(entity_id))).alias(n) for n, f, c in (("s0", F.min, strong), ("s1", F.max, strong), ("w0", F.min, F.lit(True)), ("w1", F.max, F.lit(True)))))
+    one = F.when(F.col("s0").isNotNull(), F.when(F.col("s0") == F.col("s1"), F.col("s0"))).when(F.col("w0") == F.col("w1"), F.col("w0"))
+    return ends.select(record_id, one.alias(entity_id)).where(F.col(entity_id).isNotNull())
