@@ -71,7 +71,7 @@ def title_keys(title: Column) -> Column:
 
 def fileno_key(fileno: Column) -> Column:
     """Issuer, year and serial number of a document number, in any notation; else null."""
-    x = F.regexp_replace(F.lower(fileno), f"[{PUNCT}第号年]+", "")
+    x = F.regexp_replace(F.lower(fileno), f"[第号年{PUNCT}]+", "")
     return F.when(x.rlike(r"^\p{L}+(?:19|20)\d{2}\d+$"), x)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -18,7 +20,8 @@ def anchor_dedupe(df: DataFrame, keys: list[str], day: str, id_col: str, days: i
     meets in one task, so a task holds the distinct days of a key, however many its records.
     Records without a day, or with a null key, are their own anchors.
     """
-    spare = df.where(F.col(day).isNull() | F.greatest(*(F.col(k).isNull() for k in keys))).select(F.col(id_col), F.col(id_col).alias("anchor_id"))
+    absent = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in [day, *keys]))
+    spare = df.where(absent).select(F.col(id_col), F.col(id_col).alias("anchor_id"))
     known = df.where(F.col(day).isNotNull()).dropna(subset=keys)
     by_day = known.groupBy(*keys, day).agg(F.min(id_col).alias("_first"))
 

@@ -23,7 +23,7 @@ def publish(df: DataFrame, root: str, name: str, issues: DataFrame | None = None
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(conf)
-    fresh, pointer = path(f"{root}/{name}/_current.{uuid.uuid4().hex}"), path(f"{root}/{name}/_current")
+    fresh, pointer = path(f"{root}/{name}/CURRENT.{uuid.uuid4().hex}"), path(f"{root}/{name}/CURRENT")
     out = fs.create(fresh)
     out.write(bytearray(version.encode()))
     out.close()
@@ -36,7 +36,7 @@ def publish(df: DataFrame, root: str, name: str, issues: DataFrame | None = None
 
 def published(spark, root: str, name: str) -> DataFrame:
     """The current version of a published table."""
-    return spark.read.parquet(spark.read.text(f"{root}/{name}/_current").first()[0])
+    return spark.read.parquet(spark.read.text(f"{root}/{name}/CURRENT").first()[0])
 
 
 def append_events(df: DataFrame, path: str) -> None:

@@ -179,7 +179,7 @@ def test_quality_and_cascade(spark):
     df = spark.createDataFrame([("a", "ok", ""), ("a", "bad", "x"), (None, None, None)], "id string, st string, v string")
     assert rows(quality.unique(df, "id", "u")) == [("u", "a", "2")]
     assert rows(quality.foreign(df, "st", spark.createDataFrame([("ok",)], "s string"), "s", "f")) == [("f", "bad", "1")]
-    assert rows(quality.required(df, "id", ["st", "v"], "r")) == [("r", None, "st,v"), ("r", "a", "v")]
+    assert rows(quality.required(df, "id", ["st", "v"], "r")) == [("r", "a", "v"), ("r", None, "st,v")]
     assert rows(quality.allowed(df, "id", "st", ["ok"], "w")) == [("w", "a", "bad")]
     R = cascade.Rule
     out = df.select(cascade.decide([R("one", F.col("st") == "ok", "A", 1.0), R("two", F.col("st").isNotNull(), "B", 0.5)], R("else", F.lit(True), None, 0.1)).alias("d")).select("d.*")
