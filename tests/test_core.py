@@ -251,3 +251,36 @@ def test_rest_stands_without_the_subpackage():
         for node in ast.walk(ast.parse(p.read_text())):
             names = [node.module or ""] if isinstance(node, ast.ImportFrom) else [a.name for a in node.names] if isinstance(node, ast.Import) else []
             assert not any("llm" in n for n in names), p
+
+
+def test_passes_overlaps_chains_clauses(spark):
+    d = spark.createDataFrame([("a", 3, "n", None), ("b", 1, "n", "h"), ("c", 2, None, "h"), ("e", 0, None, "h"), ("f", 1, None, None)], "id string, o int, n string, h string")
+    assert rows(resolve.dedupe_passes(d, "id", ["o"], [["n"], ["h"]])) == [("a", "e", 0), ("b", "e", 1), ("c", "e", 1)]
+    e = spark.createDataFrame([("E1", ["x", "y"], "1"), ("E2", ["y"], None), ("E3", ["z"], "3")], "eid string, keys array<string>, n string")
+    r = spark.createDataFrame([("r1", ["y"], "1"), ("r2", ["y"], None), ("r3", ["z", "z"], "4"), ("r4", ["z"], None), ("r5", None, None)], "rid string, keys array<string>, n string")
+    assert rows(resolve.unique_overlap(r, e, "rid", "eid", "keys", ["n"])) == [("r1", "E1"), ("r4", "E3")]
+    chain = spark.createDataFrame([("c", 1, "A"), ("c", 2, "B"), ("c", 3, "?"), ("c", 4, "C")], "c string, p int, t string")
+    known = spark.createDataFrame([("a", "A"), ("b1", "B"), ("b2", "B"), ("c", "C")], "id string, t string")
+    assert rows(joins.chain_edges(chain, "c", "p", ["t"], known, "id")) == [("c", "b2", "a"), ("c", None, "b2")]
+    refs = spark.createDataFrame([("d1", "s", "1"), ("d1", "s", "2"), ("d2", "s", "3"), ("d3", "s", "9")], "doc string, sys string, rec string")
+    m = spark.createDataFrame([("s", "1", "E1"), ("s", "2", "E1"), ("s", "3", "E1"), ("s", "3", "E2")], "sys string, rec string, eid string")
+    assert rows(joins.resolve_documents(refs, m, "doc", ["sys", "rec"], "eid")) == [("d1", "E1", False), ("d2", None, True), ("d3", None, False)]
+    laws = spark.createDataFrame([("L1", "甲某管理办法"), ("L2", "乙某管理办法"), ("L3", "重名规定"), ("L4", "重名规定")], "id string, k string")
+    t = spark.createDataFrame([("L1", "本办法施行。《乙某管理办法》《重名规定》同时废止；《甲某管理办法》废止。另见《乙某管理办法》"), ("L2", None)], "id string, body string")
+    assert rows(joins.clause_targets(t, "id", "body", "废止", laws.withColumnRenamed("id", "lid"), "k", "lid", T.normal_title)) == [("L1", "L2", "乙某管理办法")]
+
+
+def test_slices_and_markdown(spark):
+    f = lambda t, a, b: one(spark, T.slice_between(F.col("t"), F.col("a"), F.col("b")), t=t, a=a, b=b)
+    assert [f("x 开 始 正文 结束 y", "开始", "结束"), f("开始 开始 结束", "开始", "结束"), f("结束 开始", "开始", "结束"), f(None, "a", "b")] == ["开始正文", None, None, None]
+    md = one(spark, T.markdown_body(F.col("t")), t="第一章 总则\n第一条 某某应当在\n十日内报送。\n- 3 -\nThe word\nwraps here.\n")
+    assert md == "## 第一章 总则\n\n**第一条** 某某应当在十日内报送。\n\nThe word wraps here."
+    df = spark.createDataFrame([([["a", "b|c"], ["d"]],), ([],), (None,)], "m array<array<string>>").select(T.markdown_table(F.col("m")).alias("x"))
+    assert [r.x for r in df.collect()] == ["| a | b\\|c |\n| --- | --- |\n| d |  |", None, None]
+
+
+def test_field_checks(spark):
+    a = spark.createDataFrame([(1, "x", None), (2, "y", "z")], "id int, p string, q string")
+    b = spark.createDataFrame([(1, "x", "n"), (3, "y", "z")], "id int, p string, q string")
+    assert rows(quality.mismatches(a, b, "id", ["p", "q"], "m")) == [("m", "1", "q"), ("m", "2", "missing"), ("m", "3", "extra")]
+    assert rows(quality.exactly_one(a, "id", spark.createDataFrame([(1,), (1,), (2,)], "id int"), "o")) == [("o", "1", "2")]
