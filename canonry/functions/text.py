@@ -43,14 +43,16 @@ def digest(sha: Column) -> Column:
 PUNCT = SPACE + r"，。、；：？！“”‘’（）《》〈〉【】〔〕﹝﹞｜\[\]().,;:?!\"'·—_…|/\\-"
 #: What marks a draft or a trial version in a title.
 DRAFT = "征求意见稿|草案|意见稿|consultation draft|draft"
-TRIAL = "试行|暂行|trial"
+TRIAL = "试行|trial"
+#: A leading attachment mark and file suffixes of titles.
+ATTACHMENT = r"^附件(?:\s*\d+(?:-\d+)?)?\s*[：:、.\-]?\s*"
+SUFFIX = r"(?i)\.(?:pdf|docx?|xlsx?|zip|rar|rtf|wps)$"
 
 
 def clean_title(title: Column) -> Column:
     """Title without outer blanks, a leading attachment mark and a file suffix."""
     x = F.regexp_replace(title, f"^[{SPACE}]+|[{SPACE}]+$", "")
-    x = F.regexp_replace(x, r"^附件[0-9一二三四五六七八九十]*[：:.、]", "")
-    return F.regexp_replace(x, r"\.(?:pdf|docx?|xlsx?|txt|html?)$", "")
+    return F.regexp_replace(F.regexp_replace(x, ATTACHMENT, ""), SUFFIX, "")
 
 
 def normal_title(title: Column) -> Column:
@@ -108,7 +110,7 @@ def overlap_score(a: Column, b: Column) -> Column:
 
 
 #: Query keys that only track visitors.
-TRACKING = "utm_[a-z]+|spm|from|share_token|gclid|fbclid"
+TRACKING = "utm_[a-z]+|_|timestamp|spm|from|source"
 
 
 def canonical_url(url: Column, keep_query: bool = True) -> Column:

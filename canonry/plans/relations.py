@@ -147,7 +147,7 @@ def live_match(spark, d):
     return j.select("capture_id", F.coalesce("url_match", "title_match").alias("law_id"), F.when(F.col("url_match").isNotNull(), "url").when(F.col("title_match").isNotNull(), "title").alias("by"))
 
 
-_NT = lambda c: rf"lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, '^[{T.SPACE}]+|[{T.SPACE}]+$', '', 'g'), '^附件[0-9一二三四五六七八九十]*[：:.、]', ''), '\.(?:pdf|docx?|xlsx?|txt|html?)$', ''), '[{T.PUNCT.replace(chr(39), chr(39) * 2)}]+', '', 'g'))"
+_NT = lambda c: rf"lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, '^[{T.SPACE}]+|[{T.SPACE}]+$', '', 'g'), '{T.ATTACHMENT}', ''), '{T.SUFFIX}', ''), '[{T.PUNCT.replace(chr(39), chr(39) * 2)}]+', '', 'g'))"
 _FN = lambda c: rf"CASE WHEN regexp_matches(regexp_replace(lower({c}), '[第号年{T.PUNCT.replace(chr(39), chr(39) * 2)}]+', '', 'g'), '^\p{{L}}+(?:19|20)\d{{2}}\d+$') THEN regexp_replace(lower({c}), '[第号年{T.PUNCT.replace(chr(39), chr(39) * 2)}]+', '', 'g') END"
 _LD = lambda c: rf"CASE WHEN regexp_matches({c}, '^\s*\d{{8}}\s*$') OR regexp_matches({c}, '^\s*\d{{4}}\s*[-/.年]\s*\d{{1,2}}\s*[-/.月]\s*\d{{1,2}}\s*日?([\sT].*)?$') THEN try_cast(regexp_replace({c}, '^\s*(\d{{4}})\s*[-/.年]?\s*(\d{{1,2}})\s*[-/.月]?\s*(\d{{1,2}})\s*日?(?:[\sT].*)?$', '\1-\2-\3') AS DATE) END"
 _DISTINCT = "d AS MATERIALIZED (SELECT DISTINCT from_id, to_id, relation FROM e), m AS (SELECT from_id AS node, 'outgoing' AS direction, relation, to_id AS counterpart FROM d UNION ALL SELECT to_id, 'incoming', relation, from_id FROM d)"

@@ -12,7 +12,7 @@ from canonry.session import table
 _WS, _P = T.SPACE, T.PUNCT
 _Q = _P.replace("'", "''")
 _META = "WITH m AS MATERIALIZED (SELECT DISTINCT capture_id, struct_extract(metadata, 'name') AS name, struct_extract(metadata, 'fileno') AS fileno, struct_extract(metadata, 'pub_date') AS pub_date, struct_extract(source, 'page_url') AS page_url FROM source_record)"
-_CLEAN = rf"regexp_replace(regexp_replace(regexp_replace(@, '^[{_WS}]+|[{_WS}]+$', '', 'g'), '^附件[0-9一二三四五六七八九十]*[：:.、]', ''), '\.(?:pdf|docx?|xlsx?|txt|html?)$', '')"
+_CLEAN = rf"regexp_replace(regexp_replace(regexp_replace(@, '^[{_WS}]+|[{_WS}]+$', '', 'g'), '{T.ATTACHMENT}', ''), '{T.SUFFIX}', '')"
 _NORMAL = rf"lower(regexp_replace({_CLEAN}, '[{_Q}]+', '', 'g'))"
 
 
