@@ -202,3 +202,15 @@ def test_queries_on_small_tables(spark, name):
         pytest.skip("no test data here")
     df = registry.queries()[name](spark, d)
     assert df.agg(F.count(F.lit(1))).first()[0] > 0
+
+
+def test_common_garbling_is_no_usual_text(spark):
+    import random
+
+    rng = random.Random(5)
+    parts = ["证券公司", "应当", "在十日内", "向协会", "报送", "资料", "基金", "管理人", "不得", "托管", "账户", "及时", "核对", "保存", "，", "。"]
+    text = ["".join(rng.choice(parts) for _ in range(30)) for _ in range(300)]
+    bad = {i: p7_encoding.garble(t, ("utf-8", "latin-1")) for i, t in enumerate(text) if i % 3 == 0}
+    df = spark.createDataFrame([(str(i), "full_text", bad.get(i, t)) for i, t in enumerate(text)], "law_id string, field_name string, text string")
+    got = {r.law_id: r.restored for r in p7_encoding.garbled(df, True).collect()}
+    assert got == {str(i): text[i] for i in bad}
