@@ -15,6 +15,11 @@ def compact(text: Column) -> Column:
     return F.regexp_replace(text, f"[{SPACE}]+", "")
 
 
+def narrow(text: Column) -> Column:
+    """Full-width letters, digits and marks as their ASCII ones; nothing else changes."""
+    return F.translate(text, "".join(map(chr, range(0xFF01, 0xFF5F))), "".join(map(chr, range(0x21, 0x7F))))
+
+
 def blank(text: Column) -> Column:
     """True for null, empty and white-space-only text."""
     return text.isNull() | (F.length(compact(text)) == 0)

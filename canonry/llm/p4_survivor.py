@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canonry.functions.dates import lenient_date
-from canonry.functions.text import canonical_system, compact, digest
+from canonry.functions.text import canonical_system, compact, digest, narrow
 from canonry.session import table
 
 #: What error pages and place-holders say instead of a text.
@@ -35,7 +35,7 @@ PLACE_HOLDER = (
 )
 #: An error page has no more characters than this.
 PLACE_HOLDER_LENGTH = 60
-#: A real number of an instrument has a year and a serial number.
+#: A real number of an instrument has a year and a serial number; full-width digits count.
 FILENO = r"(?:19|20)\d{2}\D{0,4}\d+"
 
 
@@ -55,11 +55,11 @@ def captures(records: DataFrame, source_map: DataFrame, trust: DataFrame) -> Dat
         "capture_id",
         is_text(F.col("content.plain_text")).alias("content"),
         F.coalesce(digests, F.lit(False)).alias("assets"),
-        F.coalesce(F.col("metadata.fileno").rlike(FILENO), F.lit(False)).alias("fileno"),
+        F.coalesce(narrow(F.col("metadata.fileno")).rlike(FILENO), F.lit(False)).alias("fileno"),
         lenient_date(F.col("metadata.pub_date")).isNotNull().alias("pub_date"),
         (F.lower(compact(F.col("ingest_status"))) != F.lit("complete")).alias("incomplete"),
         F.col("fetched_at").cast("timestamp").alias("at"),
-        F.upper(compact(F.col("metadata.fileno"))).alias("fileno_value"),
+        F.upper(compact(narrow(F.col("metadata.fileno")))).alias("fileno_value"),
         lenient_date(F.col("metadata.pub_date")).alias("date_value"),
     ).where(F.col("capture_id").isNotNull())
     known = source_map.select(canonical_system(F.col("source_system")).alias("system"), "record_id", "entity_id").distinct()

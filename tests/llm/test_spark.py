@@ -214,3 +214,12 @@ def test_common_garbling_is_no_usual_text(spark):
     df = spark.createDataFrame([(str(i), "full_text", bad.get(i, t)) for i, t in enumerate(text)], "law_id string, field_name string, text string")
     got = {r.law_id: r.restored for r in p7_encoding.garbled(df, True).collect()}
     assert got == {str(i): text[i] for i in bad}
+
+
+def test_survivors_with_full_width_numbers(spark):
+    schema = "capture_id string, source_record_id string, source_system string, ingest_status string, metadata struct<fileno string, pub_date string>, content struct<plain_text string>, assets array<struct<asset_id string, sha256 string>>, fetched_at timestamp"
+    data = [(c, c, "a", "complete", (n, None), None, None, dt.datetime(2025, 1, d)) for c, n, d in (("c1", "砚证监公告〔2009〕474号", 1), ("c2", "砚证监公告〔２００９〕４７４号", 2), ("c3", "ＡＢＣ", 3))]
+    m = spark.createDataFrame([("a", c, "E") for c in ("c1", "c2", "c3")], "source_system string, record_id string, entity_id string")
+    c = p4_survivor.captures(spark.createDataFrame(data, schema), m, spark.createDataFrame([("a", 1)], "source_system string, trust_rank int"))
+    assert rows(p4_survivor.best_of_each(c, ["fileno"])) == [("E", "fileno", "c2")]
+    assert len({r.fileno_value for r in c.where("capture_id <> 'c3'").collect()}) == 1
