@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from canonry.llm import p1_pages, p2_near, p4_survivor, p6_scans, p7_encoding, p8_tokens, p9_leaks, p10_quality
+from canonry.llm import p1_pages, p2_near, p6_scans, p7_encoding, p8_tokens, p9_leaks, p10_quality
 
 
 @pytest.fixture(scope="module")
@@ -89,9 +89,30 @@ def test_reduced_form():
 def test_alignment_of_pages():
     weight = np.array([0.3, 0.3, 3.5, 0.3, 3.5, 0.3, 0.3])
     fixed = np.array([True, True, False, False, False, True, True])
-    assert p1_pages.align(weight, fixed) == (2, 5)
-    assert p1_pages.align(weight, np.ones(7, bool)) == (0, 0)
-    assert p1_pages.align(weight, np.zeros(7, bool)) == (0, 7)
+    assert p1_pages.body(weight, fixed) == (2, 5)
+    assert p1_pages.body(weight, np.ones(7, bool)) == (0, 0)
+    assert p1_pages.body(weight, np.zeros(7, bool)) == (0, 7)
+
+
+def test_wrappers_have_optional_and_repeated_groups_and_slots():
+    w = p1_pages.Wrapper()
+    for page in ([1, 2, 50, 9], [1, 3, 51, 9], [1, 2, 3, 52, 53, 9], [1, 2, 54, 7, 7, 7, 9]):
+        w.fold(page, [t + 100 if t == 1 else t * len(page) for t in page])
+    got = {g[0]: g for g in w.groups}
+    assert [g[0] for g in w.groups if g[0] < 10] == [1, 2, 3, 7, 9]  # in order
+    assert got[1] == (1, 101, 4, 0)  # fixed, with one text
+    assert got[9] == (9, 0, 4, 0)  # fixed, a text slot
+    assert got[2][2] == 3 and got[3][2] == 2  # optional
+    assert got[7][2:] == (1, 1)  # repeated
+    other = p1_pages.Wrapper()
+    for _ in range(96):
+        other.fold([1, 9], [101, 9])
+    other.merge(w.pages, w.groups)
+    other.settle()
+    assert [g[0] for g in other.groups] == [1, 2, 3, 9] and other.pages == 100
+    assert p1_pages.squared([1, 2, 1, 2, 1, 2, 3])[0] == [0, 1, 6]
+    assert p1_pages.squared([]) == ([], []) and p1_pages.longest([], {}) == []
+    assert p1_pages.longest([5, 1, 2, 3], {1: [0], 2: [1], 3: [2], 5: [3]}) == [(1, 0), (2, 1), (3, 2)]
 
 
 def test_page_tokens_have_slots():
@@ -100,14 +121,6 @@ def test_page_tokens_have_slots():
     assert p1_pages.tokens("首页 | 新闻")[0] != p1_pages.tokens("首页 | 公告")[0]
 
 
-def test_branch_and_bound_keeps_dependencies():
-    sides = [[(2.0, "n1", "c1"), (1.0, "n2", "c2")], [(2.0, "d9", "c3"), (1.5, "d1", "c4")]]
-    ties = {(0, 1): {("n1", "d1"), ("n2", "d9")}}
-    assert p4_survivor.branch_and_bound(sides, ties) == [(2.0, "n1", "c1"), (1.5, "d1", "c4")]
-    assert p4_survivor.branch_and_bound(sides, {}) == [(2.0, "n1", "c1"), (2.0, "d9", "c3")]
-    assert p4_survivor.branch_and_bound([[], []], {}) == [None, None]
-
-
 @pytest.mark.parametrize("chain", p7_encoding.CHAINS)
 def test_chains_invert_where_nothing_is_lost(chain):
     text = "Any holder’s “register” – naïve" if chain[0] == "utf-8" else "证券公司应当报送资料"
@@ -166,5 +179,6 @@ def test_quality_lines():
 
     out = next(p10_quality._count(iter([pd.DataFrame({"doc_id": range(8), "text": texts})])))
     got = out.set_index("doc_id")
-    assert got.prose_share[0] == 1 and got.list_share[1] > 0.9 and got.table_share[2] > 0.9 and got.junk_share[3] == 1
-    assert list(got.n_lines[4:7]) == [0, 0, 0] and got.junk_share[7] == 1
+    share = lambda kind: sum(got[r] for r, k in p10_quality.REASONS.items() if k == kind)
+    assert got.prose_share[0] == 1 and share("list")[1] > 0.9 and share("table")[2] > 0.9 and share("junk")[3] == 1
+    assert list(got.n_lines[4:7]) == [0, 0, 0] and share("junk")[7] == 1

@@ -121,9 +121,9 @@ def test_survivors(spark):
     m = spark.createDataFrame([("sys_a", "r1", "E"), ("sys_b", "r2", "E"), ("sys_a", "r3", "F"), ("sys_a", "r1", "E"), (None, "r1", "G")], "source_system string, record_id string, entity_id string")
     k = spark.createDataFrame([("sys_a", 2), ("sys_b", 1)], "source_system string, trust_rank int")
     c = p4_survivor.captures(spark.createDataFrame(data * 2, schema), m, k)
-    assert rows(p4_survivor.best_of_each(c)) == [("E", "assets", "c2"), ("E", "content", "c1"), ("E", "fileno", "c1"), ("E", "pub_date", "c2")]
-    assert p4_survivor.best_of_each(c.limit(0)).count() == 0
-    tied = {(r.field_name, r.capture_id) for r in p4_survivor.survivors(c).collect()}
+    assert rows(p4_survivor.survivors(c)) == [("E", "assets", "c2"), ("E", "content", "c1"), ("E", "fileno", "c1"), ("E", "pub_date", "c2")]
+    assert p4_survivor.survivors(c.limit(0)).count() == 0
+    tied = {(r.field_name, r.capture_id) for r in p4_survivor.survivors(c, [("fileno", "pub_date")]).collect()}
     assert {("content", "c1"), ("assets", "c2")} <= tied
 
 
@@ -221,5 +221,34 @@ def test_survivors_with_full_width_numbers(spark):
     data = [(c, c, "a", "complete", (n, None), None, None, dt.datetime(2025, 1, d)) for c, n, d in (("c1", "砚证监公告〔2009〕474号", 1), ("c2", "砚证监公告〔２００９〕４７４号", 2), ("c3", "ＡＢＣ", 3))]
     m = spark.createDataFrame([("a", c, "E") for c in ("c1", "c2", "c3")], "source_system string, record_id string, entity_id string")
     c = p4_survivor.captures(spark.createDataFrame(data, schema), m, spark.createDataFrame([("a", 1)], "source_system string, trust_rank int"))
-    assert rows(p4_survivor.best_of_each(c, ["fileno"])) == [("E", "fileno", "c2")]
+    assert rows(p4_survivor.survivors(c, fields=["fileno"])) == [("E", "fileno", "c2")]
     assert len({r.fileno_value for r in c.where("capture_id <> 'c3'").collect()}) == 1
+
+
+def test_branch_and_bound_equals_brute_force(spark):
+    import itertools
+
+    rng = random.Random(9)
+    data = []
+    for e in range(60):
+        for k in range(rng.randrange(2, 7)):
+            n, d = rng.choice([None, "1", "2", "3"]), rng.choice([None, "a", "b", "c"])
+            data.append((f"E{e}", f"c{e:02}{k}", n is not None, n, d is not None, d, (rng.random() < 0.3, rng.randrange(1, 5), rng.randrange(9), f"c{e:02}{k}")))
+    schema = "entity_id string, capture_id string, fileno boolean, fileno_value string, pub_date boolean, date_value string, order struct<incomplete: boolean, rank: int, age: bigint, capture_id: string>"
+    found = {}
+    for r in p4_survivor.survivors(spark.createDataFrame(data, schema), [("fileno", "pub_date")], ("fileno", "pub_date")).collect():
+        found.setdefault(r.entity_id, {})[r.field_name] = r.capture_id
+    trust = lambda o: (1.0 if o[0] else 2.0) - o[1] / 2000
+    for e in {x[0] for x in data}:
+        own = [x for x in data if x[0] == e]
+        seen = {(x[3], x[5]) for x in own if x[3] and x[5]}
+        held = {a for a, _ in seen}
+        best = 0.0
+        for n, d in itertools.product([None, *(x for x in own if x[3])], [None, *(x for x in own if x[5])]):
+            if not n or not d or n[3] not in held or (n[3], d[5]) in seen:
+                best = max(best, sum(trust(x[6]) for x in (n, d) if x))
+        by_id = {x[1]: x for x in own}
+        got = {f: by_id[c] for f, c in found.get(e, {}).items()}
+        assert abs(sum(trust(x[6]) for x in got.values()) - best) < 1e-9
+        if len(got) == 2 and got["fileno"][3] in held:
+            assert (got["fileno"][3], got["pub_date"][5]) in seen
