@@ -6,8 +6,11 @@ and running sums give the counts between any two line ends. One pass over the ta
 shuffle.
 Fixed-threshold rules, of the kind published for web corpora (mean word length, symbol
 ratio, share of bullet lines, share of lines ending in punctuation, stop words,
-repetition), then record a reason for every failure. Lines are judged as running prose,
-list item, row of cells or unreadable, and weigh as many characters as they have.
+repetition) are applied to the statistics of every line and of the document, and a reason
+is recorded for every failure, for lines with the share of characters that fail so.
+Reasons of lines belong to a kind (list, table, junk); a document whose failures of all
+kinds weigh more than two thirds gets a reason for the heaviest kind, and p10_found is read
+off these reasons.
 
 Results in special cases: null, empty and blank texts have zero counts, null ratios, no
 reasons and no row in p10_found; a text of any length is one row; equal texts under other
@@ -19,12 +22,12 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canonry.session import table
@@ -34,6 +37,12 @@ MAJORITY = 2 / 3
 #: Common words of English and characters of Chinese.
 COMMON_EN = "the|of|and|to|a|in|is|be|it|that|for|by|on|as|with|are|or|an|at|from|this|not|must|has|have|its|which|when|but|before"
 COMMON_ZH = "的一是不在人有为以于上和与时及由应其或可者所不得当将被等对从后前"
+#: Fixed thresholds' names: what a line fails by, in the order they are tried, and the kind of text that such lines make.
+REASONS = {
+    "ruled_line": "table", "unbroken_run": "junk", "program_or_log": "junk", "repetition": "junk", "cells": "table", "symbols": "junk", "few_vowels": "junk", "uncommon_characters": "junk",
+    "words_without_sentence": "junk", "short_item": "list",
+}
+KINDS = ("list", "table", "junk")
 #: Code points counted at once; bounds the memory of a batch, not the length of a text.
 BLOCK = 1 << 20
 _BULLET = re.compile(r"(?:[•·◦▪■□●○◆*+>‣–—-]\s*|[(（\[【]?(?:\d{1,4}|[a-zA-Z]|[一二三四五六七八九十]{1,4})[)）\]】.、．]\s*)\S")
@@ -43,6 +52,9 @@ _COMMON = re.compile(rf"\b(?:{COMMON_EN})\b", re.IGNORECASE)
 _CLASSES = ("alnum", "han", "latin", "vowel", "digit", "space", "bar", "common", "mark", "symbol", "trim", "run", "brace")
 
 
+_ITEM, _PROSE, _HEADLINE = len(REASONS) - 1, len(REASONS), len(REASONS) + 1
+
+
 @cache
 def _classes() -> np.ndarray:
     """Bits of the classes of every code point."""
@@ -78,7 +90,7 @@ def _classes() -> np.ndarray:
 
 
 def _block(texts: list[str]) -> pd.DataFrame:
-    """The line facts of some texts: document number, kind, characters, bullet, ends; and counts."""
+    """The line facts of some texts: document number, reason of failure, characters, bullet, ends; and counts."""
     code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     n = len(code)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -142,21 +154,17 @@ def _block(texts: list[str]) -> pd.DataFrame:
     )
     short = np.where(x.han * 2 > x.alnum, x.n <= 48, x.n <= 130)
     item = (~x.ends | (x.bullet & (x.stop <= 1) & (x.n < 60))) & short & (((x.stop <= 1) & ((x.common_en * 5 < words) | x.bullet | (x.han > 0))) | (x.n < 12))
-    line["kind"] = np.select(
-        [np.array(spelled, bool) & (x.bar > 0), run_on | np.array(program, bool) | np.array(dense, bool), row & (x.alnum * 3 > x.n), (symbols & ~x.bullet) | (x.alnum * 3 < x.n), vowelless | strange | menu, item],
-        ["t", "j", "t", "j", "j", "l"],
-        "p",
-    ) if len(line) else []
+    program, dense, ruled = np.array(program, bool), np.array(dense, bool), np.array(spelled, bool) & (x.bar > 0)
+    failed = [ruled, run_on, program, dense, row & (x.alnum * 3 > x.n), (symbols & ~x.bullet) | (x.alnum * 3 < x.n), vowelless, strange, menu, item]
+    line["reason"] = np.select(failed, range(len(REASONS)), _PROSE) if len(line) else np.empty(0, int)
     # A headline over other lines belongs to no kind.
     top = ~line.doc.duplicated() & line.doc.duplicated(keep=False)
-    line.loc[top & ~line.ends & ~line.bullet & line.kind.isin(["l", "p"]) & (line.n <= 160), "kind"] = "h"
+    line.loc[top & ~line.ends & ~line.bullet & line.reason.isin([_ITEM, _PROSE]) & (line.n <= 160), "reason"] = _HEADLINE
     return line
 
 
-_SCHEMA = (
-    "doc_id bigint, n_chars bigint, n_lines bigint, n_words bigint, mean_word_length double, symbol_ratio double, bullet_share double, "
-    "ended_share double, common_share double, prose_share double, list_share double, table_share double, junk_share double"
-)
+_RATIOS = ("mean_word_length", "symbol_ratio", "bullet_share", "ended_share", "common_share", "prose_share", *REASONS)
+_SCHEMA = "doc_id bigint, n_chars bigint, n_lines bigint, n_words bigint, " + ", ".join(f"{c} double" for c in _RATIOS)
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -178,39 +186,52 @@ def _of_documents(ids: pd.Series, texts: list[str]) -> pd.DataFrame:
     total = lambda w: np.bincount(line.doc, w, m)
     n_lines = np.bincount(line.doc, minlength=m)
     words, chars = total(line.han + line.word), np.fromiter(map(len, texts), np.int64, m)
-    weighed = total(line.n.where(line.kind != "h", 0))
+    weighed = total(line.n.where(line.reason != _HEADLINE, 0))
     with np.errstate(divide="ignore", invalid="ignore"):
         out = {
             "doc_id": ids.to_numpy(), "n_chars": chars, "n_lines": n_lines, "n_words": words.astype(np.int64), "mean_word_length": total(line.alnum) / words,
             "symbol_ratio": total(line.symbol) / chars, "bullet_share": total(line.bullet) / n_lines, "ended_share": total(line.ends) / n_lines,
             "common_share": total(line.common + line.common_en) / words,
-            **{f"{name}_share": total(line.n.where(line.kind == k, 0)) / weighed for k, name in (("p", "prose"), ("l", "list"), ("t", "table"), ("j", "junk"))},
+            **{name: total(line.n.where(line.reason == k, 0)) / weighed for k, name in enumerate((*REASONS, "prose_share"))},
         }
     return pd.DataFrame(out).replace([np.inf, -np.inf], np.nan)
 
 
+def _is(kind: str) -> Callable[[Column], Column]:
+    return lambda x: x["kind"] == kind
+
+
 def statistics(docs: DataFrame) -> DataFrame:
-    """One row per document: the statistics, the shares of kinds and the reasons of failures."""
+    """One row per document: the statistics, the shares of kinds, what lines fail by, with the
+    share of characters that do (``failures``), and the reasons the document fails by."""
     out = docs.select("doc_id", "text").mapInPandas(_count, _SCHEMA)
-    for c in ("mean_word_length", "symbol_ratio", "bullet_share", "ended_share", "common_share", "prose_share", "list_share", "table_share", "junk_share"):
-        out = out.withColumn(c, F.when(~F.isnan(c), F.round(c, 6)))
+    out = out.select("doc_id", "n_chars", "n_lines", "n_words", *(F.when(~F.isnan(c), F.col(c)).alias(c) for c in _RATIOS))
+    failures = F.filter(F.array(*(F.struct(F.lit(r).alias("reason"), F.lit(kind).alias("kind"), F.col(r).alias("share")) for r, kind in REASONS.items())), lambda x: x["share"] > 0)
+    out = out.withColumn("failures", F.when(F.col("n_lines") > 0, failures).otherwise(F.slice(failures, 1, 0))).drop(*REASONS)
+    for kind in KINDS:
+        of_kind = F.filter("failures", _is(kind))
+        out = out.withColumn(f"{kind}_share", F.when(F.col("n_lines") > 0, F.aggregate(of_kind, F.lit(0.0), lambda t, x: t + x["share"])))
     failed = lambda c, reason: F.when(c, F.lit(reason))
+    shares = [F.col(f"{k}_share") for k in KINDS]
+    top, other = F.greatest(*shares), sum(shares[1:], shares[0])
+    heaviest = F.when(F.col("junk_share") == top, "junk").when(F.col("table_share") == top, "table").otherwise("list")
     reasons = F.array_compact(
         F.array(
-            failed(F.col("n_words") < 5, "few_words"), failed(~F.col("mean_word_length").between(1, 10), "word_length"), failed(F.col("symbol_ratio") > 0.1, "symbols"),
+            failed(F.col("n_words") < 5, "few_words"), failed(~F.col("mean_word_length").between(1, 10), "word_length"), failed(F.col("symbol_ratio") > 0.1, "many_symbols"),
             failed(F.col("bullet_share") > 0.9, "bullets"), failed(F.col("ended_share") < 0.3, "no_punctuation"), failed(F.col("common_share") < 0.05, "few_common_words"),
-            failed(F.col("list_share") > MAJORITY, "list"), failed(F.col("table_share") > MAJORITY, "table"), failed(F.col("junk_share") > MAJORITY, "junk"),
+            F.when(other > MAJORITY, heaviest),
         )
     )
-    return out.withColumn("reasons", F.when(F.col("n_lines") > 0, reasons).otherwise(F.array().cast("array<string>")))
+    out = out.withColumn("reasons", F.when(F.col("n_lines") > 0, reasons).otherwise(F.array().cast("array<string>")))
+    for c in (*_RATIOS[:6], *(f"{k}_share" for k in KINDS)):
+        out = out.withColumn(c, F.round(c, 6))
+    return out.withColumn("failures", F.transform("failures", lambda x: F.struct(x["reason"].alias("reason"), F.round(x["share"], 6).alias("share"))))
 
 
 def kinds(stats: DataFrame) -> DataFrame:
-    """doc_id and text_kind of the documents that aren't running prose."""
-    other = F.col("list_share") + F.col("table_share") + F.col("junk_share")
-    top = F.greatest("list_share", "table_share", "junk_share")
-    kind = F.when(F.col("junk_share") == top, "junk").when(F.col("table_share") == top, "table").otherwise("list")
-    return stats.where((F.col("n_lines") > 0) & (other > MAJORITY)).select("doc_id", kind.alias("text_kind"))
+    """doc_id and text_kind of the documents that fail as a whole kind, by their reasons."""
+    of_kind = F.filter("reasons", lambda x: x.isin(*KINDS))
+    return stats.where(F.size(of_kind) > 0).select("doc_id", of_kind[0].alias("text_kind"))
 
 
 def p10_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,21 @@
 """Problem 4: the best representative of each group of captures, in consistent bundles.
 
 Fields that depend on one another form a bundle, and a bundle survives whole, from one
-capture. Of the captures of a bundle with the same value the best stands for all (the
-others are dominated). Bundles that no functional dependency ties together are separate
-parts of the search, whose optimum is the best capture of each; only where the best
-bundles break a dependency does branch and bound look for the most trusted selection that
-keeps it: bundles in order, candidates best first, cut off where even the best rest can't
-beat what is found.
+capture. The selection that survives is the most trusted one that keeps the functional
+dependencies between bundles, found by branch and bound, level by level and for all
+entities at once:
+
+* candidates: of the captures of a bundle with one value the best stands for all;
+* bound: the best candidate of every bundle together is what no selection can beat; where
+  it keeps the dependencies, it is the optimum and the entity is done, as every entity is
+  if nothing ties its bundles;
+* branch: entities whose bound isn't reached branch over the values of the determining
+  bundle, each with the dependent values seen with it, or without one of the two. A branch
+  whose trust with the best dependent value stays below what is already reached is cut
+  off before it is joined.
+
+The levels are aggregations and joins with partial results, so an entity of any size is
+never in one task.
 
 Trust: ingest_status complete first, then the lower trust_rank, then the later fetched_at;
 ties go to the smaller capture_id. A null rank or time comes last.
@@ -18,9 +27,8 @@ belongs to no entity; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,95 +82,61 @@ def captures(records: DataFrame, source_map: DataFrame, trust: DataFrame) -> Dat
 
 
 FIELDS = ("content", "assets", "fileno", "pub_date")
-
-
-def best_of_each(rows: DataFrame, fields: Iterable[str] = FIELDS) -> DataFrame:
-    """(entity_id, field_name, capture_id) of the bundles that nothing ties together.
-
-    One aggregation with partial results before the shuffle, so an entity of any size
-    weighs no more than its partitions.
-    """
-    found = rows.groupBy("entity_id").agg(
-        F.min("capture_id").alias("first"), F.max("capture_id").alias("last"), *(F.min(F.when(F.col(f), F.col("order"))).alias(f) for f in fields)
-    )
-    each = F.explode(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f"{f}.capture_id").alias("capture_id")) for f in fields)))
-    return found.where("first <> last").select("entity_id", each.alias("x")).select("entity_id", "x.*").where("capture_id is not null")
-
-
-def branch_and_bound(candidates: list[list[tuple[float, str, str]]], ties: dict[tuple[int, int], set[tuple[str, str]]]) -> list[tuple[float, str, str] | None]:
-    """The most trusted selection, one candidate (trust, value, capture) or none of each bundle.
-
-    ``ties`` has, of two bundles (i < j), the pairs of values seen together; where a value
-    of i is seen with any value of j, the two chosen must be such a pair. Candidates come
-    best first. A bundle left out counts nothing.
-    """
-    held = {key: {a for a, _ in pairs} for key, pairs in ties.items()}
-    rest = [0.0] * (len(candidates) + 1)
-    for i in range(len(candidates) - 1, -1, -1):
-        rest[i] = rest[i + 1] + (candidates[i][0][0] if candidates[i] else 0.0)
-    best: list = [-1.0, []]
-
-    def search(i: int, chosen: list, value: float) -> None:
-        if value + rest[i] <= best[0]:
-            return
-        if i == len(candidates):
-            best[:] = value, list(chosen)
-            return
-        for c in candidates[i]:
-            if value + c[0] + rest[i + 1] <= best[0]:
-                break
-            if all(
-                chosen[a] is None or chosen[a][1] not in held[a, b] or (chosen[a][1], c[1]) in pairs
-                for (a, b), pairs in ties.items()
-                if b == i
-            ):
-                search(i + 1, [*chosen, c], value + c[0])
-        search(i + 1, [*chosen, None], value)
-
-    search(0, [], 0.0)
-    return best[1]
-
-
-def _tied(group: pd.DataFrame) -> pd.DataFrame:
-    """The number and date bundles of one entity whose best ones contradict each other."""
-    sides = []
-    for name in ("fileno", "pub_date"):
-        own = group[group.field_name == name].sort_values(["incomplete", "rank", "age", "capture_id"])
-        weight = [(2.0 if not i else 1.0) - min(r, 1000) / 2000 - k * 1e-9 for k, (i, r) in enumerate(zip(own.incomplete, own["rank"], strict=True))]
-        sides.append(sorted(zip(weight, own.value, own.capture_id, strict=True), reverse=True))
-    pairs = {(a, b) for a, ds in zip(group.value, group.dates, strict=True) if ds is not None for b in ds}
-    chosen = branch_and_bound(sides, {(0, 1): pairs})
-    rows = [(group.entity_id.iloc[0], n, c[2]) for n, c in zip(("fileno", "pub_date"), chosen, strict=True) if c]
-    return pd.DataFrame(rows, columns=["entity_id", "field_name", "capture_id"])
-
-
-def survivors(rows: DataFrame) -> DataFrame:
-    """One capture per entity and bundle, where a number determines its date.
-
-    Content and assets are free. The number and the date that survive must have been seen
-    together, if that number was ever seen with a date; entities whose best ones were not
-    go through branch and bound over their distinct values.
+#: Of each field that can take part in a dependency, the column of ``captures`` with its value.
+VALUE = {"fileno": "fileno_value", "pub_date": "date_value"}
+
+
+def _trust(order: Column) -> Column:
+    """Trust that adds up over bundles: completeness, then the rank."""
+    return F.when(order["incomplete"], 1.0).otherwise(2.0) - F.least(order["rank"], F.lit(1000)) / 2000.0
+
+
+def _bounds(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The best candidate (order, value) of every bundle of each entity with several captures."""
+    value = lambda f: F.col(VALUE[f]).cast("string") if f in VALUE else F.lit(None).cast("string")
+    best = (F.min(F.when(F.col(f), F.struct("order", value(f).alias("value")))).alias(f) for f in fields)
+    return rows.groupBy("entity_id").agg(F.min("capture_id").alias("first"), F.max("capture_id").alias("last"), *best).where("first <> last").drop("first", "last")
+
+
+def _branched(rows: DataFrame, bounds: DataFrame, a: str, b: str) -> DataFrame:
+    """entity_id, a, b (candidates or null) of the most trusted selection of the entities in
+    which the value of bundle ``a`` determines that of ``b`` and the bound breaks this."""
+    own = rows.select("entity_id", "order", F.when(F.col(a), F.col(VALUE[a]).cast("string")).alias("va"), F.when(F.col(b), F.col(VALUE[b]).cast("string")).alias("vb"))
+    # Values seen together, once each; what is seen with the best value of a tells whether the bound is reached.
+    seen = own.where("va is not null and vb is not null").select("entity_id", "va", "vb").distinct()
+    both = bounds.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select("entity_id", F.col(a).alias("a"), F.col(b).alias("b"))
+    at_best = both.join(seen, "entity_id").where("a.value = va")
+    broken = at_best.groupBy("entity_id").agg(F.first("a").alias("a"), F.first("b").alias("b"), F.max(F.expr("b.value = vb")).alias("reached")).where("not reached").drop("reached")
+    mine = own.join(broken.select("entity_id"), "entity_id", "left_semi")
+    of = lambda v, s: mine.where(f"{v} is not null").groupBy("entity_id", v).agg(F.min("order").alias(s)).select("entity_id", v, F.struct(F.col(s).alias("order"), F.col(v).alias("value")).alias(s))
+    ca, cb = of("va", "ca"), of("vb", "cb")
+    paired = seen.join(broken.select("entity_id"), "entity_id", "left_semi")
+    # Reached without a join of both: one bundle alone, or a value of a that no value of b is seen with.
+    free = ca.join(paired, ["entity_id", "va"], "left_anti").groupBy("entity_id").agg(F.min("ca").alias("free"))
+    start = broken.join(free, "entity_id", "left")
+    none = F.lit(None).cast(cb.schema["cb"].dataType)
+    alone = start.select("entity_id", F.explode(F.array(F.struct(F.col("a").alias("ca"), none.alias("cb")), F.struct(none.alias("ca"), F.col("b").alias("cb")), F.struct(F.col("free").alias("ca"), F.col("b").alias("cb")))).alias("x")).select("entity_id", "x.*")
+    trust = lambda c: F.coalesce(_trust(F.col(c)["order"]), F.lit(0.0))
+    reached = start.select("entity_id", F.col("b").alias("best_b"), F.greatest(trust("a"), trust("b"), F.when(F.col("free").isNotNull(), trust("free") + trust("b"))).alias("reached"))
+    open_a = ca.join(reached, "entity_id").where(trust("ca") + trust("best_b") >= F.col("reached")).select("entity_id", "va", "ca")
+    joined = paired.join(open_a, ["entity_id", "va"]).join(cb, ["entity_id", "vb"]).select("entity_id", "ca", "cb")
+    key = F.struct(-(trust("ca") + trust("cb")), F.col("ca").isNull(), F.col("ca"), F.col("cb"))
+    return joined.unionByName(alone).groupBy("entity_id").agg(F.min_by(F.struct("ca", "cb"), key).alias("x")).select("entity_id", F.col("x.ca").alias(a), F.col("x.cb").alias(b))
+
+
+def survivors(rows: DataFrame, dependencies: Sequence[tuple[str, str]] = (), fields: Sequence[str] = FIELDS) -> DataFrame:
+    """(entity_id, field_name, capture_id) of the selection that survives of each entity.
+
+    ``dependencies`` are pairs (a, b): where a value of a is seen with values of b in any
+    capture of the entity, the two that survive must be seen together. No field may be in
+    two dependencies.
     """
-    numbered = rows.where("fileno").groupBy("entity_id", F.col("fileno_value").alias("value")).agg(
-        F.min("order").alias("order"), F.collect_set(F.when(F.col("pub_date"), F.col("date_value").cast("string"))).alias("dates")
-    )
-    dated = rows.where("pub_date").groupBy("entity_id", F.col("date_value").cast("string").alias("value")).agg(F.min("order").alias("order"))
-    both = numbered.withColumn("field_name", F.lit("fileno")).unionByName(dated.withColumn("field_name", F.lit("pub_date")), allowMissingColumns=True)
-    best = both.groupBy("entity_id").agg(
-        F.min(F.when(F.col("field_name") == "fileno", F.struct("order", "value", "dates"))).alias("n"),
-        F.min(F.when(F.col("field_name") == "pub_date", F.struct("order", "value"))).alias("d"),
-    )
-    broken = best.where("n is not null and d is not null and size(n.dates) > 0 and not array_contains(n.dates, d.value)").select("entity_id")
-    searched = (
-        both.join(broken, "entity_id", "left_semi")
-        .select("entity_id", "field_name", "value", "dates", "order.*")
-        .groupBy("entity_id")
-        .applyInPandas(_tied, "entity_id string, field_name string, capture_id string")
-    )
-    many = rows.groupBy("entity_id").agg(F.min("capture_id").alias("a"), F.max("capture_id").alias("b")).where("a <> b").select("entity_id")
-    free = best_of_each(rows)
-    kept = free.join(broken.withColumn("tied", F.lit(True)), "entity_id", "left").where("tied is null or field_name in ('content', 'assets')")
-    return kept.select("entity_id", "field_name", "capture_id").unionByName(searched.join(many, "entity_id", "left_semi"))
+    chosen = _bounds(rows, fields)
+    for a, b in dependencies:
+        other = _branched(rows, chosen, a, b).select("entity_id", F.struct(F.col(a).alias("a"), F.col(b).alias("b")).alias("other"))
+        chosen = chosen.join(other, "entity_id", "left").withColumns({f: F.when(F.col("other").isNotNull(), F.col(f"other.{s}")).otherwise(F.col(f)) for f, s in ((a, "a"), (b, "b"))}).drop("other")
+    each = F.explode(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f)["order"]["capture_id"].alias("capture_id")) for f in fields)))
+    return chosen.select("entity_id", each.alias("x")).select("entity_id", "x.*").where("capture_id is not null")
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,13 +144,13 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The surviving capture of each entity and field; here no field depends on another."""
-    return best_of_each(_rows(spark, sf_dir))
+    """The surviving capture of each entity and field; each field is a bundle, and none depends on another."""
+    return survivors(_rows(spark, sf_dir))
 
 
 def p4_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with number and date tied together: they must have been seen together."""
-    return survivors(_rows(spark, sf_dir))
+    return survivors(_rows(spark, sf_dir), [("fileno", "pub_date")])
 
 
 _SYS = "replace(lower(trim({0}, ' ' || chr(9) || chr(10))), '-', '_')"
@@ -194,7 +168,7 @@ WITH r AS (
   SELECT m.entity_id, b.capture_id, b.st, b.fetched_at, coalesce(k.trust_rank, 1 << 30) AS rank,
     bare <> '' AND NOT (length(bare) <= 60 AND regexp_matches(bare, '跳转|不存在|加载中|维护中|JavaScript|denied|404')) AS content,
     len(list_filter(shas, lambda s: regexp_matches(lower(trim(s)), '^(sha256:)?[0-9a-f]{{64}}$'))) > 0 AS assets,
-    regexp_matches(f, '(19|20)\d\d.*\d') AS fileno,
+    regexp_matches(translate(f, '０１２３４５６７８９', '0123456789'), '(19|20)\d\d.*\d') AS fileno,
     (regexp_matches(d, '^\d{{8}}$') OR regexp_matches(d, '^\d{{4}}[-/.年]\d{{1,2}}[-/.月]\d{{1,2}}')) AND try_cast(iso AS DATE) IS NOT NULL AS pub_date
   FROM b JOIN (SELECT DISTINCT * FROM source_map) m ON m.source_system = b.system AND m.record_id = b.source_record_id LEFT JOIN source_trust k ON k.source_system = b.system
 ), e AS (SELECT entity_id FROM u GROUP BY 1 HAVING count(DISTINCT capture_id) > 1),
