@@ -2,12 +2,18 @@
 
 Records with the same text (lower-cased, without white space) form one class, and only one
 of each class goes on. Its 5-character sequences are hashed once; the least hash of each
-of BINS ranges is its signature (one permutation, empty ranges filled from others). Each
-tree of the forest is keyed by a prefix of its own part of the signature, so sorting by
-key is the trie. Prefixes start at full depth and are shortened until the recall at the
-threshold, 1 - (1 - s^depth)^trees, reaches the target. Pairs under one prefix are first
-held against bit sketches of the signatures, then verified exactly on the texts. Only keys
-and sketches are shuffled for all records; texts move for verified pairs alone.
+of BINS ranges is its signature (one permutation, empty ranges filled from others). Every
+tree of the forest gives a record a label, a byte of each of DEPTHS[0] signature values of
+its own; labels of a tree, sorted, are its prefix trie, and two records meet in the tree
+under the longest prefix that they share. Meetings are taken from the longest prefixes
+first. Of the pairs that meet so, and whose bit sketches are near enough, the similarity s
+is estimated, and with it the chance that a pair of this kind meets, 1 - (1 - s^depth)^trees:
+the pairs found, each weighed by its inverse, tell how many there are. The matched prefix
+is shortened, level by level, until the share found reaches the target recall with a margin
+of two standard errors; at the last depth it does for every pair of the threshold's
+similarity. So the many pairs that share little never meet, unless the records that do
+share enough demand it. Pairs are then verified exactly on the texts. Only labels and
+sketches are shuffled for all records; texts move for verified pairs alone.
 
 Results in special cases: null and blank texts and texts of fewer than five characters
 match nothing; repeated rows count once; an id with several texts matches by any of them;
@@ -20,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canonry.functions.text import compact, digest
@@ -29,22 +35,22 @@ from canonry.session import cut, release, table
 WIDTH = 5
 THRESHOLD = 0.6
 RECALL = 0.995
-#: Values of a signature; each tree takes DEPTH of its own.
-BINS, TREES, DEPTH = 512, 66, 7
+#: Values of a signature, trees, and the depths of matched prefixes by turns, a value of its own for each tree and depth.
+BINS, TREES, DEPTHS = 1024, 66, (12, 10, 8, 7, 6, 5)
+#: Pairs found that it takes to estimate recall from; with fewer the last depth decides.
+LEAST_PAIRS = 100
 #: Bits of the sketch that may differ: four standard deviations beyond what the threshold gives.
 SKETCH = 256
-#: Classes or ids that may be broadcast, about 50 bytes each; more are joined by a shuffle.
-BROADCAST_ROWS = 500_000
+#: Bytes, measured, up to which a table of classes or ids is broadcast; a larger one is joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 _EXPECTED = SKETCH * (1 - THRESHOLD) / 2
 MOST_DIFFERENT = int(_EXPECTED + 4 * (SKETCH * (1 - THRESHOLD) / 2 * (1 + THRESHOLD) / 2) ** 0.5)
 
 
-def depth_for(threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES, deepest: int = DEPTH) -> int:
-    """The longest prefix with which the forest still reaches the recall at the threshold."""
-    depth = deepest
-    while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
-        depth -= 1
-    return depth
+def chance(similarity: float | Column, depth: int, trees: int = TREES) -> float | Column:
+    """Chance that two records of this similarity share a prefix of this depth in some tree; a byte of two different values is equal by chance, too."""
+    equal = similarity + (1 - similarity) / 256
+    return 1 - (1 - equal**depth) ** trees
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -89,22 +95,19 @@ def signature(h: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketch(batches: Iterator[pd.DataFrame], depth: int) -> Iterator[pd.DataFrame]:
-    part = np.arange(TREES)[:, None] * DEPTH + np.arange(depth)[None, :]
+def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for kind, key, text in zip(batch.kind, batch.key, batch.text, strict=True):
+        for text in batch.text:
             h = grams(text)
             if not len(h):
                 rows.append((0, None, 0, 0, 0, 0))
                 continue
             sig = signature(h)
-            k = _mix(np.arange(TREES, dtype=np.uint64) + np.uint64(sum(kind.encode()) << 20))
-            for d in range(depth):
-                k = _mix(k * np.uint64(31) + sig[part[:, d]])
+            label = ((sig[: TREES * DEPTHS[0]] >> np.uint64(33)) & np.uint64(0xFF)).astype(np.uint8)
             bits = np.packbits(((sig[:: BINS // SKETCH] >> np.uint64(17)) & np.uint64(1)).astype(np.uint8)).view(np.int64)
-            rows.append((len(h), k.view(np.int64), *bits.tolist()))
-        own = pd.DataFrame(rows, columns=["n", "prefixes", "s0", "s1", "s2", "s3"])
+            rows.append((len(h), label.tobytes(), *bits.tolist()))
+        own = pd.DataFrame(rows, columns=["n", "label", "s0", "s1", "s2", "s3"])
         yield pd.concat([batch[["kind", "id", "key"]].reset_index(drop=True), own], axis=1)
 
 
@@ -127,45 +130,77 @@ def classes(rows: DataFrame) -> DataFrame:
     return own.select("kind", "id", F.concat(F.hex(F.xxhash64("kind", "text")), F.hex(F.xxhash64(F.lit(1), F.reverse("text")))).alias("key"), "text")
 
 
-def sketches(rows: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """kind, id, key of every record with a text, its number of sequences, prefixes and sketch."""
-    depth = depth_for(threshold, recall)
-    return cut(
-        classes(rows).mapInPandas(
-            lambda it: _sketch(it, depth), "kind string, id string, key string, n int, prefixes array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
-        )
-    )
+def sketches(rows: DataFrame) -> DataFrame:
+    """kind, id, key of every record with a text, its number of sequences, label of all trees and sketch."""
+    return cut(classes(rows).mapInPandas(_sketch, "kind string, id string, key string, n int, label binary, s0 bigint, s1 bigint, s2 bigint, s3 bigint"))
 
 
 def _few(df: DataFrame) -> DataFrame:
-    """Marked for broadcast where its rows, counted, are few enough; else as it is."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """Marked for broadcast where its bytes, measured, are few enough; else as it is."""
+    size = [F.coalesce(F.length(f.name), F.lit(0)) + 16 if f.dataType.typeName() in ("string", "binary") else F.lit(8) for f in df.schema]
+    held = df.agg(F.sum(sum(size[1:], size[0]))).first()[0] or 0
+    return F.broadcast(df) if held <= BROADCAST_BYTES else df
+
+
+def meetings(one: DataFrame, depth: int, threshold: float) -> DataFrame:
+    """(a, b, differing), a < b: classes that share a prefix of this depth in some tree and
+    whose sketches are near enough, with the number of bits that differ.
+
+    A prefix that very many share is split over tasks by AQE; beyond copies of one text,
+    which are one class, many share a long prefix only if they are near-duplicates, whose
+    pairs are the result.
+    """
+    tree = one.select("class", "kind", "n", "label", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    prefix = F.xxhash64("kind", "tree", F.expr(f"substring(label, tree * {DEPTHS[0]} + 1, {depth})"))
+    leaves = tree.select(prefix.alias("prefix"), "class", "n")
+    x, y = (leaves.select("prefix", F.col("class").alias(s), F.col("n").alias(f"n_{s}")) for s in "ab")
+    met = x.join(y, "prefix").where((F.col("a") < F.col("b")) & (F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))).select("a", "b").distinct()
+    bits = _few(one.select("class", "kind", "s0", "s1", "s2", "s3"))
+    of = lambda s: bits.select(F.col("class").alias(s), F.col("kind").alias(f"kind_{s}"), *(F.col(f"s{i}").alias(f"{s}{i}") for i in range(4)))
+    differing = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, 4)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
+    near = met.join(of("a"), "a").join(of("b"), "b").where((F.col("kind_a") == F.col("kind_b")) & (differing <= MOST_DIFFERENT))
+    return cut(near.select("a", "b", differing.alias("differing")))
+
+
+def recall_of(found: DataFrame, depth: int, threshold: float) -> tuple[int, float]:
+    """Pairs found of the threshold's similarity, and the share of all that they are, less two standard errors."""
+    similarity = F.lit(1.0) - F.col("differing") * 2.0 / SKETCH
+    met = found.where(similarity >= threshold).select(chance(similarity, depth).alias("p"))
+    n, total, spread = met.agg(F.count(F.lit(1)), F.sum(1 / F.col("p")), F.sum((1 - F.col("p")) / F.col("p") ** 2)).first()
+    return n, n / (total + 2 * spread**0.5) if n else 0.0
+
+
+def candidates(one: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """Pairs of classes that meet: prefixes are shortened until the target recall is reached."""
+    found = None
+    for depth in DEPTHS:
+        before, found = found, meetings(one, depth, threshold)
+        if before is not None:
+            release(before)
+        if depth == DEPTHS[-1] or chance(threshold, depth) >= recall:
+            break
+        n, share = recall_of(found, depth, threshold)
+        if n >= LEAST_PAIRS and share >= recall:
+            break
+    return found
 
 
-def near_pairs(rows: DataFrame, known: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def near_pairs(rows: DataFrame, known: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """(kind, a, b), a < b: the classes of ``rows`` that are similar enough; ``known`` has their sketches."""
     first = known.where("n > 0").groupBy("kind", "key").agg(F.min("id").alias("id"))
-    one = cut(known.join(first, ["kind", "key", "id"]).dropDuplicates(["kind", "key"]))
-    leaves = one.select("key", "n", F.explode("prefixes").alias("prefix"))
-    x, y = (leaves.select("prefix", F.col("key").alias(s), F.col("n").alias(f"n_{s}")) for s in "ab")
-    met = x.join(y, "prefix").where((F.col("a") < F.col("b")) & (F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))).select("a", "b")
-    few = one.count() <= BROADCAST_ROWS
-    bits = one.select("key", "kind", "s0", "s1", "s2", "s3")
-    of = lambda s: (F.broadcast if few else lambda d: d)(bits.select(F.col("key").alias(s), F.col("kind").alias(f"kind_{s}"), *(F.col(f"s{i}").alias(f"{s}{i}") for i in range(4))))
-    differing = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, 4)), F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
-    if not few:
-        met = met.distinct()  # before the pairs are shuffled once more
-    candidates = cut(
-        met.join(of("a"), "a").join(of("b"), "b").where((F.col("kind_a") == F.col("kind_b")) & (differing <= MOST_DIFFERENT)).select(F.col("kind_a").alias("kind"), "a", "b").distinct()
-    )
+    own = known.join(first, ["kind", "key", "id"]).dropDuplicates(["kind", "key"])
+    one = cut(own.withColumn("class", F.xxhash64("kind", "key")))
+    met = candidates(one, threshold, recall)
     # Texts of candidates, one record for each class.
-    wanted = candidates.select("kind", F.col("a").alias("key")).unionAll(candidates.select("kind", F.col("b").alias("key"))).distinct()
-    ids = cut(one.select("kind", "key", "id").join(wanted, ["kind", "key"], "left_semi").select("kind", "id", "key"))
-    held = cut(classes(rows.join(_few(ids.select("kind", "id")), ["kind", "id"], "left_semi")).join(_few(ids), ["kind", "id", "key"], "left_semi").dropDuplicates(["kind", "key"]))
-    left, right = (held.select("kind", F.col("key").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
-    pairs = candidates.join(left, ["kind", "a"]).join(right, ["kind", "b"])
-    found = cut(pairs.mapInPandas(lambda it: _verify(it, threshold), "kind string, a string, b string"))
-    release(candidates, ids, held)
+    wanted = met.select(F.col("a").alias("class")).unionAll(met.select(F.col("b").alias("class"))).distinct()
+    ids = cut(one.select("class", "kind", "key", "id").join(wanted, "class", "left_semi"))
+    few = _few(ids.select("kind", "id", "key", "class"))
+    held = cut(classes(rows.join(_few(ids.select("kind", "id").distinct()), ["kind", "id"], "left_semi")).join(few, ["kind", "id", "key"]).dropDuplicates(["kind", "key"]))
+    left, right = (held.select("kind", F.col("class").alias(s), F.col("key").alias(f"key_{s}"), F.col("text").alias(f"text_{s}")) for s in "ab")
+    pairs = met.join(left, "a").join(right, ["kind", "b"])
+    named = pairs.select("kind", F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"), "text_a", "text_b")
+    found = cut(named.mapInPandas(lambda it: _verify(it, threshold), "kind string, a string, b string"))
+    release(one, met, ids, held)
     return found
 
 
@@ -175,6 +210,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return law.unionAll(writ)
 
 
+def _assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "asset_record").where("size_bytes > 0").select("asset_id", digest(F.col("sha256")).alias("sha")).dropna().distinct()
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of ids that are copies of one another: law and writ by text, asset by digest."""
     rows = documents(spark, sf_dir)
@@ -183,20 +222,22 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = (known.where("n > 0").select("kind", F.col("id").alias(f"id_{s}"), F.col("key").alias(s)).distinct() for s in "ab")
     between = similar.join(a, ["kind", "a"]).join(b, ["kind", "b"]).select("kind", "id_a", "id_b")
     same = a.join(b, (a["kind"] == b["kind"]) & (a["a"] == b["b"])).select(a["kind"], "id_a", "id_b")
-    assets = table(spark, sf_dir, "asset_record").where("size_bytes > 0").select("asset_id", digest(F.col("sha256")).alias("sha")).dropna().distinct()
+    assets = _assets(spark, sf_dir)
     copies = assets.withColumnRenamed("asset_id", "id_a").join(assets.withColumnRenamed("asset_id", "id_b"), "sha")
     both = between.unionAll(same).unionAll(copies.select(F.lit("asset").alias("kind"), "id_a", "id_b")).where("id_a <> id_b")
     return both.select(F.col("kind").alias("record_kind"), F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
 
 
 def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per law and writ text: the class of equal texts and its number of similar classes."""
+    """One row per law and writ text and per asset: the class of equal texts or digests and its number of similar classes."""
     rows = documents(spark, sf_dir)
     known = sketches(rows)
     similar = near_pairs(rows, known)
     ends = similar.select("kind", F.col("a").alias("key")).unionAll(similar.select("kind", F.col("b").alias("key")))
     links = ends.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("links"))
-    return known.select("kind", "id", "key").distinct().join(links, ["kind", "key"], "left").select(
+    texts = known.select("kind", "id", "key").distinct().join(links, ["kind", "key"], "left")
+    assets = _assets(spark, sf_dir).select(F.lit("asset").alias("kind"), F.col("asset_id").alias("id"), F.col("sha").alias("key"), F.lit(0).alias("links"))
+    return texts.unionByName(assets).select(
         F.col("kind").alias("record_kind"), F.col("id").alias("record_id"), F.col("key").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")
     )
 

@@ -42,9 +42,9 @@ def test_grams_jaccard_equals_sets(a, b):
 
 
 def test_forest_depth_keeps_recall():
-    d = p2_near.depth_for()
-    assert 1 - (1 - p2_near.THRESHOLD**d) ** p2_near.TREES >= p2_near.RECALL
-    assert d == p2_near.DEPTH or 1 - (1 - p2_near.THRESHOLD ** (d + 1)) ** p2_near.TREES < p2_near.RECALL
+    last = p2_near.DEPTHS[-1]
+    assert p2_near.chance(p2_near.THRESHOLD, last) >= p2_near.RECALL > p2_near.chance(p2_near.THRESHOLD, last + 1)
+    assert p2_near.TREES * p2_near.DEPTHS[0] <= p2_near.BINS and list(p2_near.DEPTHS) == sorted(p2_near.DEPTHS, reverse=True)
 
 
 def test_signature_agreement_estimates_similarity():
