@@ -162,11 +162,22 @@ def test_scan_furniture():
     assert p6_scans.furniture(["档次", "3/9", "4/9", "正文。"]) == set()
 
 
-def test_scan_words_by_skeleton():
-    forms = p6_scans.Forms({"the": 5000, "modern": 400, "tlie": 3, "short-dated": 90, "council": 200}, {("应", "，"): 500}, {("应", "当"): 900})
-    assert forms.word_right("tlie") == "the" and forms.word_right("modem") == "modern" and forms.word_right("the") is None
-    assert forms.own_hyphen("short", "dated") and not forms.own_hyphen("coun", "cil")
-    assert forms.glyph_right("，", "庒", "当") == "应" and forms.glyph_right("x", "庒", "y") is None
+def test_scan_facts():
+    beside = lambda *x: p6_scans.Beside(*(np.array(v) for v in zip(*((ord(c), ord(o), n) for c, o, n in x), strict=True)))
+    none = np.empty(0, np.int64)
+    forms = p6_scans.Forms({"tlie": "the", "modem": "modern", "co": "oo"}, {"co-op"}, {("short", "dated")}, beside(("应", "，", 500)), beside(("应", "当", 900)))
+    assert forms.word_right("Tlie") == "the" and forms.word_right("the") is None
+    assert forms.misread("tlie-based") and not forms.misread("co-op") and forms.misread("co-owner")
+    assert forms.own_hyphen("Short", "dated-x") and not forms.own_hyphen("coun", "cil")
+    code = lambda t: np.frombuffer(t.encode("utf-32-le"), np.uint32)
+    assert forms.glyphs_right(code("，庒当x庒y")) == {1: "应"} and forms.glyphs_right(code("")) == {}
+    assert p6_scans.Forms({}, set(), set(), p6_scans.Beside(none, none, none), p6_scans.Beside(none, none, none)).glyphs_right(code("庒")) == {}
+
+
+def test_headers_alike():
+    lines = ["某某证券业协会自律规则汇编", "某某证券业协会自律规贝汇编", "第一条其他内容完全不同的句子", "某某证券业"]
+    assert p6_scans._recurring(lines) == {lines[0], lines[1], lines[3]}
+    assert p6_scans._recurring([]) == set() and p6_scans._recurring(["ab", "ab"]) == set()
 
 
 def test_quality_lines():

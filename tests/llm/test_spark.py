@@ -190,7 +190,19 @@ def test_scans(spark):
     assert p6_scans.noise(scan, forms) == [(0, "furniture"), (2, "misread"), (4, "furniture"), (5, "furniture"), (9, "furniture")]
     assert p6_scans.noise(clean, forms) == [] == p6_scans.noise("", forms)
     assert [x[1] for x in p6_scans.repaired(scan, forms)][1] == "相关资料，不得拖延。"
-    assert p6_scans.learn(df.limit(0)).words == {}
+    assert p6_scans.learn(df.limit(0)).wrong == {}
+
+
+def test_scans_with_more_facts_than_fit(spark, monkeypatch):
+    body = "The council keeps modern short-dated records of the council\nand the modern council keeps short-dated records"
+    scan = "Tlie coun-\ncil keeps short-\ndated modem records"
+    data = [("law", f"k{i:02}", body) for i in range(60)] + [("law", "scan", scan), ("law", "scan", scan + " too"), ("law", None, scan)]
+    df = spark.createDataFrame(data, "kind string, id string, text string").where("id is not null")
+    run = lambda: sorted(map(tuple, p6_scans.applied(df, p6_scans.noise, ["line_no", "noise"], "line_no int, noise string").select("id", "version", "line_no", "noise").collect()))
+    broadcast = run()
+    assert {x[2:] for x in broadcast} == {(0, "hyphen"), (0, "misread"), (2, "misread")} and {x[0] for x in broadcast} == {"scan"} and len({x[1] for x in broadcast}) == 2
+    monkeypatch.setattr(p6_scans, "FORMS_BYTES", 0)
+    assert run() == broadcast
 
 
 @pytest.mark.parametrize("name", sorted(registry.queries()))
