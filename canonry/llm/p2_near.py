@@ -5,15 +5,16 @@ of each class goes on. Its 5-character sequences are hashed once; the least hash
 of BINS ranges is its signature (one permutation, empty ranges filled from others). Every
 tree of the forest gives a record a label, a byte of each of DEPTHS[0] signature values of
 its own; labels of a tree, sorted, are its prefix trie, and two records meet in the tree
-under the longest prefix that they share. Meetings are taken from the longest prefixes
-first. Of the pairs that meet so, and whose bit sketches are near enough, the similarity s
-is estimated, and with it the chance that a pair of this kind meets, 1 - (1 - s^depth)^trees:
-the pairs found, each weighed by its inverse, tell how many there are. The matched prefix
-is shortened, level by level, until the share found reaches the target recall with a margin
-of two standard errors; at the last depth it does for every pair of the threshold's
-similarity. So the many pairs that share little never meet, unless the records that do
-share enough demand it. Pairs are then verified exactly on the texts. Only labels and
-sketches are shuffled for all records; texts move for verified pairs alone.
+under the longest prefix that they share. How far matched prefixes must be shortened is
+told by a few pilot trees: of the pairs that meet there under a long prefix, and whose bit
+sketches are near enough, the similarity s is estimated, and with it the chance that a pair
+of this kind meets, 1 - (1 - s^depth)^trees. Each weighed by its inverse, the pairs tell how
+all pairs are spread, and so the recall of the forest at every depth. The depth taken is
+the longest whose recall, less two standard errors, reaches the target; the last one does
+for every pair of the threshold's similarity. So the many pairs that share little never
+meet, unless the records that do share enough demand it. Pairs are then verified exactly on
+the texts. Only labels and sketches are shuffled for all records; texts move for verified
+pairs alone.
 
 Results in special cases: null and blank texts and texts of fewer than five characters
 match nothing; repeated rows count once; an id with several texts matches by any of them;
@@ -26,17 +27,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canonry.functions.text import compact, digest
+from canonry.functions.text import digest
 from canonry.session import cut, release, table
 
 WIDTH = 5
 THRESHOLD = 0.6
 RECALL = 0.995
 #: Values of a signature, trees, and the depths of matched prefixes by turns, a value of its own for each tree and depth.
-BINS, TREES, DEPTHS = 1024, 66, (12, 10, 8, 7, 6, 5)
+BINS, TREES, DEPTHS = 1024, 66, (12, 11, 10, 9, 8, 7, 6, 5)
+#: Pilot trees and the depth of their prefixes.
+PILOT_TREES, PILOT_DEPTH = 8, 10
 #: Pairs found that it takes to estimate recall from; with fewer the last depth decides.
 LEAST_PAIRS = 100
 #: Bits of the sketch that may differ: four standard deviations beyond what the threshold gives.
@@ -95,8 +99,17 @@ def signature(h: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _normal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts in lower case without white space, blank ones left out, with the key of the class of equal ones."""
     for batch in batches:
+        out = batch[["kind", "id"]].copy()
+        out["text"] = ["".join(t.lower().split()) for t in batch.text]
+        out["key"] = [xxhash.xxh3_128_hexdigest(f"{k}\n{t}".encode("utf-8", "replace")) for k, t in zip(out.kind, out.text, strict=True)]
+        yield out[out.text != ""]
+
+
+def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in _normal(batches):
         rows = []
         for text in batch.text:
             h = grams(text)
@@ -125,14 +138,14 @@ def _verify(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.Da
 
 
 def classes(rows: DataFrame) -> DataFrame:
-    """kind, id, key, text of ``rows`` (kind, id, text): key names the class of equal texts."""
-    own = rows.select("kind", "id", F.lower(compact(F.col("text"))).alias("text")).where((F.length("text") > 0) & F.col("id").isNotNull())
-    return own.select("kind", "id", F.concat(F.hex(F.xxhash64("kind", "text")), F.hex(F.xxhash64(F.lit(1), F.reverse("text")))).alias("key"), "text")
+    """kind, id, text, key of ``rows`` (kind, id, text): key names the class of equal texts."""
+    return rows.where("id is not null and text is not null").select("kind", "id", "text").mapInPandas(_normal, "kind string, id string, text string, key string")
 
 
 def sketches(rows: DataFrame) -> DataFrame:
     """kind, id, key of every record with a text, its number of sequences, label of all trees and sketch."""
-    return cut(classes(rows).mapInPandas(_sketch, "kind string, id string, key string, n int, label binary, s0 bigint, s1 bigint, s2 bigint, s3 bigint"))
+    own = rows.where("id is not null and text is not null").select("kind", "id", "text")
+    return cut(own.mapInPandas(_sketch, "kind string, id string, key string, n int, label binary, s0 bigint, s1 bigint, s2 bigint, s3 bigint"))
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -142,7 +155,7 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if held <= BROADCAST_BYTES else df
 
 
-def meetings(one: DataFrame, depth: int, threshold: float) -> DataFrame:
+def meetings(one: DataFrame, depth: int, threshold: float, trees: int = TREES) -> DataFrame:
     """(a, b, differing), a < b: classes that share a prefix of this depth in some tree and
     whose sketches are near enough, with the number of bits that differ.
 
@@ -150,7 +163,7 @@ def meetings(one: DataFrame, depth: int, threshold: float) -> DataFrame:
     which are one class, many share a long prefix only if they are near-duplicates, whose
     pairs are the result.
     """
-    tree = one.select("class", "kind", "n", "label", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    tree = one.select("class", "kind", "n", "label", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     prefix = F.xxhash64("kind", "tree", F.expr(f"substring(label, tree * {DEPTHS[0]} + 1, {depth})"))
     leaves = tree.select(prefix.alias("prefix"), "class", "n")
     x, y = (leaves.select("prefix", F.col("class").alias(s), F.col("n").alias(f"n_{s}")) for s in "ab")
@@ -162,26 +175,24 @@ def meetings(one: DataFrame, depth: int, threshold: float) -> DataFrame:
     return cut(near.select("a", "b", differing.alias("differing")))
 
 
-def recall_of(found: DataFrame, depth: int, threshold: float) -> tuple[int, float]:
-    """Pairs found of the threshold's similarity, and the share of all that they are, less two standard errors."""
+def depth_for(pilot: DataFrame, threshold: float, recall: float) -> int:
+    """The longest prefix with which the forest reaches the recall, by the pairs met in the pilot trees."""
     similarity = F.lit(1.0) - F.col("differing") * 2.0 / SKETCH
-    met = found.where(similarity >= threshold).select(chance(similarity, depth).alias("p"))
-    n, total, spread = met.agg(F.count(F.lit(1)), F.sum(1 / F.col("p")), F.sum((1 - F.col("p")) / F.col("p") ** 2)).first()
-    return n, n / (total + 2 * spread**0.5) if n else 0.0
+    own = pilot.where(similarity >= threshold).select(similarity.alias("s")).select("s", (1 / chance(F.col("s"), PILOT_DEPTH, PILOT_TREES)).alias("w"))
+    missed = {d: 1 - chance(F.col("s"), d) for d in DEPTHS}
+    each = [x for d in DEPTHS for x in (F.sum(F.col("w") * missed[d]).alias(f"m{d}"), F.sum(F.col("w") * (F.col("w") - 1) * missed[d] ** 2).alias(f"v{d}"))]
+    r = own.agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("all"), *each).first()
+    for d in DEPTHS:
+        if r.n >= LEAST_PAIRS and r[f"m{d}"] + 2 * r[f"v{d}"] ** 0.5 <= (1 - recall) * r["all"]:
+            return d
+    return next(d for d in DEPTHS if d == DEPTHS[-1] or chance(threshold, d) >= recall)
 
 
 def candidates(one: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """Pairs of classes that meet: prefixes are shortened until the target recall is reached."""
-    found = None
-    for depth in DEPTHS:
-        before, found = found, meetings(one, depth, threshold)
-        if before is not None:
-            release(before)
-        if depth == DEPTHS[-1] or chance(threshold, depth) >= recall:
-            break
-        n, share = recall_of(found, depth, threshold)
-        if n >= LEAST_PAIRS and share >= recall:
-            break
+    """Pairs of classes that meet in the forest, under prefixes as long as the target recall allows."""
+    pilot = meetings(one, PILOT_DEPTH, threshold, PILOT_TREES)
+    found = meetings(one, depth_for(pilot, threshold, recall), threshold)
+    release(pilot)
     return found
 
 

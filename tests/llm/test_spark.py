@@ -264,3 +264,25 @@ def test_branch_and_bound_equals_brute_force(spark):
         assert abs(sum(trust(x[6]) for x in got.values()) - best) < 1e-9
         if len(got) == 2 and got["fileno"][3] in held:
             assert (got["fileno"][3], got["pub_date"][5]) in seen
+
+
+def test_forest_finds_planted_pairs(spark):
+    """Recall at the depth that the pilot trees tell, on planted pairs of several similarities."""
+    rng = random.Random(12)
+    make = lambda n: "".join(rng.choice("甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳") for _ in range(n))
+    data, planted = [], set()
+    for i in range(400):
+        a = make(400)
+        b = list(a)
+        for _ in range(rng.choice([2, 5, 9, 14])):
+            b[rng.randrange(400)] = rng.choice("甲乙丙丁")
+        data += [("law", f"a{i:03}", a), ("law", f"b{i:03}", "".join(b))]
+        x, y = p2_near.grams(a), p2_near.grams("".join(b))
+        common = len(set(x.tolist()) & set(y.tolist()))
+        if common >= 0.6 * (len(x) + len(y) - common):
+            planted.add((f"a{i:03}", f"b{i:03}"))
+    df = spark.createDataFrame(data, "kind string, id string, text string")
+    known = p2_near.sketches(df)
+    ids = {r.key: r.id for r in known.collect()}
+    found = {tuple(sorted((ids[r.a], ids[r.b]))) for r in p2_near.near_pairs(df, known).collect()}
+    assert found <= planted and len(found) >= 0.99 * len(planted) and len(planted) > 300
