@@ -4,7 +4,9 @@ Every vertex draws an exponentially distributed head start from a hash of its id
 grow from these shifted starts: a vertex joins the centre that maximises head start minus
 distance. Clusters contract to super-vertices, the edges between clusters form the next,
 smaller graph, and so on until no edge is left. The assignments of all levels compose to
-one group per entity.
+one group per entity. Entities are numbered in their order, so that all levels work on
+numbers, the least number of a group is its smallest entity, and what a vertex is offered,
+head start and centre, is one number whose maximum is aggregated by hash.
 
 Results in special cases: an empty table, or one without usable links, gives no row; links
 with a null or blank end, self-links and links of other relations count for nothing;
@@ -26,6 +28,8 @@ RATE = 0.2
 HOPS = 4
 #: Links of one vertex that share a salt; a vertex with more is spread over several tasks.
 LINKS_PER_SALT = 20_000
+#: An offer is score * 2 ** CENTRE_BITS + centre; scores have SCORE_BITS binary places.
+CENTRE_BITS, SCORE_BITS = 40, 15
 
 
 def _trim_lower(x: Column) -> Column:
@@ -44,9 +48,30 @@ def links(relations: DataFrame, relation: str = "same_instrument_copy") -> DataF
     )
 
 
-def _head_start(v: Column, level: int) -> Column:
+def numbered(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entity, number) of every entity, numbers ascending with the entities from 0, and the edges in numbers."""
+    ids = edges.select(F.col("u").alias("entity")).unionAll(edges.select(F.col("v").alias("entity"))).distinct().sort("entity")
+    ids = cut(ids.select("entity", F.monotonically_increasing_id().alias("place")))
+    part = F.shiftright("place", 33)
+    sizes = sorted((r.part, r.n) for r in ids.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())  # a row per task of the sort
+    total, first = 0, []
+    for p, n in sizes:
+        first.append((p, total))
+        total += n
+    if total >> CENTRE_BITS:
+        raise ValueError(f"more than 2 ** {CENTRE_BITS} entities")
+    offsets = F.broadcast(edges.sparkSession.createDataFrame(first, "part bigint, first bigint"))
+    numbers = cut(ids.withColumn("part", part).join(offsets, "part").select("entity", (F.col("first") + F.col("place").bitwiseAND((1 << 33) - 1)).alias("number")))
+    release(ids)
+    at = lambda c: numbers.select(F.col("entity").alias(c), F.col("number").alias(f"n{c}"))
+    return numbers, cut(edges.join(at("u"), "u").join(at("v"), "v").select(F.col("nu").alias("u"), F.col("nv").alias("v")))
+
+
+def _first_offer(v: Column, level: int) -> Column:
+    """A vertex's own offer: its head start, to be its own centre."""
     uniform = (F.pmod(F.xxhash64(v, F.lit(level)), F.lit(1 << 40)) + F.lit(1)) / F.lit(float((1 << 40) + 1))
-    return -F.log(uniform) / F.lit(RATE)
+    score = F.floor(-F.log(uniform) / F.lit(RATE) * F.lit(float(1 << SCORE_BITS)))
+    return score.cast("bigint") * F.lit(1 << CENTRE_BITS) + v
 
 
 def _grow(edges: DataFrame, level: int) -> DataFrame:
@@ -54,20 +79,19 @@ def _grow(edges: DataFrame, level: int) -> DataFrame:
     both = edges.select(F.col("u").alias("src"), F.col("v").alias("dst")).unionAll(edges.select(F.col("v").alias("src"), F.col("u").alias("dst")))
     degree = both.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / LINKS_PER_SALT).cast("int").alias("salts"))
     vertices = cut(degree.select(F.col("src").alias("vertex"), "salts"))
+    far = F.lit(1 << (CENTRE_BITS + SCORE_BITS))
     arcs = both.join(vertices.select(F.col("vertex").alias("src"), "salts"), "src").select(
-        "src", "dst", F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt")
+        "src", F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"), "dst", far.alias("cost"), F.lit(None).cast("int").alias("salts")
     )
-    arcs = cut(arcs)
-    state = vertices.select("vertex", "salts", F.struct(_head_start(F.col("vertex"), level).alias("score"), F.col("vertex").alias("centre")).alias("best"))
+    # A vertex offers itself what it has, so that a hop reads the state once.
+    own = vertices.select(F.col("vertex").alias("src"), F.lit(0).alias("salt"), F.col("vertex").alias("dst"), F.lit(0).cast("bigint").alias("cost"), "salts")
+    arcs = cut(arcs.unionAll(own))
+    state = vertices.select("vertex", "salts", _first_offer(F.col("vertex"), level).alias("best"))
     for _ in range(HOPS):
-        spread = state.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-        offers = spread.join(arcs, (spread["vertex"] == arcs["src"]) & (spread["salt"] == arcs["salt"])).select(
-            F.col("dst").alias("vertex"),
-            F.lit(None).cast("int").alias("salts"),
-            F.struct((F.col("best.score") - 1).alias("score"), F.col("best.centre").alias("centre")).alias("best"),
-        )
-        state = state.unionAll(offers).groupBy("vertex").agg(F.max("salts").alias("salts"), F.max("best").alias("best"))
-    grown = cut(state.select("vertex", F.col("best.centre").alias("centre")))
+        spread = state.select(F.col("vertex").alias("src"), "best", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        offers = arcs.join(spread, ["src", "salt"]).select(F.col("dst").alias("vertex"), "salts", (F.col("best") - F.col("cost")).alias("best"))
+        state = offers.groupBy("vertex").agg(F.max("salts").alias("salts"), F.max("best").alias("best"))
+    grown = cut(state.select("vertex", F.pmod("best", F.lit(1 << CENTRE_BITS)).alias("centre")))
     release(vertices, arcs)
     return grown
 
@@ -77,7 +101,11 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` holds distinct links (u, v) with u < v, both strings.
     """
-    edges = cut(edges)
+    named = cut(edges)
+    if named.isEmpty():
+        return named.select(F.col("u").alias("entity"), F.col("v").alias("group"))
+    numbers, edges = numbered(named)
+    release(named)
     level, assigned, least = 0, [], None  # assigned: of each level, its clusters and what is smallest below them
     while not edges.isEmpty():
         clusters = _grow(edges, level)
@@ -92,8 +120,7 @@ def components(edges: DataFrame) -> DataFrame:
         release(before)
         assigned.append((clusters, least))
         level += 1
-    if not assigned:
-        return edges.select(F.col("u").alias("entity"), F.col("v").alias("group")).limit(0)
+    release(edges)
     # Downwards again: a super-vertex without edges keeps its own low, the others take that of the level above.
     found = None
     for clusters, low in reversed(assigned):
@@ -101,8 +128,12 @@ def components(edges: DataFrame) -> DataFrame:
             of_super = low.select("super", F.col("low").alias("group"))
         else:
             of_super = low.join(found.select(F.col("entity").alias("super"), "group"), "super", "left").select("super", F.coalesce("group", "low").alias("group"))
-        found = cut(clusters.join(of_super, clusters["centre"] == of_super["super"]).select(F.col("vertex").alias("entity"), "group"))
-    return found
+        above, found = found, cut(clusters.join(of_super, clusters["centre"] == of_super["super"]).select(F.col("vertex").alias("entity"), "group"))
+        release(clusters, low, *([above] if above is not None else []))
+    name = lambda c: numbers.select(F.col("number").alias(c), F.col("entity").alias(f"{c}_name"))
+    out = cut(found.join(name("entity"), "entity").join(name("group"), "group").select(F.col("entity_name").alias("entity"), F.col("group_name").alias("group")))
+    release(found, numbers)
+    return out
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
