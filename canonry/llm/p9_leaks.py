@@ -31,6 +31,8 @@ SHARE = 0.4
 #: Distinct hashes of items that may be broadcast, 8 bytes each, to drop all other hashes of
 #: documents before they are shuffled. With more items all kept hashes go into the join.
 FILTER_HASHES = 4_000_000
+#: Rows of items' kept hashes, repeated ones included, that may be broadcast to the join, about 40 bytes each; more are joined by a shuffle.
+BROADCAST_PRINTS = 400_000
 #: Characters hashed at once; bounds memory only.
 BLOCK = 1 << 21
 _OTHER = re.compile(r"[\W_]+")
@@ -170,7 +172,7 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
         )
     )
     seeds = hit.select("doc_id", F.explode("hits").alias("x")).select("doc_id", "x.*")
-    met = seeds.join(F.broadcast(prints) if few else prints, ["rule", "hash"])
+    met = seeds.join(F.broadcast(prints) if prints.count() <= BROADCAST_PRINTS else prints, ["rule", "hash"])
     pairs = met.groupBy("doc_id", "item_id", "version", "rule").agg(F.collect_set((F.col("place") - F.col("item_place")).cast("int")).alias("diagonals"))
     texts = own.select("item_id", F.xxhash64("body").alias("version"), F.col("body").alias("item_body")).distinct()
     both = pairs.join(texts, ["item_id", "version"]).join(hit.select("doc_id", "body").dropDuplicates(["doc_id"]), "doc_id")
