@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canonry.functions.dates import china_date, lenient_date
-from canonry.session import cut, table
+from canonry.session import cut, release, table
 
 #: Days that dates of one instrument may differ.
 DAYS = 3
@@ -127,24 +127,27 @@ def _part(core: str, where: str) -> Column:
 
 def matches(a: DataFrame, b: DataFrame, labels: bool = True) -> DataFrame:
     """law_id, source_record_id, rule and, with ``labels``, confidence of every match."""
-    number, core, day = ("number", "core", "day")
+    number, core = ("number", "core")
     by = lambda k: (F.col(k), F.col(k))
-    wide = a.withColumn("near_day", F.explode_outer(F.array(*(F.date_add("day", i) for i in range(-DAYS, DAYS + 1)))))
+    # Days that differ by no more than DAYS meet in a span of 2 * DAYS + 1 days: that of the record, one of the at most two that the law's days touch.
+    span = lambda day: F.floor(F.unix_date(day) / (2 * DAYS + 1))
+    wide = a.withColumn("near_day", F.explode_outer(F.array_distinct(F.array(span(F.date_sub("day", DAYS)), span(F.date_add("day", DAYS))))))
+    by_day = (F.col("near_day"), span(F.col("day")))
     strip = lambda df: df.select(F.struct(*(F.col(f"a.{c}") for c in a.columns)).alias("a"), "b")
     # Rule: pairs by its keys, what must hold, what labels a pair, and whether it is right.
     agree_day, same_name, same_number, other_number, no_day, year_ok, alike = map(F.expr, (_AGREE_DAY, _SAME_NAME, _SAME_NUMBER, _OTHER_NUMBER, _NO_DAY, _YEAR_OK, _MARKED_ALIKE))
     both_numbers = same_number | other_number
     rules = [
         ("number_name", lambda a, b: _pairs(a, b, [by(number), by(core)]), alike, ~no_day, agree_day),
-        ("number_day", lambda a, b: strip(_pairs(wide, b, [by(number), (F.col("near_day"), F.col("day"))])), alike, ~F.col("a.odd"), same_name | _near(2)),
+        ("number_day", lambda a, b: strip(_pairs(wide, b, [by(number), by_day])), alike & agree_day, ~F.col("a.odd"), same_name | _near(2)),
         ("number_near_name", lambda a, b: _pairs(a, b, [by(number)]), alike & _near(2) & year_ok, ~no_day, agree_day),
-        ("name_day", lambda a, b: strip(_pairs(wide, b, [by(core), (F.col("near_day"), F.col("day"))])), alike, both_numbers, same_number),
-        ("near_name_day", lambda a, b: strip(_by_parts(wide, b, [(F.col("near_day"), F.col("day"))])), alike & _near(2), both_numbers, same_number),
+        ("name_day", lambda a, b: strip(_pairs(wide, b, [by(core), by_day])), alike & agree_day, both_numbers, same_number),
+        ("near_name_day", lambda a, b: strip(_by_parts(wide, b, [by_day])), alike & agree_day & _near(2), both_numbers, same_number),
         ("number_unreadable_name", lambda a, b: _pairs(a, b, [by(number)]), (F.col("a.odd") | F.col("a.core").isNull()) & no_day & year_ok & (F.col("b.marks") == ""), ~no_day, agree_day),
         ("name", lambda a, b: _pairs(a, b, [by(core)]), alike & no_day & year_ok, both_numbers, same_number),
         ("near_name", lambda a, b: _by_parts(a, b, []), alike & no_day & year_ok & _near(2), both_numbers, same_number),
     ]
-    open_records, found = b, None
+    open_records, found, passes = b, None, []
     for i, (rule, pairs, holds, labelled, right) in enumerate(rules):
         kept = cut(
             pairs(a, open_records).where(holds & ~other_number).select(
@@ -152,6 +155,7 @@ def matches(a: DataFrame, b: DataFrame, labels: bool = True) -> DataFrame:
                 F.coalesce(F.abs(F.datediff("a.day", "b.day")), F.lit(DAYS + 1)).alias("apart"), F.levenshtein(F.coalesce("a.core", F.lit("")), F.coalesce("b.core", F.lit(""))).alias("edits"),
             )
         )
+        passes.append(kept)
         found = kept if found is None else found.unionAll(kept)
         open_records = open_records.join(kept.select("source_record_id").distinct(), "source_record_id", "left_anti")
     # One instrument per record: the nearest; of equally near ones none.
@@ -160,6 +164,8 @@ def matches(a: DataFrame, b: DataFrame, labels: bool = True) -> DataFrame:
     picked = found.join(best, "source_record_id").where(nearness == F.col("nearest")).groupBy("source_record_id").agg(
         F.min("law_id").alias("law_id"), F.max("law_id").alias("other"), F.min("rule").alias("rule"), F.min("pass").alias("pass")
     ).where("law_id = other")
+    picked = cut(picked)
+    release(*passes)
     if not labels:
         return picked.select("law_id", "source_record_id", "rule")
     # Labelled pairs are looked for among all records, those that stronger rules resolved included.
@@ -188,7 +194,10 @@ def _short_part(core: str, where: str) -> Column:
 
 
 def _matched(spark: SparkSession, sf_dir: str, labels: bool) -> DataFrame:
-    return matches(*map(cut, sides(table(spark, sf_dir, "law_detail"), table(spark, sf_dir, "source_record"))), labels)
+    both = [*map(cut, sides(table(spark, sf_dir, "law_detail"), table(spark, sf_dir, "source_record")))]
+    out = cut(matches(*both, labels))
+    release(*both)
+    return out
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
