@@ -8,8 +8,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 _BLOCK = frozenset("p div br li ul ol tr table td th h1 h2 h3 h4 h5 h6 article section header footer pre dd dt".split())
-_SILENT = frozenset("script style noscript template head".split())
-_KNOWN = _BLOCK | _SILENT | frozenset("html body a span b i u em strong img font small sup sub title meta link tbody thead tfoot nav aside main input form label button center blockquote hr col colgroup iframe object".split())
+_SILENT = frozenset("script style noscript template title".split())
+_KNOWN = _BLOCK | _SILENT | frozenset("html head body a span b i u em strong img font small sup sub title meta link tbody thead tfoot nav aside main input form label button center blockquote hr col colgroup iframe object".split())
 
 
 class Page(HTMLParser):
@@ -41,6 +41,9 @@ class Page(HTMLParser):
             self._cell = []
 
     def handle_endtag(self, tag):
+        if tag not in _KNOWN:
+            self.handle_data(f"</{tag}>")
+            return
         if tag in _SILENT and self._silent:
             self._silent -= 1
         if tag == "title":

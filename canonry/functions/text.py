@@ -78,7 +78,7 @@ def title_keys(title: Column) -> Column:
 
 def fileno_key(fileno: Column) -> Column:
     """Issuer, year and serial number of a document number, in any notation; else null."""
-    x = F.regexp_replace(F.lower(fileno), f"[第号年{PUNCT}]+", "")
+    x = F.regexp_replace(F.lower(narrow(fileno)), f"[第号年{PUNCT}]+", "")
     return F.when(x.rlike(r"^\p{L}+(?:19|20)\d{2}\d+$"), x)
 
 
@@ -124,7 +124,7 @@ def canonical_url(url: Column, keep_query: bool = True) -> Column:
     p = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
     part = lambda i: F.regexp_extract(url, p, i)
     path = F.regexp_replace(part(3), "/{2,}", "/")
-    kept = F.array_join(F.filter(F.split(part(4), "&"), lambda k: (F.length(k) > 0) & ~k.rlike(f"^(?:{TRACKING})(?:=|$)")), "&")
+    kept = F.array_join(F.filter(F.split(part(4), "&"), lambda k: (F.length(k) > 0) & ~k.rlike(f"(?i)^(?:{TRACKING})(?:=|$)")), "&")
     out = F.concat(F.lower(part(1)), F.lit("://"), F.lower(part(2)), F.when(path == "", F.lit("/")).otherwise(path))
     if keep_query:
         out = F.concat(out, F.when(kept == "", F.lit("")).otherwise(F.concat(F.lit("?"), kept)))
@@ -158,15 +158,16 @@ def markdown_body(text: Column) -> Column:
     heading = lambda x: F.when(x.rlike("^第[一二三四五六七八九十百]+章|^Chapter [0-9]+"), F.concat(F.lit("## "), x)).when(x.rlike("^第[一二三四五六七八九十百]+条|^Article [0-9]+"), F.concat(F.lit("**"), F.regexp_extract(x, "^(第[一二三四五六七八九十百]+条|Article [0-9]+)", 1), F.lit("**"), F.regexp_replace(x, "^(?:第[一二三四五六七八九十百]+条|Article [0-9]+)", "")))
     kept = F.filter(lines, lambda x: ~x.rlike("^[-—– ]*[0-9]{1,4}[-—– ]*$"))
 
-    def add(done: Column, x: Column) -> Column:
+    def joined(pair: Column, i: Column) -> Column:
+        """A line with what stands between it and the one before it."""
+        x, last = pair["x"], pair["last"]
+        open_end = ~last.rlike("[。！？；：.!?;:]$") & ~last.rlike("^第[一二三四五六七八九十百]+章|^Chapter [0-9]+")
         head = heading(x)
-        last = F.when(F.size(done) > 0, F.element_at(done, -1))
-        opened = last.isNotNull() & ~last.rlike("[。！？；：.!?;:]$") & ~F.startswith(last, F.lit("## "))
-        blank_between = F.when(last.rlike("[A-Za-z0-9,;)]$") & x.rlike("^[A-Za-z0-9(]"), F.lit(" ")).otherwise(F.lit(""))
-        joined = F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.concat(last, blank_between, x)))
-        return F.when(head.isNotNull(), F.concat(done, F.array(head))).when(opened, joined).otherwise(F.concat(done, F.array(x)))
+        between = F.when(i == 0, F.lit("")).when(head.isNotNull() | ~open_end, F.lit("\n\n")).when(last.rlike("[A-Za-z0-9,;)]$") & x.rlike("^[A-Za-z0-9(]"), F.lit(" ")).otherwise(F.lit(""))
+        return F.concat(between, F.coalesce(head, x))
 
-    return F.array_join(F.aggregate(kept, F.array().cast("array<string>"), add), "\n\n")
+    before = F.concat(F.array(F.lit("")), F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
+    return F.array_join(F.transform(F.arrays_zip(kept.alias("x"), before.alias("last")), joined), "")
 
 
 def markdown_table(matrix: Column) -> Column:

@@ -7,33 +7,45 @@ from pyspark.sql import functions as F
 
 from canonry.session import cut, release
 
+#: Links of one node that share a salt.
+LINKS_PER_SALT = 20_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of undirected edges (a, b): the smallest node of each component.
 
     Alternating large and small stars (the published two-phase MapReduce scheme): every
     step points nodes at smaller ones until all point at the smallest, in logarithmically
-    many rounds for any shape. Each round's edges are written, so no lineage grows.
+    many rounds for any shape. Each round's edges are written, so no lineage grows. Hubs are
+    salted: a node with many links is joined with its smallest in several tasks. Two rounds
+    are equal where count and sum of hashes of their distinct edges are.
     """
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    start = edges
+    held: list[DataFrame] = []
+    state = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    now = state(edges)
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        linked = both.join(low, "u")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.ceil(F.count(F.lit(1)) / LINKS_PER_SALT).cast("int").alias("salts"))
+        low = cut(least.select("u", F.least("u", "m").alias("m"), "salts"))
+        held.append(low)
+        hubs = low.where("salts > 1").select("u", "salts")  # at most the links / LINKS_PER_SALT
+        salted = both.join(F.broadcast(hubs), "u", "left").select("u", "v", F.pmod(F.xxhash64("v"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
+        spread = low.select("u", "m", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        linked = salted.join(spread, ["u", "salt"]).select("u", "v", "m")
         if large:
             return linked.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         own = low.where("u <> m").select("u", F.col("m").alias("v"))
         return linked.where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).unionAll(own).where("u <> v").distinct()
 
     while True:
-        after = cut(star(star(edges, True), False))
-        changed = after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty()
-        if edges is not start:
-            release(edges)
-        edges = after
-        if changed:
+        large = cut(star(edges, True))
+        after = cut(star(large, False))
+        release(edges, large, *held)
+        held.clear()
+        edges, before, now = after, now, state(after)
+        if now == before:
             break
     found = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return found.unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

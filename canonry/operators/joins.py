@@ -55,11 +55,30 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, ri
 
 
 def unique_match(left: DataFrame, right: DataFrame, condition: Column, left_id: str, right_id: str) -> DataFrame:
-    """(left_id, right_id) where exactly one row of ``right`` meets the condition (JN-07, JN-09)."""
+    """(left_id, right_id) where exactly one row of ``right`` meets the condition (JN-07, JN-09).
+
+    For any condition; where it is equal keys and an order in time, ``unique_later`` needs
+    no pairs.
+    """
     n = left.join(right, condition).groupBy(left_id).agg(F.min(right_id).alias(right_id), F.max(right_id).alias("_other"))
     return n.where(F.col(right_id) == F.col("_other")).select(left_id, right_id)
 
 
+def unique_later(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, left_id: str, right_id: str) -> DataFrame:
+    """(left_id, right_id) where exactly one row of ``right`` has the keys and no earlier time (JN-09).
+
+    One of several is out as soon as the last but one time isn't earlier, so of each key only
+    the last row and the last but one time count, which one aggregation gives: a key with very
+    many rows on both sides never multiplies.
+    """
+    by_time = right.where(F.col(right_time).isNotNull()).groupBy(*keys, right_time).agg(F.min(right_id).alias("_a"), F.count(F.lit(1)).alias("_n"))
+    last = by_time.groupBy(*keys).agg(F.max(F.struct(F.col(right_time).alias("t"), F.col("_a").alias("id"), F.col("_n").alias("n"))).alias("_last"))
+    joined = by_time.join(last, keys)
+    second = joined.groupBy(*keys).agg(F.first("_last").alias("_last"), F.max(F.when(F.col(right_time) < F.col("_last.t"), F.col(right_time))).alias("_second"))
+    hit = left.join(second, keys).where((F.col("_last.n") == 1) & (F.col("_last.t") >= F.col(left_time)) & F.coalesce(F.col("_second") < F.col(left_time), F.lit(True)))
+    return hit.select(left_id, F.col("_last.id").alias(right_id))
+
+
 def with_stubs(edges: DataFrame, nodes: DataFrame, end: str, node_id: str) -> DataFrame:
     """One node per end of an edge, a stub where the node table has none (JN-14)."""
     known = nodes.select(F.col(node_id).alias("_known")).distinct()

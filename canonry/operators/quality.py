@@ -43,6 +43,16 @@ def mismatches(a: DataFrame, b: DataFrame, key: str, columns: list[str], check:
     return _issue(x.join(y, key, "full_outer").withColumn("_what", what).where(F.size("_what") > 0), check, F.col(key), F.array_join("_what", ","))
 
 
+def unmirrored(stored: DataFrame, expected: DataFrame, columns: list[str]) -> DataFrame:
+    """References that one side has and the other lacks (VAL-04): the columns and ``side``,
+    ``missing`` where a stored one isn't expected, ``extra`` the other way round.
+
+    Set semantics: repeated references count once; nulls equal nulls.
+    """
+    x, y = stored.select(*columns).distinct(), expected.select(*columns).distinct()
+    return x.exceptAll(y).withColumn("side", F.lit("missing")).unionAll(y.exceptAll(x).withColumn("side", F.lit("extra")))
+
+
 def exactly_one(keys: DataFrame, key: str, rows: DataFrame, check: str) -> DataFrame:
     """Keys that ``rows`` has not exactly once (VAL-05), with how often it has them."""
     n = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

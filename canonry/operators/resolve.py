@@ -58,9 +58,25 @@ def fold(df: DataFrame, group: str, order: str, first_known: list[str], longest:
     present = lambda c: F.nullif(F.nullif(F.trim(F.col(c)), F.lit("")), F.lit("unknown"))
     picks = [F.min(F.when(present(c).isNotNull(), F.struct(F.col(order).alias("o"), present(c).alias("v")))).alias(c) for c in first_known]
     picks += [F.max(F.when(present(c).isNotNull(), F.struct(F.length(c).alias("o"), F.col(c).alias("v")))).alias(c) for c in longest]
-    picks += [F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in union]
     out = df.groupBy(group).agg(F.count(F.lit(1)).alias("merged"), *picks)
-    return out.select(group, "merged", *(F.col(f"{c}.v").alias(c) for c in [*first_known, *longest]), *union)
+    out = out.select(group, "merged", *(F.col(f"{c}.v").alias(c) for c in [*first_known, *longest]))
+    for c in union:  # values are made distinct before they gather, so an array holds each once
+        held = df.select(group, F.explode(c).alias(c)).distinct().groupBy(F.col(group).alias("_g")).agg(F.array_sort(F.collect_list(c)).alias(c))
+        out = out.join(held, out[group].eqNullSafe(held["_g"]), "left").drop("_g").withColumn(c, F.coalesce(c, F.array().cast(held.schema[c].dataType)))
+    return out
+
+
+def common_to_all(df: DataFrame, group: list[str], member: str, value: str) -> DataFrame:
+    """(group, members, value): the values that every member of a group holds (AGG-20).
+
+    A value is common where as many members hold it as the group has; both are counts with
+    partial results, so no set gathers. Groups without a common value give no row; a null
+    value is held by no member.
+    """
+    own = df.select(*group, member, value).distinct()
+    size = own.groupBy(*group).agg(F.count_distinct(member).alias("members"))
+    held = own.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
+    return held.join(size, group).where("_n = members").select(*group, "members", value)
 
 
 def dedupe_passes(df: DataFrame, id_col: str, order: list[str], passes: list[list[str]]) -> DataFrame:

@@ -125,12 +125,8 @@ def latest_capture(spark, d):
 def group_ordinals(spark, d):
     """Days on which several documents were published, numbered by their first document."""
     g = table(spark, d, "documents").select("doc_id", lenient_date(F.col("pub_date")).alias("day")).where("day is not null").groupBy("day").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Ranks over all groups without one task for all: numbers within blocks, plus the sizes of the blocks before.
-    block = F.floor(F.col("first") / 1000)
-    inner = g.withColumn("block", block).withColumn("k", F.row_number().over(W.partitionBy("block").orderBy("first")))
-    sizes = inner.groupBy("block").agg(F.count(F.lit(1)).alias("m"))
-    before = sizes.withColumn("off", F.coalesce(F.sum("m").over(W.orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("block", "off")
-    return inner.join(before, "block").select(F.format_string("day:%04d", (F.col("k") + F.col("off")).cast("int")).alias("group_id"), "first", "n")
+    ranked = windows.ranked(g, ["first"])
+    return ranked.select(F.format_string("day:%04d", F.col("rank").cast("int")).alias("group_id"), "first", "n")
 
 
 def publish_gate(spark, d):
@@ -192,11 +188,13 @@ def ratio_report(spark, d):
 
 
 def common_brands(spark, d):
-    """Per order with several lines, the parts' brands that all its lines share."""
-    l = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    g = l.join(p, "l_partkey").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.min("p_brand").alias("brand"), F.max("p_brand").alias("other"))
-    return g.where("n > 1 and brand = other").select("l_orderkey", "n", "brand")
+    """Per nation and day with several orders, the brands that all its orders hold."""
+    l = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").alias("day"), "o_custkey")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
+    rows = l.join(p, "l_partkey").join(o.join(c, "o_custkey"), "l_orderkey").select("nation", "day", "l_orderkey", "brand")
+    return resolve.common_to_all(rows, ["nation", "day"], "l_orderkey", "brand").where("members > 1")
 
 
 _C = "c AS MATERIALIZED (SELECT DISTINCT capture_id, source_record_id, replace(lower(trim(source_system)), '-', '_') AS system, struct_extract(metadata, 'name') AS name, struct_extract(metadata, 'fileno') AS fileno, struct_extract(metadata, 'pub_date') AS pub_date, struct_extract(metadata, 'pub_org') AS pub_org, struct_extract(content, 'plain_text') AS body, list_transform(assets, lambda a: a.asset_id) AS ids, fetched_at FROM source_record)"
@@ -234,5 +232,5 @@ SQL = {
     "snapshot_changes": f"WITH {_C}, h AS (SELECT source_record_id, capture_id, fetched_at, CASE WHEN length(regexp_replace(body, '[{_WS}]+', '', 'g')) >= 1 THEN sha256(regexp_replace(body, '[{_WS}]+', '', 'g')) END AS b, concat_ws('|', name, fileno, pub_date) AS m FROM c), w AS (SELECT source_record_id, first_value(b) OVER o AS b0, first_value(m) OVER o AS m0, last_value(b) OVER o AS b1, last_value(m) OVER o AS m1 FROM h WINDOW o AS (PARTITION BY source_record_id ORDER BY fetched_at, capture_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) SELECT DISTINCT source_record_id, CASE WHEN b0 IS DISTINCT FROM b1 THEN 'content_changed' ELSE 'metadata_changed' END AS change FROM w WHERE b0 IS DISTINCT FROM b1 OR m0 <> m1",
     "removal_events": "WITH e AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS key, CAST(ts AS DATE) AS run FROM events), r AS (SELECT run, row_number() OVER (ORDER BY run) AS n FROM (SELECT DISTINCT run FROM e)), g AS (SELECT k.key, r.run, r.n, e.run IS NOT NULL AS seen FROM (SELECT DISTINCT key FROM e) k CROSS JOIN r LEFT JOIN e ON e.key = k.key AND e.run = r.run), m AS (SELECT *, n - max(n) FILTER (seen) OVER (PARTITION BY key ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS since FROM g) SELECT key, run, CASE WHEN seen THEN 'restored' ELSE 'removed' END AS event FROM m WHERE (NOT seen AND since = 2) OR (seen AND since > 2)",
     "ratio_report": "SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS quantity, round(sum(l_extendedprice * l_discount) / nullif(sum(l_extendedprice), 0), 6) AS discount_share FROM lineitem GROUP BY 1, 2",
-    "common_brands": "SELECT l_orderkey, count(*) AS n, min(p_brand) AS brand FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1 HAVING count(*) > 1 AND min(p_brand) = max(p_brand)",
+    "common_brands": "WITH x AS MATERIALIZED (SELECT c_nationkey AS nation, o_orderdate AS day, l_orderkey, list_distinct(list(p_brand)) AS brands FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY ALL), g AS (SELECT nation, day, count(*) AS members, list_reduce(list(brands), lambda a, b: list_intersect(a, b)) AS shared FROM x GROUP BY ALL HAVING count(*) > 1) SELECT nation, day, members, unnest(shared) AS brand FROM g",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from canonry.functions import text as T
 from canonry.functions.dates import china_date, lenient_date
 from canonry.functions.ids import family_id
-from canonry.operators import graph, joins
+from canonry.operators import graph, joins, quality
 from canonry.session import cut, table
 
 #: Which family of an edge comes first where several give the same one.
@@ -38,13 +38,11 @@ def copy_suppressed(spark, d):
 
 
 def mirror_check(spark, d):
-    """Per relation: edges, mirrored references, and references that lack their other side."""
+    """Per relation: stored references, and those whose other side isn't stored as well."""
     e = edges(spark, d).select("from_id", "to_id", "relation").distinct()
-    m = graph.mirror(e)
-    out = m.where("direction = 'outgoing'").select(F.col("node").alias("from_id"), F.col("counterpart").alias("to_id"), "relation")
-    back = m.where("direction = 'incoming'").select(F.col("counterpart").alias("from_id"), F.col("node").alias("to_id"), "relation")
-    missing = out.exceptAll(back).unionAll(back.exceptAll(out)).groupBy("relation").agg(F.count(F.lit(1)).alias("missing"))
-    return m.groupBy("relation").agg(F.count(F.lit(1)).alias("refs")).join(missing, "relation", "left").select("relation", "refs", F.coalesce("missing", F.lit(0)).alias("missing"))
+    lacking = quality.unmirrored(e, e.select(F.col("to_id").alias("from_id"), F.col("from_id").alias("to_id"), "relation"), ["from_id", "to_id", "relation"])
+    missing = lacking.where("side = 'missing'").groupBy("relation").agg(F.count(F.lit(1)).alias("missing"))
+    return e.groupBy("relation").agg(F.count(F.lit(1)).alias("refs")).join(missing, "relation", "left").select("relation", "refs", F.coalesce("missing", F.lit(0)).alias("missing"))
 
 
 def mirror_index(spark, d):
@@ -108,10 +106,9 @@ def asof_backward(spark, d):
 
 
 def unique_final(spark, d):
-    left = _orders(spark, d, "P").select(F.col("o_orderkey").alias("draft_id"), F.col("o_custkey").alias("c"), F.col("o_orderpriority").alias("p"), F.col("o_orderdate").alias("t"))
+    left = _orders(spark, d, "P").select(F.col("o_orderkey").alias("draft_id"), "o_custkey", "o_orderpriority", F.col("o_orderdate").alias("t"))
     right = _orders(spark, d, "F").select(F.col("o_orderkey").alias("final_id"), "o_custkey", "o_orderpriority", "o_orderdate")
-    on = (F.col("c") == F.col("o_custkey")) & (F.col("p") == F.col("o_orderpriority")) & (F.col("o_orderdate") >= F.col("t"))
-    return joins.unique_match(left, right, on, "draft_id", "final_id")
+    return joins.unique_later(left, right, ["o_custkey", "o_orderpriority"], "t", "o_orderdate", "draft_id", "final_id")
 
 
 def same_number_classes(spark, d):
@@ -148,7 +145,9 @@ def live_match(spark, d):
 
 
 _NT = lambda c: rf"lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, '^[{T.SPACE}]+|[{T.SPACE}]+$', '', 'g'), '{T.ATTACHMENT}', ''), '{T.SUFFIX}', ''), '[{T.PUNCT.replace(chr(39), chr(39) * 2)}]+', '', 'g'))"
-_FN = lambda c: rf"CASE WHEN regexp_matches(regexp_replace(lower({c}), '[第号年{T.PUNCT.replace(chr(39), chr(39) * 2)}]+', '', 'g'), '^\p{{L}}+(?:19|20)\d{{2}}\d+$') THEN regexp_replace(lower({c}), '[第号年{T.PUNCT.replace(chr(39), chr(39) * 2)}]+', '', 'g') END"
+_NARROW = lambda c: f"translate({c}, '０１２３４５６７８９ＡＢＣＤＥＦＧＨＩＪＫＬＭＮＯＰＱＲＳＴＵＶＷＸＹＺａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ［］（）．，：；！？－', '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz[]().,:;!?-')"
+_BARE = lambda c: rf"regexp_replace(lower({_NARROW(c)}), '[第号年{T.PUNCT.replace(chr(39), chr(39) * 2)}]+', '', 'g')"
+_FN = lambda c: rf"CASE WHEN regexp_matches({_BARE(c)}, '^\p{{L}}+(?:19|20)\d{{2}}\d+$') THEN {_BARE(c)} END"
 _LD = lambda c: rf"CASE WHEN regexp_matches({c}, '^\s*\d{{8}}\s*$') OR regexp_matches({c}, '^\s*\d{{4}}\s*[-/.年]\s*\d{{1,2}}\s*[-/.月]\s*\d{{1,2}}\s*日?([\sT].*)?$') THEN try_cast(regexp_replace({c}, '^\s*(\d{{4}})\s*[-/.年]?\s*(\d{{1,2}})\s*[-/.月]?\s*(\d{{1,2}})\s*日?(?:[\sT].*)?$', '\1-\2-\3') AS DATE) END"
 _DISTINCT = "d AS MATERIALIZED (SELECT DISTINCT from_id, to_id, relation FROM e), m AS (SELECT from_id AS node, 'outgoing' AS direction, relation, to_id AS counterpart FROM d UNION ALL SELECT to_id, 'incoming', relation, from_id FROM d)"
 _LAW = "l AS MATERIALIZED (SELECT DISTINCT struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawId') AS law_id, struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawName') AS name, struct_extract(struct_extract(lawlist, 'law'), 'fileno') AS fileno, struct_extract(struct_extract(lawlist, 'law'), 'pubDate') AS ms FROM law_detail)"
@@ -170,7 +169,7 @@ QUERIES = {
 SQL = {
     "edge_union_first_wins": f"WITH {_EDGES} SELECT from_id, to_id, relation, arg_min(coalesce(source, ''), (CASE source WHEN 'curated' THEN 0 WHEN 'neris_revision' THEN 1 WHEN 'catalog_inference' THEN 2 ELSE 9 END, -coalesce(confidence, 0), coalesce(source, ''))) AS source, arg_min(confidence, (CASE source WHEN 'curated' THEN 0 WHEN 'neris_revision' THEN 1 WHEN 'catalog_inference' THEN 2 ELSE 9 END, -coalesce(confidence, 0), coalesce(source, ''))) AS confidence FROM e GROUP BY ALL",
     "copy_suppressed": f"WITH {_EDGES}, d AS (SELECT DISTINCT from_id, to_id, relation FROM e) SELECT from_id, to_id FROM d WHERE relation = 'same_instrument_copy' AND NOT EXISTS (SELECT 1 FROM d s WHERE s.relation = 'supersedes' AND ((s.from_id = d.from_id AND s.to_id = d.to_id) OR (s.from_id = d.to_id AND s.to_id = d.from_id)))",
-    "mirror_check": f"WITH {_EDGES}, {_DISTINCT} SELECT relation, count(*) AS refs, 0 AS missing FROM m GROUP BY relation",
+    "mirror_check": f"WITH {_EDGES}, d AS MATERIALIZED (SELECT DISTINCT from_id, to_id, relation FROM e) SELECT d.relation, count(*) AS refs, count(*) FILTER (b.from_id IS NULL) AS missing FROM d LEFT JOIN d b ON b.from_id = d.to_id AND b.to_id = d.from_id AND b.relation = d.relation GROUP BY 1",
     "mirror_index": f"WITH {_EDGES}, {_DISTINCT} SELECT node, direction, relation, count(*) AS n, min(counterpart) AS first_counterpart FROM m GROUP BY ALL",
     "degree_pivot": f"WITH {_EDGES}, {_DISTINCT} SELECT node, count(*) AS degree, " + ", ".join(f"count(*) FILTER (relation = '{k}') AS {k}" for k in ("cited_by_case", "related_to", "supersedes", "publishes", "finalizes_draft", "same_instrument_copy")) + " FROM m GROUP BY node",
     "degree_top": f"WITH {_EDGES}, {_DISTINCT} SELECT node, count(*) AS degree FROM m GROUP BY node ORDER BY degree DESC, node LIMIT 20",

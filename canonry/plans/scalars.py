@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from canonry.functions import ids
 from canonry.functions import text as T
 from canonry.functions.dates import china_date, lenient_date
+from canonry.plans.relations import _BARE
 from canonry.session import table
 
 _WS, _P = T.SPACE, T.PUNCT
@@ -123,7 +124,7 @@ SQL = {
     "title_norm": f"{_META} SELECT capture_id, {_on(_NORMAL, 'name')} AS title, regexp_matches(lower(name), '{T.DRAFT}') AS is_draft, regexp_matches(lower(name), '{T.TRIAL}') AS is_trial FROM m",
     "title_quoted": f"{_META} SELECT DISTINCT capture_id, unnest(regexp_extract_all(name, '《([^《》]{{4,120}})》', 1)) AS quoted FROM m",
     "title_keys": f"{_META}, k AS (SELECT capture_id, name, list_prepend(name, regexp_extract_all(name, '《([^《》]{{4,120}})》', 1)) AS l FROM m), n AS (SELECT capture_id, name, list_filter(list_distinct(list_transform(l, lambda t: {_on(_NORMAL, f'''regexp_replace(lower(t), '[(（]?(?:{T.DRAFT})[)）]?', '', 'g')''')})), lambda t: length(t) > 0) AS f FROM k) SELECT capture_id, CASE WHEN name IS NOT NULL THEN coalesce(array_to_string(list_sort(f), ','), '') END AS keys FROM n",
-    "fileno_keys": f"{_META}, x AS (SELECT capture_id, regexp_replace(lower(fileno), '[第号年{_Q}]+', '', 'g') AS n FROM m) SELECT capture_id, CASE WHEN regexp_matches(n, '^\\p{{L}}+(?:19|20)\\d{{2}}\\d+$') THEN n END AS number FROM x",
+    "fileno_keys": f"{_META}, x AS (SELECT capture_id, {_BARE('fileno')} AS n FROM m) SELECT capture_id, CASE WHEN regexp_matches(n, '^\\p{{L}}+(?:19|20)\\d{{2}}\\d+$') THEN n END AS number FROM x",
     "body_hashes": f"WITH x AS (SELECT doc_id, regexp_replace(text, '[{_WS}]+', '', 'g') AS c FROM documents) SELECT doc_id, CASE WHEN length(c) >= 80 THEN sha256(c) END AS hash FROM x",
     "lines_clean": f"WITH l AS (SELECT law_id, list_filter(list_transform(string_split(regexp_replace(full_text, '\\r\\n?', chr(10), 'g'), chr(10)), lambda x: regexp_replace(regexp_replace(x, '[{_WS}]+', ' ', 'g'), '^ | $', '', 'g')), lambda x: length(x) > 0) AS f, full_text FROM law_document) SELECT DISTINCT law_id, CASE WHEN full_text IS NOT NULL THEN sha256(coalesce(array_to_string(f, chr(10)), '')) END AS clean_hash FROM l",
     "letters_digits": f"SELECT doc_id, length(lower({_on(_ND, 'title')})) AS n, lower({_on(_ND, 'title')}) AS letters FROM documents",

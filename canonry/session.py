@@ -22,6 +22,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not sc._jsc.sc().getCheckpointDir().isDefined() and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()

@@ -94,22 +94,27 @@ def file_kind(data: bytes, name: str = "") -> str:
 
 
 def asset_texts(spark: SparkSession, path: str) -> DataFrame:
-    """path, kind, text of binary files (SRC-15); what can't be read has an empty text."""
+    """path, kind, size, text and failure of binary files (SRC-15).
+
+    What can't be read has a null text and says why: ``no reader`` for kinds without one,
+    else the error.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for p, data in zip(batch.path, batch.content, strict=True):
-                kind, text = file_kind(bytes(data), p), ""
+                kind, text, failure = file_kind(bytes(data), p), None, None
                 try:
-                    text = {"xlsx": _sheet_text, "docx": _word_text, "txt": decode, "html": decode, "htm": decode, "csv": decode, "json": decode}.get(kind, lambda _: "")(bytes(data))
-                except Exception:  # a broken file isn't an error of the scan
-                    text = ""
-                rows.append((p, kind, len(data), text))
-            yield pd.DataFrame(rows, columns=["path", "kind", "size", "text"])
+                    read = {"xlsx": _sheet_text, "docx": _word_text, "txt": decode, "html": decode, "htm": decode, "csv": decode, "json": decode}.get(kind)
+                    text, failure = (read(bytes(data)), None) if read else (None, "no reader")
+                except Exception as e:  # a broken file isn't an error of the scan, but it is told
+                    failure = f"{type(e).__name__}: {e}"
+                rows.append((p, kind, len(data), text, failure))
+            yield pd.DataFrame(rows, columns=["path", "kind", "size", "text", "failure"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
-    return files.mapInPandas(run, "path string, kind string, size bigint, text string")
+    return files.mapInPandas(run, "path string, kind string, size bigint, text string, failure string")
 
 
 def registry(endpoints: DataFrame, overlay: DataFrame | None = None) -> DataFrame:
