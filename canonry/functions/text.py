@@ -178,3 +178,87 @@ def markdown_table(matrix: Column) -> Column:
     rows = F.transform(matrix, row)
     rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), width), " | "), F.lit(" |"))
     return F.when(F.size(matrix) > 0, F.array_join(F.concat(F.slice(rows, 1, 1), F.array(rule), F.slice(rows, 2, 1 << 30)), "\n"))
+
+
+#: Phrases that send the reader to an attachment, and marks of sections.
+SEE_ATTACHMENT = "详[细情]?见附件|详情请(?:查看)?附件|全文详见附件|见附件|附件下载|相关文档"
+SECTION = "第[一二三四五六七八九十百千零〇0-9]+[条章节编款项部分]"
+
+
+def low_signal(title: Column, text: Column) -> Column:
+    """Whether a text says nothing beyond its title (FIL-10).
+
+    Title, attachment phrases and section marks are taken out of the text without blanks and
+    punctuation. True if nothing was there, if only the title was, if a phrase was and at
+    most 30 characters are left, or if the title was and at most 8 are. A null text is empty.
+    """
+    bare = lambda x: F.coalesce(F.regexp_replace(x, f"[{PUNCT}]+", ""), F.lit(""))
+    t, x = bare(title), bare(text)
+    rest = F.when(t == "", x).otherwise(F.replace(x, t, F.lit("")))
+    rest = F.regexp_replace(F.regexp_replace(rest, SEE_ATTACHMENT, ""), SECTION, "")
+    return (x == "") | ((t != "") & (rest == "")) | (x.rlike(SEE_ATTACHMENT) & (F.length(rest) <= 30)) | ((t != "") & F.contains(x, t) & (F.length(rest) <= 8))
+
+
+def resolved_link(href: Column, base: Column) -> Column:
+    """Absolute address of a link on a page (FIL-16).
+
+    What leaked behind a quote or blank goes; an address inside another wins; ``//`` means
+    https; ``/`` is the host's; anything else is beside the page. Null for null, empty,
+    script and mail links and for bare fragments.
+    """
+    x = F.regexp_replace(F.trim(href), "[\"'\\s<>].*$", "")
+    nested = F.regexp_extract(x, "^.+?(https?://.+)$", 1)
+    x = F.when(F.length(nested) > 0, nested).otherwise(x)
+    host = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1)
+    folder = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)[^/?#]*", 1)
+    beside = F.concat(F.when(F.length(folder) > F.length(host) + 1, folder).otherwise(F.concat(host, F.lit("/"))), F.regexp_replace(x, r"^(?:\./)+", ""))
+    made = F.when(x.rlike("(?i)^https?://"), x).when(x.startswith("//"), F.concat(F.lit("https:"), x)).when(x.startswith("/"), F.concat(host, x)).otherwise(beside)
+    return F.when((F.length(x) > 0) & ~x.rlike("(?i)^(?:javascript|mailto|tel|data):|^#"), made)
+
+
+def composed_text(parts: Column) -> Column:
+    """An array's non-blank values, trimmed, with a blank line between them (TXT-11); empty for none, null for null."""
+    bare = F.transform(parts, lambda x: F.regexp_replace(x, f"^[{SPACE}]+|[{SPACE}]+$", ""))
+    return F.array_join(F.filter(bare, lambda x: x.isNotNull() & (x != "")), "\n\n")
+
+
+def markdown_main(markdown: Column) -> Column:
+    """Main body of an exported Markdown text (TXT-15): no front matter, first heading, leading
+    table and generated sections (relations, sources, attachments)."""
+    x = F.regexp_replace(markdown, r"^---\n[\s\S]*?\n---\n*", "")
+    x = F.regexp_replace(x, r"^\s*# [^\n]*\n*", "")
+    x = F.regexp_replace(x, r"^\s*(?:\|[^\n]*\|\n*)+", "")
+    x = F.regexp_replace(x, r"(?:^|\n)## (?:关联关系|来源|附件|Relations|Sources|Attachments)\n[\s\S]*$", "")
+    return F.regexp_replace(x, f"^[{SPACE}]+|[{SPACE}]+$", "")
+
+
+#: Endings of names of institutions and of products.
+INSTITUTION = "资产管理有限公司|基金管理有限公司|证券有限公司|有限责任公司|股份有限公司|有限公司|合伙企业"
+
+
+def institutions(text: Column) -> Column:
+    """Distinct names in a text that end as those of institutions do (TXT-19), in order."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?:对|，|、|；|。|^|\s)?((?:[\p{{IsHan}}]{{2,12}}?)(?:{INSTITUTION}))"), 1))
+
+
+def call_arguments(call: Column) -> Column:
+    """The quoted arguments of a call as in ``f('a','b')`` (TXT-20)."""
+    return F.regexp_extract_all(call, F.lit(r"'([^']*)'"), 1)
+
+
+def script_safe(json: Column) -> Column:
+    """JSON that can stand in a script element (TXT-20): ``</`` can't end it."""
+    return F.replace(json, F.lit("</"), F.lit("<\\/"))
+
+
+def unique_present(values: Column) -> Column:
+    """Distinct values in order of first appearance, without nulls and blanks (ARR-01, SET-05)."""
+    return F.array_distinct(F.filter(values, lambda x: x.isNotNull() & (F.trim(x) != "")))
+
+
+def chinese_number(n: Column) -> Column:
+    """A number from 1 to 99 in Chinese (NUM-02); null for others."""
+    digits = F.array(*map(F.lit, ["", *"一二三四五六七八九"]))
+    digit = lambda x: F.element_at(digits, x + 1)
+    tens, ones = F.floor(n / 10).cast("int"), (n % 10).cast("int")
+    return F.when(n.between(1, 9), digit(ones)).when(n.between(10, 99), F.concat(F.when(tens > 1, digit(tens)).otherwise(F.lit("")), F.lit("十"), digit(ones)))

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from canonry.session import cut
+from canonry.operators import graph
+from canonry.session import cut, release
 
 
 def anchor_dedupe(df: DataFrame, keys: list[str], day: str, id_col: str, days: int = 3) -> DataFrame:
@@ -83,23 +84,38 @@ def dedupe_passes(df: DataFrame, id_col: str, order: list[str], passes: list[lis
     """(id, kept_id, pass) of the records that merge in ordered passes (AGG-02).
 
     Each pass groups the survivors of the one before by its key columns; rows with a null
-    key take no part, so blanks never make one giant group. Kept is the first by ``order``,
-    then by id. A record's kept one may itself merge in a later pass; the result follows
-    that on, so every record ends at a survivor.
+    key take no part, so blanks never make one giant group. A key column may be an array, as
+    of addresses or digests: then a record is in the group of each value, and records that
+    share values, directly or through others, merge in this pass. Kept is the first by
+    ``order``, then by id. A record's kept one may itself merge in a later pass; the result
+    follows that on, so every record ends at a survivor.
     """
     alive = cut(df.select(id_col, *dict.fromkeys([*order, *(k for p in passes for k in p)])))
     merged = None
+    rank = F.struct(*order, id_col)
     for n, keys in enumerate(passes):
-        rank = F.struct(*order, id_col)
-        best = alive.dropna(subset=keys).groupBy(*keys).agg(F.min(rank).alias("_best"), F.count(F.lit(1)).alias("_size")).where("_size > 1")
-        gone = cut(alive.join(best, keys).select(id_col, F.col(f"_best.{id_col}").alias("kept_id"), F.lit(n).alias("pass")).where(F.col(id_col) != F.col("kept_id")))
+        arrays = [k for k in keys if alive.schema[k].dataType.typeName() == "array"]
+        each = alive
+        for k in arrays:
+            each = each.withColumn(k, F.explode(F.array_distinct(k)))
+        own = each.dropna(subset=keys)
+        best = own.groupBy(*keys).agg(F.min(rank).alias("_best"), F.count(F.lit(1)).alias("_size")).where("_size > 1")
+        near = own.join(best, keys).select(F.col(id_col).alias("a"), F.col(f"_best.{id_col}").alias("b")).where("a <> b").distinct()
+        if arrays:  # groups of one pass overlap: of each component the first by order is kept
+            of = graph.components(near)
+            ranked = of.join(alive.select(F.col(id_col).alias("node"), *order), "node")
+            first = ranked.groupBy("component").agg(F.min(F.struct(*order, "node")).alias("_b")).select("component", F.col("_b.node").alias("b"))
+            near = of.join(first, "component").select(F.col("node").alias("a"), "b").where("a <> b")
+        gone = cut(near.select(F.col("a").alias(id_col), F.col("b").alias("kept_id"), F.lit(n).alias("pass")))
         if merged is not None:  # those kept by an earlier pass that merge now
             on = gone.select(F.col(id_col).alias("_from"), F.col("kept_id").alias("_to"))
             merged = merged.join(on, merged["kept_id"] == on["_from"], "left").select(id_col, F.coalesce("_to", "kept_id").alias("kept_id"), "pass").unionByName(gone)
         else:
             merged = gone
         merged = cut(merged)
-        alive = cut(alive.join(gone.select(id_col), id_col, "left_anti"))
+        before, alive = alive, cut(alive.join(gone.select(id_col), id_col, "left_anti"))
+        release(before)
+    release(alive)
     return merged
 
 

@@ -148,6 +148,18 @@ _NT = lambda c: rf"lower(regexp_replace(regexp_replace(regexp_replace(regexp_rep
 _NARROW = lambda c: f"translate({c}, '０１２３４５６７８９ＡＢＣＤＥＦＧＨＩＪＫＬＭＮＯＰＱＲＳＴＵＶＷＸＹＺａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ［］（）．，：；！？－', '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz[]().,:;!?-')"
 _BARE = lambda c: rf"regexp_replace(lower({_NARROW(c)}), '[第号年{T.PUNCT.replace(chr(39), chr(39) * 2)}]+', '', 'g')"
 _FN = lambda c: rf"CASE WHEN regexp_matches({_BARE(c)}, '^\p{{L}}+(?:19|20)\d{{2}}\d+$') THEN {_BARE(c)} END"
+_URL = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+
+
+def _CU(c: str, query: bool = True) -> str:  # noqa: N802
+    part = lambda i: f"regexp_extract({c}, '{_URL}', {i})"
+    kept = f"array_to_string(list_filter(string_split({part(4)}, '&'), lambda k: k <> '' AND NOT regexp_matches(lower(k), '^(utm_[a-z]+|_|timestamp|spm|from|source)(=|$)')), '&')"
+    path = f"regexp_replace({part(3)}, '/{{2,}}', '/', 'g')"
+    bare = f"lower({part(1)}) || '://' || lower({part(2)}) || CASE WHEN {path} = '' THEN '/' ELSE {path} END"
+    full = f"{bare} || CASE WHEN coalesce({kept}, '') = '' THEN '' ELSE '?' || {kept} END" if query else bare
+    return f"CASE WHEN regexp_matches({c}, '{_URL}') THEN {full} ELSE {c} END"
+
+
 _LD = lambda c: rf"CASE WHEN regexp_matches({c}, '^\s*\d{{8}}\s*$') OR regexp_matches({c}, '^\s*\d{{4}}\s*[-/.年]\s*\d{{1,2}}\s*[-/.月]\s*\d{{1,2}}\s*日?([\sT].*)?$') THEN try_cast(regexp_replace({c}, '^\s*(\d{{4}})\s*[-/.年]?\s*(\d{{1,2}})\s*[-/.月]?\s*(\d{{1,2}})\s*日?(?:[\sT].*)?$', '\1-\2-\3') AS DATE) END"
 _DISTINCT = "d AS MATERIALIZED (SELECT DISTINCT from_id, to_id, relation FROM e), m AS (SELECT from_id AS node, 'outgoing' AS direction, relation, to_id AS counterpart FROM d UNION ALL SELECT to_id, 'incoming', relation, from_id FROM d)"
 _LAW = "l AS MATERIALIZED (SELECT DISTINCT struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawId') AS law_id, struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawName') AS name, struct_extract(struct_extract(lawlist, 'law'), 'fileno') AS fileno, struct_extract(struct_extract(lawlist, 'law'), 'pubDate') AS ms FROM law_detail)"
