@@ -9,7 +9,7 @@ from canonry.functions import text as T
 from canonry.functions.dates import lenient_date
 from canonry.operators import changes, quality, resolve, windows
 from canonry.operators.cascade import Rule, decide, reasons
-from canonry.plans.relations import _FN, _LD, _NT
+from canonry.plans.relations import _CU, _FN, _LD, _NT
 from canonry.session import table
 
 
@@ -232,5 +232,7 @@ SQL = {
     "snapshot_changes": f"WITH {_C}, h AS (SELECT source_record_id, capture_id, fetched_at, CASE WHEN length(regexp_replace(body, '[{_WS}]+', '', 'g')) >= 1 THEN sha256(regexp_replace(body, '[{_WS}]+', '', 'g')) END AS b, concat_ws('|', name, fileno, pub_date) AS m FROM c), w AS (SELECT source_record_id, first_value(b) OVER o AS b0, first_value(m) OVER o AS m0, last_value(b) OVER o AS b1, last_value(m) OVER o AS m1 FROM h WINDOW o AS (PARTITION BY source_record_id ORDER BY fetched_at, capture_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) SELECT DISTINCT source_record_id, CASE WHEN b0 IS DISTINCT FROM b1 THEN 'content_changed' ELSE 'metadata_changed' END AS change FROM w WHERE b0 IS DISTINCT FROM b1 OR m0 <> m1",
     "removal_events": "WITH e AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS key, CAST(ts AS DATE) AS run FROM events), r AS (SELECT run, row_number() OVER (ORDER BY run) AS n FROM (SELECT DISTINCT run FROM e)), g AS (SELECT k.key, r.run, r.n, e.run IS NOT NULL AS seen FROM (SELECT DISTINCT key FROM e) k CROSS JOIN r LEFT JOIN e ON e.key = k.key AND e.run = r.run), m AS (SELECT *, n - max(n) FILTER (seen) OVER (PARTITION BY key ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS since FROM g) SELECT key, run, CASE WHEN seen THEN 'restored' ELSE 'removed' END AS event FROM m WHERE (NOT seen AND since = 2) OR (seen AND since > 2)",
     "ratio_report": "SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS quantity, round(sum(l_extendedprice * l_discount) / nullif(sum(l_extendedprice), 0), 6) AS discount_share FROM lineitem GROUP BY 1, 2",
+    "candidate_evidence": f"WITH s AS (SELECT {_CU("struct_extract(source, 'page_url')")} AS url, capture_id, web_category_leaf AS leaf FROM source_record) SELECT url, min(capture_id) AS first_capture, coalesce(string_agg(DISTINCT leaf, ',' ORDER BY leaf), '') AS leaves FROM s GROUP BY 1",
+    "integrity_issues": "WITH l AS MATERIALIZED (SELECT DISTINCT law_id, struct_extract(metadata, 'name') AS name, full_text FROM law_document), s AS MATERIALIZED (SELECT DISTINCT capture_id, lower(trim(ingest_status)) AS st, source_record_id FROM source_record), w AS (SELECT DISTINCT b.law_id AS law_id FROM (SELECT unnest(legal_basis) AS b FROM writ_document)), i AS (SELECT 'map_key_unique' AS check_id FROM (SELECT DISTINCT * FROM source_map) GROUP BY source_system, record_id HAVING count(*) > 1 UNION ALL SELECT 'record_mapped' FROM (SELECT DISTINCT source_record_id AS r FROM s) WHERE r NOT IN (SELECT record_id FROM source_map) UNION ALL SELECT 'cited_law_known' FROM w WHERE law_id NOT IN (SELECT law_id FROM l) UNION ALL SELECT 'law_complete' FROM l WHERE trim(coalesce(name, '')) = '' OR trim(coalesce(full_text, '')) = '' UNION ALL SELECT 'status_known' FROM s WHERE st NOT IN ('complete', 'incomplete', 'failed')) SELECT check_id, count(*) AS issues FROM i GROUP BY 1",
     "common_brands": "WITH x AS MATERIALIZED (SELECT c_nationkey AS nation, o_orderdate AS day, l_orderkey, list_distinct(list(p_brand)) AS brands FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY ALL), g AS (SELECT nation, day, count(*) AS members, list_reduce(list(brands), lambda a, b: list_intersect(a, b)) AS shared FROM x GROUP BY ALL HAVING count(*) > 1) SELECT nation, day, members, unnest(shared) AS brand FROM g",
 }

@@ -161,6 +161,7 @@ def _CU(c: str, query: bool = True) -> str:  # noqa: N802
 
 
 _LD = lambda c: rf"CASE WHEN regexp_matches({c}, '^\s*\d{{8}}\s*$') OR regexp_matches({c}, '^\s*\d{{4}}\s*[-/.年]\s*\d{{1,2}}\s*[-/.月]\s*\d{{1,2}}\s*日?([\sT].*)?$') THEN try_cast(regexp_replace({c}, '^\s*(\d{{4}})\s*[-/.年]?\s*(\d{{1,2}})\s*[-/.月]?\s*(\d{{1,2}})\s*日?(?:[\sT].*)?$', '\1-\2-\3') AS DATE) END"
+_KEYS = lambda c: rf"list_filter(list_distinct(list_transform(list_prepend({c}, regexp_extract_all({c}, '《([^《》]{{4,120}})》', 1)), lambda t: {_NT('regexp_replace(lower(t), ' + chr(39) + '[(（]?(?:' + T.DRAFT + ')[)）]?' + chr(39) + ', ' + chr(39) * 2 + ', ' + chr(39) + 'g' + chr(39) + ')')})), lambda t: t <> '')"
 _DISTINCT = "d AS MATERIALIZED (SELECT DISTINCT from_id, to_id, relation FROM e), m AS (SELECT from_id AS node, 'outgoing' AS direction, relation, to_id AS counterpart FROM d UNION ALL SELECT to_id, 'incoming', relation, from_id FROM d)"
 _LAW = "l AS MATERIALIZED (SELECT DISTINCT struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawId') AS law_id, struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawName') AS name, struct_extract(struct_extract(lawlist, 'law'), 'fileno') AS fileno, struct_extract(struct_extract(lawlist, 'law'), 'pubDate') AS ms FROM law_detail)"
 _PROBE = "s AS MATERIALIZED (SELECT DISTINCT capture_id, source_record_id, struct_extract(metadata, 'name') AS name, struct_extract(metadata, 'fileno') AS fileno, struct_extract(metadata, 'pub_date') AS pub_date, struct_extract(source, 'page_url') AS page_url FROM source_record)"
@@ -193,6 +194,8 @@ SQL = {
     "asof_forward": "SELECT p.o_orderkey, (SELECT arg_min(f.o_orderkey, (f.o_orderdate, f.o_orderkey)) FROM orders f WHERE f.o_orderstatus = 'F' AND f.o_custkey = p.o_custkey AND f.o_orderdate > p.o_orderdate) AS as_of_id FROM orders p WHERE p.o_orderstatus = 'P'",
     "asof_backward_unique": "WITH n AS (SELECT p.o_orderkey, f.o_orderkey AS k, f.o_orderdate AS t, max(f.o_orderdate) OVER (PARTITION BY p.o_orderkey) AS last FROM orders p LEFT JOIN orders f ON f.o_orderstatus = 'F' AND f.o_custkey = p.o_custkey AND f.o_orderdate < p.o_orderdate WHERE p.o_orderstatus = 'O') SELECT o_orderkey, CASE WHEN count(*) FILTER (t = last) = 1 THEN min(k) FILTER (t = last) END AS as_of_id FROM n GROUP BY o_orderkey",
     "unique_final": "SELECT p.o_orderkey AS draft_id, min(f.o_orderkey) AS final_id FROM orders p JOIN orders f ON f.o_orderstatus = 'F' AND f.o_custkey = p.o_custkey AND f.o_orderpriority = p.o_orderpriority AND f.o_orderdate >= p.o_orderdate WHERE p.o_orderstatus = 'P' GROUP BY 1 HAVING count(*) = 1",
+    "same_number_classes": f"WITH s AS MATERIALIZED (SELECT DISTINCT source_record_id, struct_extract(metadata, 'name') AS name, {_FN("struct_extract(metadata, 'fileno')")} AS number FROM source_record), w AS MATERIALIZED (SELECT DISTINCT source_record_id, number, unnest({_KEYS('name')}) AS key FROM s WHERE number IS NOT NULL AND name IS NOT NULL), g AS (SELECT number, key, min(source_record_id) AS class_id, count(*) - 1 AS links FROM w GROUP BY ALL HAVING count(*) > 1) SELECT w.source_record_id, number, key, class_id, links FROM w JOIN g USING (number, key)",
+    "live_match": f"WITH l AS MATERIALIZED (SELECT DISTINCT law_id, {_CU("struct_extract(source, 'page_url')", False)} AS url, {_NT("struct_extract(metadata, 'name')")} AS title FROM law_document), s AS MATERIALIZED (SELECT DISTINCT capture_id, {_CU("struct_extract(source, 'page_url')", False)} AS url, {_NT("struct_extract(metadata, 'name')")} AS title FROM source_record), u AS (SELECT url, min(law_id) AS a FROM l GROUP BY 1), t AS (SELECT title, min(law_id) AS b FROM l WHERE title <> '' GROUP BY 1) SELECT capture_id, coalesce(a, b) AS law_id, CASE WHEN a IS NOT NULL THEN 'url' WHEN b IS NOT NULL THEN 'title' END AS by FROM s LEFT JOIN u ON u.url = s.url LEFT JOIN t ON t.title = s.title",
     "asset_inventory": "WITH a AS (SELECT asset_id, arg_max(download_status, updated_at) AS any_status FROM asset_record GROUP BY 1), l AS (SELECT asset_id, first(download_status ORDER BY updated_at DESC, download_status DESC NULLS LAST) AS status FROM asset_record GROUP BY 1), u AS (SELECT unnest(list_transform(assets, lambda x: x.asset_id)) AS asset_id FROM source_record), n AS (SELECT asset_id, count(*) AS mentions FROM u WHERE asset_id IS NOT NULL GROUP BY 1) SELECT CASE WHEN l.asset_id IS NULL THEN 'named_only' WHEN n.asset_id IS NULL THEN 'stored_only' ELSE 'both' END AS seen, status, count(*) AS n FROM l FULL JOIN n USING (asset_id) GROUP BY ALL",
     "map_coverage": "WITH m AS (SELECT DISTINCT source_system AS system, record_id FROM source_map), r AS (SELECT DISTINCT replace(lower(trim(source_system)), '-', '_') AS system, source_record_id AS record_id FROM source_record) SELECT coalesce(m.system, r.system) AS system, count(r.record_id) AS records, count(*) FILTER (m.record_id IS NULL) AS unmapped, count(*) FILTER (r.record_id IS NULL) AS absent FROM m FULL JOIN r ON m.system = r.system AND m.record_id = r.record_id GROUP BY 1",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from canonry.functions import ids
 from canonry.functions import text as T
 from canonry.functions.dates import china_date, lenient_date
-from canonry.plans.relations import _BARE
+from canonry.plans.relations import _BARE, _CU
 from canonry.session import table
 
 _WS, _P = T.SPACE, T.PUNCT
@@ -130,6 +130,8 @@ SQL = {
     "letters_digits": f"SELECT doc_id, length(lower({_on(_ND, 'title')})) AS n, lower({_on(_ND, 'title')}) AS letters FROM documents",
     "shingle_coverage": f"WITH a AS MATERIALIZED (SELECT DISTINCT struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawId') AS law_id, lower({_on(_ND, '''struct_extract(struct_extract(lawlist, 'law'), 'bodyAftCntnt')''')}) AS s FROM law_detail), b AS (SELECT DISTINCT law_id, full_text IS NULL AS no_text, lower({_on(_ND, 'full_text')}) AS t FROM law_document), j AS (SELECT law_id, s, t, range(1, greatest(length(s) - 20 + 1, 1) + 1, 20) AS starts FROM a JOIN b USING (law_id)) SELECT law_id, CASE WHEN length(s) > 0 THEN round(len(list_filter(starts, lambda i: contains(t, substr(s, i, 20)))) / len(starts), 6) END AS coverage FROM j",
     "title_overlap": f"WITH a AS MATERIALIZED (SELECT DISTINCT struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawId') AS law_id, lower({_on(_ND, '''struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawName')''')}) AS a FROM law_detail), b AS MATERIALIZED (SELECT DISTINCT law_id, lower({_on(_ND, '''struct_extract(metadata, 'name')''')}) AS b FROM law_document) SELECT law_id, CASE WHEN length(a) = 0 OR length(b) = 0 THEN 0.0 WHEN contains(a, b) OR contains(b, a) THEN 1.0 ELSE round(len(list_intersect(list_distinct(string_split(a, '')), list_distinct(string_split(b, '')))) / greatest(len(list_distinct(string_split(a, ''))), len(list_distinct(string_split(b, '')))), 6) END AS score FROM a JOIN b USING (law_id)",
+    "urls_canonical": f"{_META} SELECT capture_id, {_CU('page_url')} AS url, {_CU('page_url', False)} AS bare_url, lower(regexp_extract(page_url, '^[A-Za-z]+://([^/:?#]+)', 1)) AS host, regexp_extract(page_url, '\\.([A-Za-z0-9]{{1,5}})([?#].*)?$', 1) AS suffix FROM m",
+    "fingerprints": f"WITH r AS MATERIALIZED (SELECT DISTINCT capture_id, struct_extract(content, 'plain_text') AS t, struct_extract(metadata, 'name') AS a, struct_extract(metadata, 'fileno') AS b, struct_extract(metadata, 'pub_org') AS o, struct_extract(metadata, 'pub_date') AS p, assets FROM source_record), x AS (SELECT *, list_sort(list_filter(list_transform(assets, lambda y: concat_ws(':', y.asset_id, y.sha256)), lambda y: y <> '')) AS l FROM r) SELECT DISTINCT capture_id, sha256(regexp_replace(regexp_replace(coalesce(t, ''), '[{_WS}]+', ' ', 'g'), '^ | $', '', 'g')) AS text_hash, sha256(concat_ws(chr(31), CASE WHEN b <> '' THEN 'fileno=' || b END, CASE WHEN a <> '' THEN 'name=' || a END, CASE WHEN p <> '' THEN 'pub_date=' || p END, CASE WHEN o <> '' THEN 'pub_org=' || o END)) AS fields_hash, sha256(coalesce(array_to_string(l, ','), '')) AS assets_hash FROM x",
     "entity_ids": "SELECT source_system, record_id, 'law_' || substr(sha256(source_system || ':' || record_id), 1, 24) AS made_id FROM source_map",
     "dates_parsed": f"{_META} SELECT capture_id, {_on(_LENIENT, 'pub_date')} AS day, CASE WHEN regexp_matches(pub_date, '^\\d{{4}}-\\d\\d-\\d\\d') THEN try_cast(substr(pub_date, 1, 10) AS DATE) END AS iso_day FROM m",
     "dates_china": f"WITH l AS MATERIALIZED (SELECT struct_extract(lawlist, 'law') AS law FROM law_detail) SELECT DISTINCT law.secFutrsLawId AS law_id, {_on(_CN, 'law.pubDate')} AS published, {_on(_CN, 'law.efctvDate')} AS effective, CAST({_on(_CN, 'law.efctvDate')} - {_on(_CN, 'law.pubDate')} AS INTEGER) AS days FROM l",
