@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that define QUERIES (name to function of session and folder) and SQL (name to DuckDB text).
-MODULES = ["plans.duplicates", "plans.scalars", "plans.relations", "plans.records", "plans.pages", "plans.resolution", "plans.lineage", "plans.texts"]
+MODULES = ["plans.duplicates", "plans.scalars", "plans.relations", "plans.records", "plans.pages", "plans.resolution", "plans.lineage", "plans.texts", "plans.landing"]
 
 
 def _gather(attribute: str) -> dict:

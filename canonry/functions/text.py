@@ -262,3 +262,22 @@ def chinese_number(n: Column) -> Column:
     digit = lambda x: F.element_at(digits, x + 1)
     tens, ones = F.floor(n / 10).cast("int"), (n % 10).cast("int")
     return F.when(n.between(1, 9), digit(ones)).when(n.between(10, 99), F.concat(F.when(tens > 1, digit(tens)).otherwise(F.lit("")), F.lit("十"), digit(ones)))
+
+
+def unmangled(text: Column) -> Column:
+    """Text whose UTF-8 was taken for Latin-1, as it was (TXT-12), also if that happened twice; other
+    text stays. Decided by the shape of the bytes, so it needs no model and no Python."""
+    shape = r"^[\x{00}-\x{FF}]*$"
+    sign = r"[\x{C2}-\x{F4}][\x{80}-\x{BF}]"
+
+    def once(x: Column) -> Column:
+        back = F.try_validate_utf8(F.encode(x, "ISO-8859-1"))
+        return F.when(x.rlike(shape) & x.rlike(sign), F.coalesce(back, x)).otherwise(x)
+
+    return once(once(text))
+
+
+def relinked(markdown: Column, prefix: str, to: str) -> Column:
+    """Markdown whose links below ``prefix`` go below ``to`` (TXT-14)."""
+    quoted = "".join(f"\\{c}" if c in ".^$*+?()[]{}|\\/-" else c for c in prefix)
+    return F.regexp_replace(markdown, rf"\]\({quoted}", "](" + to.replace("\\", "\\\\").replace("$", "\\$"))
