@@ -34,8 +34,13 @@ GLYPHS = (
     "的旳", "资贫", "人入", "由田", "在仕", "会佘", "账帐", "期朗", "市巿", "同冋", "业亚", "基墓", "日曰", "理埋", "内肉", "不个", "应庒", "券劵", "未末", "已己", "第笫",
     "土士", "千干", "天夭", "治冶", "大太", "微徵", "候侯", "拨拔", "折拆", "辨辩", "货贷", "侍待", "徒徙",
 )
-#: Latin glyphs and pairs that scanners take for one another, and what stands for them.
-LATIN = (("1", "l"), ("|", "l"), ("0", "o"), ("5", "s"), ("9", "g"), ("8", "b"), ("6", "b"), ("'", "f"), ("rn", "m"), ("vv", "w"), ("ii", "u"), ("li", "h"), ("cl", "d"), ("i", "l"), ("q", "g"), ("e", "c"))
+#: Latin glyphs and pairs that scanners take for one another, and what stands for them; single ones first, so pairs are found in whatever stands for them.
+LATIN = (
+    ("1", "l"), ("|", "l"), ("0", "o"), ("5", "s"), ("9", "g"), ("8", "b"), ("6", "b"), ("'", "f"), ("q", "g"), ("e", "c"),
+    ("rn", "m"), ("vv", "w"), ("ti", "ii"), ("ii", "u"), ("li", "h"), ("cl", "d"), ("i", "l"),
+)
+#: The same with another reading of ``lii``, in which three strokes can be two glyphs in two ways.
+LATIN_OTHER = (*LATIN[:12], ("li", "h"), ("ti", "ii"), ("ii", "u"), *LATIN[15:])
 #: Bytes, measured, up to which what the corpus says of words goes to all workers; beyond that every text gets what concerns it by a join.
 FORMS_BYTES = 32 << 20
 #: Times that a dominating form, or a word whose own hyphen is in doubt, must be written.
@@ -70,12 +75,21 @@ def _roman(s: str) -> int:
 
 def skeleton(word: str) -> str:
     """A Latin word with one glyph of each confusable group, lower case."""
+    return _stands_for(word, LATIN)
+
+
+def _stands_for(word: str, glyphs: tuple[tuple[str, str], ...]) -> str:
     w = word.lower()
-    for a, b in LATIN:
+    for a, b in glyphs:
         w = w.replace(a, b)
     return w
 
 
+def skeletons(word: str) -> str:
+    """Both readings of a word's skeleton, joined by a line feed where they differ."""
+    return "\n".join(dict.fromkeys((_stands_for(word, LATIN), _stands_for(word, LATIN_OTHER))))
+
+
 def _page_number(line: str) -> tuple[int, int] | None:
     for form, p in enumerate(_PAGE_FORMS):
         if m := p.match(line):
@@ -212,7 +226,7 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words[a + b] += 0
             words[b.split("-")[0]] += 0
             words[a] += 0
-        rows = [("w", w, skeleton(w), None, None, 0, 0, k) for w, k in words.items()]
+        rows = [("w", w, skeletons(w), None, None, 0, 0, k) for w, k in words.items()]
         rows += [("h", a, b, skeleton(f"{a}-{b.split('-')[0]}"), skeleton(a + b.split("-")[0]), 0, 0, 1) for a, b in ends]
         rows += [(what, None, None, None, None, c, o, k) for (what, c, o), k in n.items()]
         yield pd.DataFrame(rows, columns=["what", "form", "other", "hyphened", "joined", "c", "beside", "n"])
@@ -223,13 +237,17 @@ _GLYPH_CODES = np.array(sorted(map(ord, _GLYPH_GROUP)), np.uint32)
 #: The other character of the group of each of _GLYPH_CODES; groups are pairs.
 _GLYPH_OTHER = np.array([next(ord(o) for g in GLYPHS if c in g for o in g if o != c) for c in map(chr, _GLYPH_CODES.tolist())], np.int64)
 
+_GLYPH_FIRST = np.array([ord(_GLYPH_GROUP[c]) for c in map(chr, _GLYPH_CODES.tolist())], np.int64)
+
 
 def _glyphs(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of confusable characters, and the ones before and behind each (0 at the ends)."""
     at = np.searchsorted(_GLYPH_CODES, code)
     at[at == len(_GLYPH_CODES)] = 0
     places = np.flatnonzero(_GLYPH_CODES[at] == code) if len(code) else np.empty(0, np.int64)
-    padded = np.concatenate([[0], code, [0]]).astype(np.int64)
+    # A neighbour may be misread itself: of each group the first character stands for all.
+    one = np.where(_GLYPH_CODES[at] == code, _GLYPH_FIRST[at], code.astype(np.int64)) if len(code) else code.astype(np.int64)
+    padded = np.concatenate([[0], one, [0]]).astype(np.int64)
     return places, padded[places], padded[places + 2]
 
 
@@ -353,11 +371,11 @@ def learned(rows: DataFrame) -> tuple[DataFrame, Beside, Beside]:
     kept = ["what", "form", "other", "hyphened", "joined", "c", "beside"]
     n = cut(rows.select("text").mapInPandas(_counts, _COUNTS).groupBy(*kept).agg(F.sum("n").alias("n")))
     words = n.where("what = 'w'").select(F.col("form").alias("word"), F.col("other").alias("skeleton"), "n")
-    groups = words.groupBy("skeleton").agg(F.sum("n").alias("total"), F.max(F.struct("n", "word")).alias("best"))
-    wrong = cut(
-        words.join(groups, "skeleton").where((F.col("best.n") >= DOMINATES) & (F.col("best.word") != F.col("word")) & (F.col("n") < DOMINATED * F.col("best.n")) & (F.length("word") >= 2) & ~F.col("word").rlike("^[0-9]+$"))
-        .select("word", F.col("best.word").alias("right"))
-    )
+    each = words.select("word", "n", F.explode(F.split("skeleton", "\n")).alias("skeleton"))
+    groups = each.groupBy("skeleton").agg(F.sum("n").alias("total"), F.max(F.struct("n", "word")).alias("best"))
+    dominated = (F.col("best.n") >= DOMINATES) & (F.col("best.word") != F.col("word")) & (F.col("n") < DOMINATED * F.col("best.n"))
+    wrong = each.join(groups, "skeleton").where(dominated & (F.length("word") >= 2) & ~F.col("word").rlike("^[0-9]+$"))
+    wrong = cut(wrong.groupBy("word").agg(F.max("best").alias("best")).select("word", F.col("best.word").alias("right")))
     compounds = words.where((F.instr("word", "-") > 0) & (F.col("n") >= 2)).select("word", F.explode(F.split("word", "-")).alias("part"))
     known = compounds.join(wrong.select(F.col("word").alias("part")), "part", "left_semi").select("word").distinct()
     of = lambda key: groups.select(F.col("skeleton").alias(key), F.col("total").alias(f"n_{key}"))
