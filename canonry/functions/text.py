@@ -281,3 +281,17 @@ def relinked(markdown: Column, prefix: str, to: str) -> Column:
     """Markdown whose links below ``prefix`` go below ``to`` (TXT-14)."""
     quoted = "".join(f"\\{c}" if c in ".^$*+?()[]{}|\\/-" else c for c in prefix)
     return F.regexp_replace(markdown, rf"\]\({quoted}", "](" + to.replace("\\", "\\\\").replace("$", "\\$"))
+
+
+def legal_basis(text: Column) -> Column:
+    """Titles quoted in a text with the article cited of each (HTM-02): an array of title and entry,
+    an element per article, with a null entry where none follows; null for null."""
+    item = "《([^《》]{2,120})》((?:[、，和及与]?第[一二三四五六七八九十百零〇0-9]+条(?:第[一二三四五六七八九十]+[款项])*)*)"
+    titles, lists = (F.regexp_extract_all(text, F.lit(item), i) for i in (1, 2))
+
+    def each(pair: Column) -> Column:
+        entries = F.regexp_extract_all(pair["l"], F.lit("第[一二三四五六七八九十百零〇0-9]+条"), 0)
+        made = lambda e: F.struct(pair["t"].alias("title"), e.cast("string").alias("entry"))
+        return F.when(F.size(entries) > 0, F.transform(entries, made)).otherwise(F.array(made(F.lit(None))))
+
+    return F.flatten(F.transform(F.arrays_zip(titles.alias("t"), lists.alias("l")), each))

@@ -136,3 +136,38 @@ def unique_overlap(records: DataFrame, entities: DataFrame, record_id: str, enti
     ends = joined.groupBy(record_id).agg(*(f(F.when(c, F.col(entity_id))).alias(n) for n, f, c in (("s0", F.min, strong), ("s1", F.max, strong), ("w0", F.min, F.lit(True)), ("w1", F.max, F.lit(True)))))
     one = F.when(F.col("s0").isNotNull(), F.when(F.col("s0") == F.col("s1"), F.col("s0"))).when(F.col("w0") == F.col("w1"), F.col("w0"))
     return ends.select(record_id, one.alias(entity_id)).where(F.col(entity_id).isNotNull())
+
+
+def overlap_rounds(records: DataFrame, entities: DataFrame, record_id: str, entity_id: str, keys: str, agree: list[str], order: str) -> DataFrame:
+    """(record_id, entity_id, round) of records merged into entities, blanks filled on the way (JN-05).
+
+    A round merges what ``unique_overlap`` finds, at most one record per entity and blank: the
+    first by ``order`` of each entity goes in, and with it the others that agree with it; the
+    entity takes its keys and fills its blanks. Rounds go on until none merges anything, so a
+    record that only fits what an earlier one filled in comes in a later round. All rounds are
+    joins over all rows, no group is worked off in one task.
+    """
+    left, held, found, n = cut(records.select(record_id, order, keys, *agree)), cut(entities.select(entity_id, keys, *agree)), None, 0
+    while True:
+        pairs = unique_overlap(left, held, record_id, entity_id, keys, agree).join(left, record_id)
+        first = pairs.groupBy(entity_id).agg(F.min(F.struct(F.col(order).alias("o"), F.col(record_id).alias("r"), *(F.col(c).alias(f"_{c}") for c in agree))).alias("_f"))
+        fits = [F.coalesce(F.col(c) == F.col(f"_f._{c}"), F.lit(True)) for c in agree]
+        # The first goes in, and those that fit it without adding what it lacks.
+        adds = [F.col(c).isNotNull() & F.col(f"_f._{c}").isNull() & F.col(f"_h_{c}").isNull() for c in agree]
+        now = pairs.join(first, entity_id).join(held.select(F.col(entity_id).alias("_e"), *(F.col(c).alias(f"_h_{c}") for c in agree)), F.col(entity_id) == F.col("_e"))
+        own = F.col(record_id) == F.col("_f.r")
+        ok = reduce(lambda a, b: a & b, fits, F.lit(True)) & ~reduce(lambda a, b: a | b, adds, F.lit(False))
+        merged = cut(now.where(own | ok).select(record_id, entity_id, keys, *agree, own.alias("_own")))
+        step = merged.select(record_id, entity_id, F.lit(n).alias("round"))
+        if merged.isEmpty():
+            release(left, held)
+            return step if found is None else found  # an empty step stays, if it is all there is
+        found = step if found is None else found.unionAll(step)
+        fill = merged.where("_own").select(F.col(entity_id).alias("_e"), *(F.col(c).alias(f"_{c}") for c in agree))
+        # Keys gather per entity; they are distinct first.
+        more = merged.select(entity_id, F.explode(keys).alias("_k")).unionAll(held.select(entity_id, F.explode(keys).alias("_k"))).distinct().groupBy(F.col(entity_id).alias("_g")).agg(F.collect_list("_k").alias("_keys"))
+        grown = held.join(fill, F.col(entity_id) == F.col("_e"), "left").join(more, F.col(entity_id) == F.col("_g"), "left")
+        before, held = held, cut(grown.select(entity_id, F.coalesce("_keys", keys).alias(keys), *(F.coalesce(c, f"_{c}").alias(c) for c in agree)))
+        rest, left = left, cut(left.join(merged.select(record_id), record_id, "left_anti"))
+        release(before, rest)
+        n += 1
