@@ -37,10 +37,10 @@ GLYPHS = (
 #: Latin glyphs and pairs that scanners take for one another, and what stands for them; single ones first, so pairs are found in whatever stands for them.
 LATIN = (
     ("1", "l"), ("|", "l"), ("0", "o"), ("5", "s"), ("9", "g"), ("8", "b"), ("6", "b"), ("'", "f"), ("q", "g"), ("e", "c"),
-    ("rn", "m"), ("vv", "w"), ("ti", "ii"), ("ii", "u"), ("li", "h"), ("cl", "d"), ("i", "l"),
+    ("rn", "m"), ("vv", "w"), ("ii", "u"), ("ti", "u"), ("li", "h"), ("cl", "d"), ("i", "l"),
 )
-#: The same with another reading of ``lii``, in which three strokes can be two glyphs in two ways.
-LATIN_OTHER = (*LATIN[:12], ("li", "h"), ("ti", "ii"), ("ii", "u"), *LATIN[15:])
+#: Strokes such as ``tii`` or ``lii`` can be two glyphs in several ways: the orders in which pairs are replaced.
+READINGS = tuple((*LATIN[:12], *pairs, *LATIN[15:]) for pairs in ((("ii", "u"), ("ti", "u"), ("li", "h")), (("li", "h"), ("ii", "u"), ("ti", "u")), (("ti", "ii"), ("ii", "u"), ("li", "h"))))
 #: Bytes, measured, up to which what the corpus says of words goes to all workers; beyond that every text gets what concerns it by a join.
 FORMS_BYTES = 32 << 20
 #: Times that a dominating form, or a word whose own hyphen is in doubt, must be written.
@@ -86,8 +86,8 @@ def _stands_for(word: str, glyphs: tuple[tuple[str, str], ...]) -> str:
 
 
 def skeletons(word: str) -> str:
-    """Both readings of a word's skeleton, joined by a line feed where they differ."""
-    return "\n".join(dict.fromkeys((_stands_for(word, LATIN), _stands_for(word, LATIN_OTHER))))
+    """A word's skeleton in every reading, each once, joined by line feeds."""
+    return "\n".join(dict.fromkeys(_stands_for(word, r) for r in READINGS))
 
 
 def _page_number(line: str) -> tuple[int, int] | None:
