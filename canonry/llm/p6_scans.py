@@ -169,7 +169,7 @@ def furniture(lines: list[str]) -> set[int]:
                 starts.append(i)
     heads = set()
     if len(starts) > 1:
-        masked = ["".join(_GLYPH_GROUP.get(c, c) for c in re.sub(r"[0-9OoIl|]+", "#", bare[i])) for i in starts]
+        masked = [_mask(bare[i]) for i in starts]
         again = _recurring(masked)
         heads = {i for i, m in zip(starts, masked, strict=True) if m in again}
     # Alternating or single headers: short lines at a page's begin that no sentence or heading explains.
@@ -185,7 +185,38 @@ def furniture(lines: list[str]) -> set[int]:
                 heads.add(i)
             elif i not in heads and _NUMBERED.search(x) and not _INSIDE.search(x):
                 heads.add(i)
-    return pages | heads
+    return pages | heads | _strays(bare, filled, pages | heads, heads)
+
+
+def _mask(line: str) -> str:
+    return "".join(_GLYPH_GROUP.get(c, c) for c in re.sub(r"[0-9OoIl|]+", "#", line))
+
+
+def _strays(bare: list[str], filled: list[int], known: set[int], heads: set[int]) -> set[int]:
+    """Headers of pages whose number is lost: lines like a known header, and short lines that come
+    again and break into a sentence. The signature at a text's end is none."""
+    forms = {m for i in heads if len(m := _mask(bare[i])) >= 5}
+    rest = [(k, i) for k, i in enumerate(filled) if i not in known and 5 <= len(bare[i]) <= 60]
+    masked = {i: _mask(bare[i]) for _, i in rest}
+    lengths = sorted(len(bare[i]) for i in filled if i not in known)
+    width = lengths[int(len(lengths) * 0.8)] if lengths else 0
+    times = Counter(masked.values())
+
+    def breaks_in(k: int) -> bool:
+        return 0 < k < len(filled) - 1 and not _CLOSED.search(bare[filled[k - 1]]) and filled[k - 1] not in known
+
+    def plain(i: int) -> bool:
+        return not (_CLOSED.search(bare[i]) or _INSIDE.search(bare[i]) or _HEADING.match(bare[i]) or _GARBLED.search(bare[i]))
+
+    again = {masked[i] for k, i in rest if times[masked[i]] > 1 and len(bare[i]) < 0.8 * width and breaks_in(k) and plain(i)}
+    out = set()
+    for k, i in rest:
+        m = masked[i]
+        like = m in forms or any(abs(len(m) - len(f)) <= 2 and SequenceMatcher(None, m, f, False).ratio() >= 0.85 for f in forms)
+        signature = k >= len(filled) - 2 and not breaks_in(k)
+        if (like or m in again) and not signature:
+            out.add(i)
+    return out
 
 
 def _body(text: str) -> tuple[list[tuple[int, str]], set[int]]:

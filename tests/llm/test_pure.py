@@ -180,6 +180,12 @@ def test_headers_alike():
     assert p6_scans._recurring([]) == set() and p6_scans._recurring(["ab", "ab"]) == set()
 
 
+def test_headers_of_pages_without_number():
+    body = ["证券公司应当及时核对账户并保存全部资料，不得拖延或者", "隐瞒，并在十日内报送相关资料给协会，由协会会同评级机", "构另行商定具体的办法和期限，逾期不报的按照规定处理。"]
+    lines = ["某某协会规则", *body, "- 3 -", "某某协会规则", *body[:1], "某某协会规贝", *body[1:], "- 4 -", "某某协会规则", *body, "- 5 -", body[0], body[1], body[2], "某某协会规则"]
+    assert p6_scans.furniture(lines) == {0, 4, 5, 7, 10, 11, 15}
+
+
 def test_quality_lines():
     prose = "证券公司应当在十日内报送资料，不得拖延。基金管理人应当核对账户。\n" * 3
     listed = "\n".join(f"{i}. 某某资料" for i in range(20))
