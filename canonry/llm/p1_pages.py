@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from canonry.functions.html import html_fragment
 from canonry.llm.p4_survivor import PLACE_HOLDER, PLACE_HOLDER_LENGTH
 from canonry.session import cut, release, table
 
@@ -93,6 +94,8 @@ def _body_weight(line: str) -> float:
         return 2.0
     if _NEIGHBOUR.match(line) or _COUNTER.search(line):
         return -1.5
+    if line.startswith("- ") and not _SENTENCE.search(line):
+        return -0.7  # an item of a list in markup
     if _SENTENCE.search(line):
         return 3.5 if len(line) >= 10 else 2.0
     if len(line) >= 80:
@@ -345,8 +348,9 @@ def aligned(pages: DataFrame, fixed: DataFrame) -> DataFrame:
     return both.select(*bare.columns, "wrapper").mapInPandas(_align, f"{_PAGE}, begin int, end int, grouped array<boolean>")
 
 
-def site_lines(rows: DataFrame) -> DataFrame:
-    """(kind, id, line_no) of the site's lines of pages (kind, id, host, text)."""
+def settled(rows: DataFrame) -> DataFrame:
+    """Pages of rows (kind, id, host, text) that have a main body: its begin and end, and the
+    lines with whether they are the site's."""
     pages = rows.where("text is not null and id is not null").mapInPandas(_pages, _PAGE).dropDuplicates(["kind", "id", "version"])
     pages = cut(pages.withColumns({"begin": F.lit(0), "end": F.lit(0)}))
     for _ in range(ROUNDS):
@@ -355,8 +359,32 @@ def site_lines(rows: DataFrame) -> DataFrame:
         release(before, fixed)
     x = pages.where("begin < end")
     inside = F.slice("place", F.col("begin") + 1, F.col("end") - F.col("begin"))
-    each = x.where(~F.forall(inside, lambda y: y)).select("kind", "id", "begin", "end", F.posexplode(F.arrays_zip("line", "advert", "grouped")).alias("at", "y"))
-    return each.where((F.col("at") < F.col("begin")) | (F.col("at") >= F.col("end")) | F.col("y.advert") | F.col("y.grouped")).select("kind", "id", F.col("y.line").alias("line_no")).distinct()
+    outside = lambda y, at: (at < F.col("begin")) | (at >= F.col("end")) | y["advert"] | y["grouped"]
+    lines = F.transform(F.arrays_zip("line", "advert", "grouped"), lambda y, at: F.struct(y["line"].alias("line_no"), outside(y, at).alias("site")))
+    return x.where(~F.forall(inside, lambda y: y)).select("kind", "id", "version", lines.alias("lines"))
+
+
+def site_lines(rows: DataFrame) -> DataFrame:
+    """(kind, id, line_no) of the site's lines of pages (kind, id, host, text)."""
+    each = settled(rows).select("kind", "id", F.explode("lines").alias("y"))
+    return each.where("y.site").select("kind", "id", "y.line_no").distinct()
+
+
+def _kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = []
+        for kind, key, version, kept, text in zip(batch.kind, batch.id, batch.version, batch.kept, batch.text, strict=True):
+            if _hash(text) == version:
+                lines = text.split("\n")
+                rows.append((kind, key, "\n".join(lines[i].strip(_TRIM) for i in kept)))
+        yield pd.DataFrame(rows, columns=["kind", "id", "body"])
+
+
+def bodies(rows: DataFrame) -> DataFrame:
+    """(kind, id, body) of pages that have a main body: its lines, trimmed, blank ones left out."""
+    kept = settled(rows).select("kind", "id", "version", F.transform(F.filter("lines", lambda y: ~y["site"]), lambda y: y["line_no"]).alias("kept"))
+    both = kept.join(rows.where("text is not null").select("kind", "id", "text").distinct(), ["kind", "id"])
+    return both.mapInPandas(_kept, "kind string, id string, body string").distinct()
 
 
 def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,4 +401,13 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines(page_rows(spark, sf_dir)).select(F.col("kind").alias("record_kind"), F.col("id").alias("record_id"), "line_no")
 
 
-QUERIES = {"p1_found": p1_found}
+def p1_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main bodies of pages: of plain texts, of markup (kind ``html``) and of decisions."""
+    source = table(spark, sf_dir, "source_record").where("content.html is not null")
+    host = F.coalesce(F.lower(F.regexp_extract("source.page_url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)", 1)), F.lit(""))
+    markup = source.select(F.lit("html").alias("kind"), F.col("capture_id").alias("id"), host.alias("host"), F.replace(html_fragment(F.col("content.html"))["markdown"], F.lit("\n\n"), F.lit("\n")).alias("text"))
+    found = bodies(cut(page_rows(spark, sf_dir).unionAll(markup)))
+    return found.select(F.col("kind").alias("record_kind"), F.col("id").alias("record_id"), "body")
+
+
+QUERIES = {"p1_found": p1_found, "p1_bodies": p1_bodies}

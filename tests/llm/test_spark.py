@@ -143,6 +143,8 @@ def test_pages(spark):
         got.setdefault(r.id, set()).add(r.line_no)
     assert got == {f"a.example{i:02}": {0, 1, 5, 6, 7} for i in range(12)}
     assert p1_pages.site_lines(df.select("kind", "id", "host", "text").limit(0)).count() == 0
+    text = {r.id: r.body for r in p1_pages.bodies(df.select("kind", "id", "host", "text")).collect()}
+    assert text["a.example03"] == "\n".join(x.format(3) for x in body) and text["nohost"] == "一句完整的话，在这里。" and not {"gone", "blank", "none"} & text.keys()
 
 
 def test_leaks(spark):
