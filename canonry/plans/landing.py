@@ -117,6 +117,33 @@ def relinked(spark, d):
     return s.select("capture_id", F.sha2(T.relinked(F.array_join("l", " "), "assets/", "../files/"), 256).alias("md_hash"))
 
 
+def live_findings(spark, d):
+    """JN-21: what matching captures to laws by address, else by title, finds: days that differ, poor coverage, laws that no capture matches."""
+    law = table(spark, d, "law_document").select("law_id", T.normal_title(F.col("metadata.name")).alias("title"), lenient_date(F.col("metadata.pub_date")).alias("day"), "full_text").distinct()
+    by_title = law.where("title <> ''").groupBy("title").agg(F.min("law_id").alias("law_id"))
+    s = table(spark, d, "source_record").select("capture_id", T.normal_title(F.col("metadata.name")).alias("title"), lenient_date(F.col("metadata.pub_date")).alias("cday"), F.col("content.plain_text").alias("text")).distinct()
+    m = s.join(by_title, "title").join(law.select("law_id", "day", "full_text"), "law_id")
+    differs = F.array_compact(F.array(F.when(F.col("day") != F.col("cday"), "day_differs"), F.when(T.shingle_coverage(F.col("full_text"), F.col("text")) < 0.8, "poor_coverage")))
+    found = m.select("law_id", "capture_id", F.explode(differs).alias("finding"))
+    lost = law.select("law_id").distinct().join(m.select("law_id"), "law_id", "left_anti").select("law_id", F.lit(None).cast("string").alias("capture_id"), F.lit("unmatched").alias("finding"))
+    return found.unionAll(lost).distinct()
+
+
+def legal_bases(spark, d):
+    """HTM-02: titles and articles read from a sentence that cites them, here made of each citation."""
+    w = table(spark, d, "writ_document").select("writ_id", F.explode("legal_basis").alias("b")).select("writ_id", F.col("b.law_id").alias("law_id"), F.col("b.entry_title").alias("entry")).distinct()
+    law = table(spark, d, "law_document").select("law_id", F.col("metadata.name").alias("name")).where("name is not null").distinct()
+    text = F.concat(F.lit("依据《"), F.col("name"), F.lit("》"), F.coalesce("entry", F.lit("")), F.lit("，我会决定："))
+    return w.join(law, "law_id").select("writ_id", F.explode(T.legal_basis(text)).alias("x")).select("writ_id", "x.title", "x.entry").distinct()
+
+
+def merged_rounds(spark, d):
+    """JN-05: captures merged into laws in rounds that fill the laws' blanks."""
+    law = table(spark, d, "law_detail").select(F.col("lawlist.law.secFutrsLawId").alias("law_id"), T.fileno_key(F.col("lawlist.law.fileno")).alias("number"), china_date(F.col("lawlist.law.pubDate")).alias("day"), T.title_keys(F.col("lawlist.law.secFutrsLawName")).alias("keys")).where("law_id is not null").distinct()
+    s = table(spark, d, "source_record").select("capture_id", "fetched_at", T.fileno_key(F.col("metadata.fileno")).alias("number"), lenient_date(F.col("metadata.pub_date")).alias("day"), T.title_keys(F.col("metadata.name")).alias("keys")).distinct()
+    return resolve.overlap_rounds(s, law, "capture_id", "law_id", "keys", ["number", "day"], "fetched_at")
+
+
 _WS = T.SPACE
 _ND = lambda c: f"lower(regexp_replace({c}, '[^\\p{{L}}\\p{{N}}]', '', 'g'))"
 _P = T.PUNCT.replace("'", "''")
@@ -125,7 +152,7 @@ _CN = lambda c: f"(DATE '1970-01-01' + CAST(floor(({c} + 28800000) / 86400000.0)
 _LAW = "l AS MATERIALIZED (SELECT DISTINCT struct_extract(lawlist, 'law') AS x FROM law_detail)"
 QUERIES = {
     "records_shape": records, "monitor_inventory": monitor_inventory, "internal_matches": internal_matches, "reconciled": reconciled, "summary_row": summary_row, "asset_roles": asset_roles, "party_seeds": party_seeds,
-    "audit_summary": audit_summary, "entry_items": entry_items, "slices": sliced, "truncated": truncated, "unmangled_names": unmangled_names, "relinked": relinked,
+    "audit_summary": audit_summary, "entry_items": entry_items, "slices": sliced, "truncated": truncated, "unmangled_names": unmangled_names, "relinked": relinked, "live_findings": live_findings, "legal_bases": legal_bases, "merged_rounds": merged_rounds,
 }
 SQL = {
     "records_shape": f"WITH {_LAW}, law AS (SELECT DISTINCT 'neris' AS system, x.secFutrsLawId AS id, NULL AS parent, x.secFutrsLawName AS a, nullif(x.fileno, 'unknown') AS f, x.lawPubOrgName AS b, {_CN('x.pubDate')} AS day, x.lawAthrtyStsCde AS c, x.bodyAftCntnt AS t, NULL AS u, NULL AS file FROM l), pg AS MATERIALIZED (SELECT replace(lower(trim(source_system)), '-', '_') AS system, capture_id AS id, struct_extract(metadata, 'name') AS a, nullif(struct_extract(metadata, 'fileno'), 'unknown') AS f, struct_extract(metadata, 'pub_org') AS b, {_LD('struct_extract(metadata, ' + chr(39) + 'pub_date' + chr(39) + ')')} AS day, lower(trim(ingest_status)) AS c, struct_extract(content, 'plain_text') AS t, struct_extract(source, 'page_url') AS u, material_lane AS lane, assets FROM source_record), page AS (SELECT DISTINCT system, id, a, f, b, day, c, t, u, lane FROM pg), lab AS (SELECT asset_id, min(label) AS label FROM asset_record WHERE asset_id IS NOT NULL GROUP BY 1), n AS (SELECT system, id AS parent, b, day, c, lane, unnest(assets) AS x FROM pg), file AS (SELECT DISTINCT system, x.asset_id AS id, parent, label, b, day, c, x.source_url AS u, x.local_file AS file, lane FROM n LEFT JOIN lab ON lab.asset_id = x.asset_id WHERE x.asset_id IS NOT NULL), txt AS (SELECT local_file, min(plain_text) AS plain FROM asset_text GROUP BY 1), writ AS (SELECT DISTINCT writ_id AS id, struct_extract(metadata, 'name') AS a, struct_extract(metadata, 'fileno') AS f, struct_extract(metadata, 'pub_org') AS b, {_CN('struct_extract(metadata, ' + chr(39) + 'dspt_date_ms' + chr(39) + ')')} AS day, body AS t, struct_extract(source, 'page_url') AS u FROM writ_document), z AS (SELECT system, false AS nested, t, day, f FROM law WHERE id IS NOT NULL UNION ALL SELECT system, false, t, day, f FROM page WHERE id IS NOT NULL UNION ALL SELECT system, true, plain, day, NULL FROM file LEFT JOIN txt ON local_file = file UNION ALL SELECT 'writ', false, t, day, f FROM writ WHERE id IS NOT NULL) SELECT system, nested, count(*) AS n, count(t) AS texts, count(day) AS days, count(f) AS numbers, sum(length(t)) AS characters FROM z GROUP BY ALL",
@@ -135,6 +162,8 @@ SQL = {
     "asset_roles": f"WITH u AS MATERIALIZED (SELECT capture_id, source_record_id, replace(lower(trim(source_system)), '-', '_') AS system, page_role, unnest(assets) AS a FROM source_record), s AS MATERIALIZED (SELECT DISTINCT capture_id, source_record_id, system, page_role, {_SHA('a.sha256')} AS digest FROM u), g AS (SELECT digest, count(DISTINCT capture_id) AS captures, count(DISTINCT source_record_id) AS records, count(DISTINCT system) AS systems, count(DISTINCT page_role) AS roles, bool_and(page_role = 'supporting_material') AS supporting FROM s WHERE digest IS NOT NULL GROUP BY 1 HAVING count(DISTINCT capture_id) > 1) SELECT CASE WHEN records = 1 THEN 'same_record' WHEN supporting THEN 'shared_attachment' WHEN systems > 1 THEN 'across_systems' WHEN roles = 1 THEN 'same_role' ELSE 'mixed' END AS role, count(*) AS digests, sum(captures) AS captures FROM g GROUP BY 1",
     "party_seeds": f"WITH w AS MATERIALIZED (SELECT DISTINCT writ_id, struct_extract(metadata, 'name') AS name, list_filter(parties, lambda p: p.name IS NOT NULL) AS ps, fetched_at FROM writ_document), e AS (SELECT writ_id, fetched_at, unnest(list_transform(ps, lambda p: {{'kind': coalesce(p.party_type, 'org'), 'n': p.name, 'origin': 'party'}})) AS x FROM w WHERE len(ps) > 0 UNION ALL SELECT writ_id, fetched_at, unnest(list_transform(list_distinct(regexp_extract_all(regexp_replace(name, '^关于对?', ''), '(?:对|，|、|；|。|^|\\s)?((?:\\p{{Han}}{{2,12}}?)(?:{T.INSTITUTION}))', 1)), lambda n: {{'kind': 'org', 'n': n, 'origin': 'title'}})) FROM w WHERE ps IS NULL OR len(ps) = 0), k AS (SELECT writ_id, fetched_at, x.kind AS kind, x.n AS n, x.origin AS origin, {_ND('x.n')} AS key FROM e) SELECT kind, key, arg_min(n, (fetched_at, writ_id, n)) AS spelling, arg_min(origin, (fetched_at, writ_id, n)) AS origin, count(DISTINCT writ_id) AS records FROM k WHERE key <> '' GROUP BY ALL",
     "audit_summary": f"WITH {_C}, m AS MATERIALIZED (SELECT DISTINCT capture_id, system, coalesce(material_lane, 'none') AS lane, coalesce(page_role, 'none') AS role, body, title, fileno, day, assets FROM c), f AS (SELECT capture_id, system, lane, role, 'no_text' AS code FROM m WHERE body IS NULL OR regexp_replace(body, '[{_WS}]+', '', 'g') = '' UNION SELECT capture_id, system, lane, role, 'no_number' FROM m WHERE {_FN('fileno')} IS NULL UNION SELECT capture_id, system, lane, role, 'no_day' FROM m WHERE day IS NULL UNION SELECT capture_id, system, lane, role, 'no_assets' FROM m WHERE coalesce(len(assets), 0) = 0 UNION SELECT capture_id, system, lane, role, 'no_title' FROM m WHERE title IS NULL OR regexp_replace(title, '[{_WS}]+', '', 'g') = ''), x AS (SELECT capture_id, code, 'system' AS dimension, system AS value FROM f UNION ALL SELECT capture_id, code, 'lane', lane FROM f UNION ALL SELECT capture_id, code, 'role', role FROM f) SELECT dimension, value, code, count(DISTINCT capture_id) AS captures FROM x GROUP BY ALL",
+    "live_findings": f"WITH l AS MATERIALIZED (SELECT DISTINCT law_id, {_NT('struct_extract(metadata, ' + chr(39) + 'name' + chr(39) + ')')} AS title, {_LD('struct_extract(metadata, ' + chr(39) + 'pub_date' + chr(39) + ')')} AS day, {_ND('full_text')} AS p FROM law_document), t AS (SELECT title, min(law_id) AS law_id FROM l WHERE title <> '' GROUP BY 1), {_C}, s AS MATERIALIZED (SELECT DISTINCT capture_id, {_NT('title')} AS title, day AS cday, {_ND('body')} AS q FROM c), m AS MATERIALIZED (SELECT t.law_id, capture_id, l.day <> cday AS d, len(list_filter(range(1, greatest(length(p) - 20 + 1, 1) + 1, 20), lambda i: contains(q, substr(p, i, 20)))) / len(range(1, greatest(length(p) - 20 + 1, 1) + 1, 20)) < 0.8 AND length(p) > 0 AS c FROM s JOIN t USING (title) JOIN l ON l.law_id = t.law_id) SELECT DISTINCT law_id, capture_id, 'day_differs' AS finding FROM m WHERE d UNION ALL SELECT DISTINCT law_id, capture_id, 'poor_coverage' FROM m WHERE c UNION ALL SELECT DISTINCT law_id, NULL, 'unmatched' FROM l WHERE law_id NOT IN (SELECT law_id FROM m)",
+    "legal_bases": "WITH w AS MATERIALIZED (SELECT DISTINCT writ_id, b.law_id AS law_id, b.entry_title AS entry FROM (SELECT writ_id, unnest(legal_basis) AS b FROM writ_document)), l AS MATERIALIZED (SELECT DISTINCT law_id, struct_extract(metadata, 'name') AS name FROM law_document) SELECT DISTINCT writ_id, name AS title, CASE WHEN regexp_matches(entry, '^第[一二三四五六七八九十百零〇0-9]+条') THEN regexp_extract(entry, '^第[一二三四五六七八九十百零〇0-9]+条') END AS entry FROM w JOIN l USING (law_id) WHERE length(name) BETWEEN 2 AND 120 AND NOT regexp_matches(name, '[《》]')",
     "entry_items": "WITH l AS MATERIALIZED (SELECT DISTINCT struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawId') AS law_id, struct_extract(lawlist, 'lawEntryVOs') AS v FROM law_detail), e AS (SELECT law_id, generate_subscripts(v, 1) - 1 AS place, unnest(v) AS e FROM l), i AS (SELECT law_id, place, e.secFutrsLawEntryId AS entry_id, generate_subscripts(e.itemList, 1) - 1 AS item_place, unnest(e.itemList) AS i FROM e WHERE len(e.itemList) > 0 UNION ALL SELECT law_id, place, e.secFutrsLawEntryId, NULL, NULL FROM e WHERE e.itemList IS NULL OR len(e.itemList) = 0) SELECT DISTINCT law_id, CAST(place AS INTEGER) AS place, entry_id, CAST(item_place AS INTEGER) AS item_place, i.secFutrsLawEntryId AS item_id, sha256(coalesce(i.cntnt, '')) AS item_hash FROM i",
     "slices": f"WITH {_LAW}, t AS MATERIALIZED (SELECT DISTINCT x.secFutrsLawId AS law_id, regexp_replace(x.bodyAftCntnt, '[{_WS}]+', '', 'g') AS c FROM l WHERE length(x.bodyAftCntnt) > 40), s AS (SELECT law_id, c, substr(c, 1, 10) AS a, right(c, 10) AS z FROM t) SELECT law_id, CASE WHEN (length(c) - length(replace(c, a, ''))) / length(a) = 1 AND (length(c) - length(replace(c, z, ''))) / length(z) = 1 AND strpos(c, a) < strpos(c, z) THEN sha256(substr(c, strpos(c, a), strpos(c, z) - strpos(c, a))) END AS slice_hash FROM s",
     "truncated": "WITH c AS (SELECT doc_id, title, list_transform(range(1, CAST(length(title) AS BIGINT) + 1), lambda i: substr(title, 1, i)) AS p FROM documents) SELECT doc_id, CASE WHEN title IS NOT NULL THEN coalesce(list_filter(p, lambda x: strlen(x) <= 60)[-1], '') END AS stem FROM c",
