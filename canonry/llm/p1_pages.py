@@ -275,7 +275,7 @@ def inferred(pages: DataFrame) -> DataFrame:
 
 def wrappers(pages: DataFrame) -> DataFrame:
     """kind, host and, in order, the tokens of the wrapper of each host that has one."""
-    every = cut(inferred(pages))
+    every = inferred(pages)
     at = every.select("kind", "host", "pages", F.posexplode(F.arrays_zip("token", "whole", "support")).alias("at", "x")).select("kind", "host", "pages", "at", "x.*")
     each = at.select("kind", "host", "pages", F.explode(F.array_distinct(F.array("token", "whole"))).alias("token"), "support").where("token <> 0")
     by_host = each.groupBy("kind", "host", "token").agg(F.first("pages").alias("pages"), F.sum("support").alias("hits")).withColumn("hits", F.least("hits", "pages")).where(F.col("hits") >= LEAST_PAGES)
@@ -289,7 +289,9 @@ def wrappers(pages: DataFrame) -> DataFrame:
     # A group stands under its token where that is the host's own, else under its text.
     either = at.select("kind", "host", "at", F.explode(F.array(F.struct(F.lit(0).alias("rank"), F.col("token").alias("token")), F.struct(F.lit(1).alias("rank"), F.col("whole").alias("token")))).alias("x")).select("kind", "host", "at", "x.*")
     kept = either.join(own, ["kind", "host", "token"]).groupBy("kind", "host", "at").agg(F.min_by("token", "rank").alias("token"))
-    return cut(kept.groupBy("kind", "host").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("wrapper")))
+    made = cut(kept.groupBy("kind", "host").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("wrapper")))
+    release(every)
+    return made
 
 
 def body(weight: np.ndarray, fixed: np.ndarray) -> tuple[int, int]:
