@@ -46,6 +46,11 @@ def digest(sha: Column) -> Column:
 
 #: White space and punctuation that titles and numbers are compared without.
 PUNCT = SPACE + r"，。、；：？！“”‘’（）《》〈〉【】〔〕﹝﹞｜\[\]().,;:?!\"'·—_…|/\\-"
+#: What titles and numbers are compared without, and entities that titles can hold.
+TITLE_PUNCT = SPACE + "·•,，。；;:：()（）\\[\\]【】《》“”\"'、—-"
+ENTITIES = {"&nbsp;": "\u00a0", "&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">", "&ldquo;": "“", "&rdquo;": "”", "&lsquo;": "‘", "&rsquo;": "’", "&middot;": "·", "&mdash;": "—", "&ndash;": "–", "&hellip;": "…", "&amp;": "&"}
+#: Fixed value: what a request for opinions puts before a title.
+ORDER_PREFIX = "^(?:关于)?(?:公开征求意见|征求意见)(?:的)?(?:通知|公告)?"
 #: What marks a draft or a trial version in a title.
 DRAFT = "征求意见稿|草案|意见稿|consultation draft|draft"
 TRIAL = "试行|trial"
@@ -54,15 +59,31 @@ ATTACHMENT = r"^附件(?:\s*\d+(?:-\d+)?)?\s*[：:、.\-]?\s*"
 SUFFIX = r"(?i)\.(?:pdf|docx?|xlsx?|zip|rar|rtf|wps)$"
 
 
+def unescaped(text: Column) -> Column:
+    """Text with the entities of ENTITIES and numeric ones as characters; others stay."""
+    number = lambda x, code, n: F.replace(x, code, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+    valid = lambda n: n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+
+    def numeric(x: Column, pattern: str, base: int) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(x, F.lit(pattern), 0))
+        value = lambda code: F.conv(F.regexp_extract(code, pattern, 1), base, 10).cast("bigint")
+        return F.aggregate(found, x, lambda t, code: F.when(valid(value(code)), number(t, code, value(code))).otherwise(t))
+
+    x = numeric(numeric(text, "&#([0-9]{1,7});", 10), "&#[xX]([0-9a-fA-F]{1,6});", 16)
+    for entity, char in ENTITIES.items():
+        x = F.replace(x, F.lit(entity), F.lit(char))
+    return F.when(F.contains(text, F.lit("&")), x).otherwise(text)
+
+
 def clean_title(title: Column) -> Column:
-    """Title without outer blanks, a leading attachment mark and a file suffix."""
-    x = F.regexp_replace(title, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    """Title without entities, outer blanks, a leading attachment mark and a file suffix."""
+    x = F.regexp_replace(unescaped(title), f"^[{SPACE}]+|[{SPACE}]+$", "")
     return F.regexp_replace(F.regexp_replace(x, ATTACHMENT, ""), SUFFIX, "")
 
 
 def normal_title(title: Column) -> Column:
-    """Cleaned title without white space and punctuation, lower case."""
-    return F.lower(F.regexp_replace(clean_title(title), f"[{PUNCT}]+", ""))
+    """Cleaned title without white space and the marks of TITLE_PUNCT, lower case."""
+    return F.lower(F.regexp_replace(clean_title(title), f"[{TITLE_PUNCT}]+", ""))
 
 
 def quoted_titles(text: Column) -> Column:
@@ -71,8 +92,8 @@ def quoted_titles(text: Column) -> Column:
 
 
 def title_keys(title: Column) -> Column:
-    """Distinct normal forms of a title and of the titles quoted in it, draft marks removed."""
-    bare = lambda x: normal_title(F.regexp_replace(F.lower(x), f"[(（]?(?:{DRAFT})[)）]?", ""))
+    """Distinct normal forms of a title and of the titles quoted in it, without draft marks and the words of a request for opinions."""
+    bare = lambda x: normal_title(F.regexp_replace(F.regexp_replace(F.lower(clean_title(x)), f"[(（]?(?:{DRAFT})[)）]?", ""), ORDER_PREFIX, ""))
     return F.filter(F.array_distinct(F.concat(F.array(bare(title)), F.transform(quoted_titles(title), bare))), lambda x: F.length(x) > 0)
 
 
@@ -82,6 +103,14 @@ def fileno_key(fileno: Column) -> Column:
     return F.when(x.rlike(r"^\p{L}+(?:19|20)\d{2}\d+$"), x)
 
 
+def number_keys(fileno: Column) -> Column:
+    """Keys of a document number as it is written (TXT-06): without blanks and marks, in lower case,
+    and the number of an order in it (``第5号``). Empty for none, null for null."""
+    x = F.lower(F.regexp_replace(unescaped(narrow(fileno)), f"[{TITLE_PUNCT}]+", ""))
+    order = F.regexp_extract(x, "第[0-9]+号", 0)
+    return F.when(x.isNotNull(), F.filter(F.array_distinct(F.array(x, order)), lambda k: k != ""))
+
+
 def body_hash(text: Column, least: int = 80) -> Column:
     """SHA-256 of the text without white space; null under ``least`` characters."""
     x = compact(text)

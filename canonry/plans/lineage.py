@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from canonry.functions import text as T
 from canonry.functions.dates import lenient_date
 from canonry.operators import attachments, clauses, joins, quality, resolve, state, windows
-from canonry.plans.relations import _CU, _FN, _LD, _NT, edges
+from canonry.plans.relations import _CU, _FN, _KEYS, _LD, _NT, edges
 from canonry.session import table
 
 
@@ -324,7 +324,7 @@ SQL = {
     "shared_announcements": f"WITH {_C}, s AS MATERIALIZED (SELECT DISTINCT capture_id, title, org, day FROM c WHERE org IS NOT NULL AND day IS NOT NULL AND title IS NOT NULL), t AS (SELECT org, day, count(DISTINCT title) AS titles, string_agg(DISTINCT '《' || title || '》', '、' ORDER BY '《' || title || '》') AS q FROM s GROUP BY ALL), g AS (SELECT org, day, titles, org || '现公布' || q AS body, len(regexp_extract_all(q, '《[^《》]{{4,120}}》')) AS quoted FROM t) SELECT capture_id, sha256(body) AS body_key, length(body) AS length FROM s JOIN g USING (org, day) WHERE titles >= 2 AND quoted >= 2",
     "case_groups": f"WITH RECURSIVE {_E}, b AS MATERIALIZED (SELECT from_id AS a, to_id AS b FROM e WHERE relation = 'same_instrument_copy' UNION SELECT to_id, from_id FROM e WHERE relation = 'same_instrument_copy'), n AS (SELECT from_id AS node FROM e WHERE relation IN ('same_instrument_copy', 'publishes') UNION SELECT to_id FROM e WHERE relation IN ('same_instrument_copy', 'publishes')), r AS (SELECT node, node AS reached FROM n UNION SELECT r.node, b.b FROM r JOIN b ON r.reached = b.a), g AS MATERIALIZED (SELECT node, min(reached) AS case_id FROM r GROUP BY 1) SELECT node, case_id, count(*) OVER (PARTITION BY case_id) AS size FROM g",
     "dedupe_five_passes": _five(),
-    "successors": f"WITH {_C}, s AS MATERIALIZED (SELECT source_record_id AS id, min(title) AS title, min(org) AS org, min(day) AS day FROM c WHERE source_record_id IS NOT NULL GROUP BY 1), b AS MATERIALIZED (SELECT id, day, trim(regexp_replace(title, '[（(]\\s*(\\d{{4}}年(\\d{{1,2}}月)?)?修订\\s*[）)]$', '')) AS base FROM s WHERE regexp_matches(title, '[（(]\\s*(\\d{{4}}年(\\d{{1,2}}月)?)?修订\\s*[）)]$')), q AS MATERIALIZED (SELECT id, day, base, {_NT('base')} AS key FROM b WHERE length(base) BETWEEN 4 AND 120 AND NOT contains(base, '》')), w AS MATERIALIZED (SELECT id, day, title, unnest(list_distinct(list_prepend({_NT('title')}, list_transform(regexp_extract_all(title, '《([^《》]{{4,120}})》', 1), lambda t: {_NT('t')})))) AS k0 FROM s), w1 AS MATERIALIZED (SELECT id, day, title, unnest(list_distinct(list_filter(list_transform(list_prepend(title, regexp_extract_all(title, '《([^《》]{{4,120}})》', 1)), lambda t: {_NT('regexp_replace(lower(t), ' + chr(39) + '[(（]?(?:' + T.DRAFT + ')[)）]?' + chr(39) + ', ' + chr(39) + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')}), lambda t: t <> ''))) AS k FROM s WHERE title IS NOT NULL), t AS (SELECT k, min(id) AS a, max(id) AS z, min(id) FILTER ({_NT('title')} = k) AS wa, max(id) FILTER ({_NT('title')} = k) AS wz FROM w1 GROUP BY 1), h AS (SELECT q.id AS from_id, q.day AS d0, q.base AS title, CASE WHEN a = z THEN a WHEN wa = wz THEN wa END AS to_id FROM q JOIN t ON t.k = q.key) SELECT from_id, to_id, 'explicit_repeal' AS inference, h.title FROM h JOIN s ON s.id = to_id WHERE from_id <> to_id AND (d0 IS NULL OR s.day IS NULL OR d0 >= s.day)",
+    "successors": f"WITH {_C}, s AS MATERIALIZED (SELECT source_record_id AS id, min(title) AS title, min(org) AS org, min(day) AS day FROM c WHERE source_record_id IS NOT NULL GROUP BY 1), b AS MATERIALIZED (SELECT id, day, trim(regexp_replace(title, '[（(]\\s*(\\d{{4}}年(\\d{{1,2}}月)?)?修订\\s*[）)]$', '')) AS base FROM s WHERE regexp_matches(title, '[（(]\\s*(\\d{{4}}年(\\d{{1,2}}月)?)?修订\\s*[）)]$')), q AS MATERIALIZED (SELECT id, day, base, {_NT('base')} AS key FROM b WHERE length(base) BETWEEN 4 AND 120 AND NOT contains(base, '》')), w1 AS MATERIALIZED (SELECT id, day, title, unnest({_KEYS('title')}) AS k FROM s WHERE title IS NOT NULL), t AS (SELECT k, min(id) AS a, max(id) AS z, min(id) FILTER ({_NT('title')} = k) AS wa, max(id) FILTER ({_NT('title')} = k) AS wz FROM w1 GROUP BY 1), h AS (SELECT q.id AS from_id, q.day AS d0, q.base AS title, CASE WHEN a = z THEN a WHEN wa = wz THEN wa END AS to_id FROM q JOIN t ON t.k = q.key) SELECT from_id, to_id, 'explicit_repeal' AS inference, h.title FROM h JOIN s ON s.id = to_id WHERE from_id <> to_id AND (d0 IS NULL OR s.day IS NULL OR d0 >= s.day)",
     "contract_issues": "WITH r AS MATERIALIZED (SELECT DISTINCT * FROM source_record) SELECT 'required' AS check_id, count(*) AS n FROM r WHERE trim(coalesce(capture_id, '')) = '' OR trim(coalesce(source_record_id, '')) = '' OR trim(coalesce(source_system, '')) = '' OR trim(coalesce(ingest_status, '')) = '' UNION ALL SELECT 'enum_ingest_status', count(*) FROM r WHERE ingest_status NOT IN ('complete', 'incomplete', 'failed') UNION ALL SELECT 'enum_material_lane', count(*) FROM r WHERE material_lane NOT IN ('rule', 'reference', 'case', 'unknown') HAVING count(*) > 0",
     "export_issues": f"WITH {_E}, l AS MATERIALIZED (SELECT DISTINCT struct_extract(lawlist, 'law') AS x FROM law_detail), u AS (SELECT DISTINCT to_id FROM e WHERE to_id NOT IN (SELECT lower(entity_id) FROM source_map)), i AS (SELECT 'effective_before_published' AS check_id FROM l WHERE x.efctvDate < x.pubDate UNION ALL SELECT 'ended_before_effective' FROM l WHERE x.inefctvDate < x.efctvDate UNION ALL SELECT 'no_name' FROM l WHERE x.secFutrsLawName IS NULL OR regexp_replace(x.secFutrsLawName, '[{_WS}]+', '', 'g') = '' UNION ALL SELECT 'version_not_a_day' FROM l WHERE NOT regexp_matches(x.secFutrsLawVersion, '^[0-9]{{8}}$') UNION ALL SELECT 'edge_to_unknown' FROM u) SELECT check_id, count(*) AS n FROM i GROUP BY 1",
     "normalized_issues": f"WITH {_C}, f AS (SELECT local_file FROM asset_record WHERE download_status = 'downloaded' AND local_file IS NOT NULL), a AS (SELECT DISTINCT capture_id, x.local_file AS file FROM (SELECT capture_id, unnest(assets) AS x FROM c)), i AS (SELECT 'empty_text' AS check_id FROM c WHERE body IS NULL OR regexp_replace(body, '[{_WS}]+', '', 'g') = '' UNION ALL SELECT 'markup_left' FROM c WHERE regexp_matches(body, '</?(?:p|div|span|br|table|tr|td|a|img|script|style|ul|li)(?:\\s[^<>]*)?/?>') UNION ALL SELECT 'asset_missing' FROM a WHERE file IS NOT NULL AND file NOT IN (SELECT local_file FROM f)) SELECT check_id, count(*) AS n FROM i GROUP BY 1",

@@ -144,7 +144,8 @@ def live_match(spark, d):
     return j.select("capture_id", F.coalesce("url_match", "title_match").alias("law_id"), F.when(F.col("url_match").isNotNull(), "url").when(F.col("title_match").isNotNull(), "title").alias("by"))
 
 
-_NT = lambda c: rf"lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, '^[{T.SPACE}]+|[{T.SPACE}]+$', '', 'g'), '{T.ATTACHMENT}', ''), '{T.SUFFIX}', ''), '[{T.PUNCT.replace(chr(39), chr(39) * 2)}]+', '', 'g'))"
+_MARKS = T.SPACE + "·•,，。；;:：()（）\\[\\]【】《》“”\"''、—-"
+_NT = lambda c: rf"lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, '^[{T.SPACE}]+|[{T.SPACE}]+$', '', 'g'), '{T.ATTACHMENT}', ''), '{T.SUFFIX}', ''), '[{_MARKS}]+', '', 'g'))"
 _NARROW = lambda c: f"translate({c}, '０１２３４５６７８９ＡＢＣＤＥＦＧＨＩＪＫＬＭＮＯＰＱＲＳＴＵＶＷＸＹＺａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ［］（）．，：；！？－', '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz[]().,:;!?-')"
 _BARE = lambda c: rf"regexp_replace(lower({_NARROW(c)}), '[第号年{T.PUNCT.replace(chr(39), chr(39) * 2)}]+', '', 'g')"
 _FN = lambda c: rf"CASE WHEN regexp_matches({_BARE(c)}, '^\p{{L}}+(?:19|20)\d{{2}}\d+$') THEN {_BARE(c)} END"
@@ -161,7 +162,9 @@ def _CU(c: str, query: bool = True) -> str:  # noqa: N802
 
 
 _LD = lambda c: rf"CASE WHEN regexp_matches({c}, '^\s*\d{{8}}\s*$') OR regexp_matches({c}, '^\s*\d{{4}}\s*[-/.年]\s*\d{{1,2}}\s*[-/.月]\s*\d{{1,2}}\s*日?([\sT].*)?$') THEN try_cast(regexp_replace({c}, '^\s*(\d{{4}})\s*[-/.年]?\s*(\d{{1,2}})\s*[-/.月]?\s*(\d{{1,2}})\s*日?(?:[\sT].*)?$', '\1-\2-\3') AS DATE) END"
-_KEYS = lambda c: rf"list_filter(list_distinct(list_transform(list_prepend({c}, regexp_extract_all({c}, '《([^《》]{{4,120}})》', 1)), lambda t: {_NT('regexp_replace(lower(t), ' + chr(39) + '[(（]?(?:' + T.DRAFT + ')[)）]?' + chr(39) + ', ' + chr(39) * 2 + ', ' + chr(39) + 'g' + chr(39) + ')')})), lambda t: t <> '')"
+_TITLE = lambda c: rf"regexp_replace(regexp_replace(regexp_replace({c}, '^[{T.SPACE}]+|[{T.SPACE}]+$', '', 'g'), '{T.ATTACHMENT}', ''), '{T.SUFFIX}', '')"
+_ASKED = lambda c: rf"regexp_replace(regexp_replace(lower({_TITLE(c)}), '[(（]?(?:{T.DRAFT})[)）]?', '', 'g'), '^(?:关于)?(?:公开征求意见|征求意见)(?:的)?(?:通知|公告)?', '')"
+_KEYS = lambda c: rf"list_filter(list_distinct(list_transform(list_prepend({c}, regexp_extract_all({c}, '《([^《》]{{4,120}})》', 1)), lambda t: {_NT(_ASKED('t'))})), lambda t: t <> '')"
 _DISTINCT = "d AS MATERIALIZED (SELECT DISTINCT from_id, to_id, relation FROM e), m AS (SELECT from_id AS node, 'outgoing' AS direction, relation, to_id AS counterpart FROM d UNION ALL SELECT to_id, 'incoming', relation, from_id FROM d)"
 _LAW = "l AS MATERIALIZED (SELECT DISTINCT struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawId') AS law_id, struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawName') AS name, struct_extract(struct_extract(lawlist, 'law'), 'fileno') AS fileno, struct_extract(struct_extract(lawlist, 'law'), 'pubDate') AS ms FROM law_detail)"
 _PROBE = "s AS MATERIALIZED (SELECT DISTINCT capture_id, source_record_id, struct_extract(metadata, 'name') AS name, struct_extract(metadata, 'fileno') AS fileno, struct_extract(metadata, 'pub_date') AS pub_date, struct_extract(source, 'page_url') AS page_url FROM source_record)"

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from canonry.functions import ids
 from canonry.functions import text as T
 from canonry.functions.dates import china_date, lenient_date
-from canonry.plans.relations import _BARE, _CU
+from canonry.plans.relations import _BARE, _CU, _NARROW
 from canonry.session import table
 
 _WS, _P = T.SPACE, T.PUNCT
 _Q = _P.replace("'", "''")
 _META = "WITH m AS MATERIALIZED (SELECT DISTINCT capture_id, struct_extract(metadata, 'name') AS name, struct_extract(metadata, 'fileno') AS fileno, struct_extract(metadata, 'pub_date') AS pub_date, struct_extract(source, 'page_url') AS page_url FROM source_record)"
+_MARKS = _WS + "·•,，。；;:：()（）\\[\\]【】《》“”\"''、—-"
 _CLEAN = rf"regexp_replace(regexp_replace(regexp_replace(@, '^[{_WS}]+|[{_WS}]+$', '', 'g'), '{T.ATTACHMENT}', ''), '{T.SUFFIX}', '')"
-_NORMAL = rf"lower(regexp_replace({_CLEAN}, '[{_Q}]+', '', 'g'))"
+_NORMAL = rf"lower(regexp_replace({_CLEAN}, '[{_MARKS}]+', '', 'g'))"
 
 
 def _on(template: str, value: str) -> str:
@@ -42,6 +43,11 @@ def fileno_keys(spark, d):
     return _meta(spark, d).select("capture_id", T.fileno_key(F.col("fileno")).alias("number"))
 
 
+def number_sets(spark, d):
+    """TXT-06: keys of document numbers as they are written."""
+    return _meta(spark, d).select("capture_id", F.array_join(T.number_keys(F.col("fileno")), ",").alias("keys"))
+
+
 def body_hashes(spark, d):
     return table(spark, d, "documents").select("doc_id", T.body_hash(F.col("text")).alias("hash"))
 
@@ -116,15 +122,16 @@ _ND = r"regexp_replace(@, '[^\p{L}\p{N}]', '', 'g')"
 _CN = "(DATE '1970-01-01' + CAST(floor((@ + 28800000) / 86400000.0) AS INTEGER))"
 
 QUERIES = {
-    "title_norm": title_norm, "title_quoted": title_quoted, "title_keys": title_keys, "fileno_keys": fileno_keys, "body_hashes": body_hashes, "lines_clean": lines_clean,
+    "title_norm": title_norm, "title_quoted": title_quoted, "title_keys": title_keys, "fileno_keys": fileno_keys, "number_sets": number_sets, "body_hashes": body_hashes, "lines_clean": lines_clean,
     "letters_digits": letters_digits, "shingle_coverage": coverage, "title_overlap": title_overlap, "urls_canonical": urls, "entity_ids": entity_ids, "fingerprints": fingerprints,
     "dates_parsed": dates_parsed, "dates_china": dates_china, "effective_dates": effective_dates, "confidence_bands": confidence_bands, "entries_flat": entries_flat,
 }
 SQL = {
     "title_norm": f"{_META} SELECT capture_id, {_on(_NORMAL, 'name')} AS title, regexp_matches(lower(name), '{T.DRAFT}') AS is_draft, regexp_matches(lower(name), '{T.TRIAL}') AS is_trial FROM m",
     "title_quoted": f"{_META} SELECT DISTINCT capture_id, unnest(regexp_extract_all(name, '《([^《》]{{4,120}})》', 1)) AS quoted FROM m",
-    "title_keys": f"{_META}, k AS (SELECT capture_id, name, list_prepend(name, regexp_extract_all(name, '《([^《》]{{4,120}})》', 1)) AS l FROM m), n AS (SELECT capture_id, name, list_filter(list_distinct(list_transform(l, lambda t: {_on(_NORMAL, f'''regexp_replace(lower(t), '[(（]?(?:{T.DRAFT})[)）]?', '', 'g')''')})), lambda t: length(t) > 0) AS f FROM k) SELECT capture_id, CASE WHEN name IS NOT NULL THEN coalesce(array_to_string(list_sort(f), ','), '') END AS keys FROM n",
+    "title_keys": f"{_META}, k AS (SELECT capture_id, name, list_prepend(name, regexp_extract_all(name, '《([^《》]{{4,120}})》', 1)) AS l FROM m), n AS (SELECT capture_id, name, list_filter(list_distinct(list_transform(l, lambda t: {_on(_NORMAL, f'''regexp_replace(regexp_replace(lower({_on(_CLEAN, 't')}), '[(（]?(?:{T.DRAFT})[)）]?', '', 'g'), '^(?:关于)?(?:公开征求意见|征求意见)(?:的)?(?:通知|公告)?', '')''')})), lambda t: length(t) > 0) AS f FROM k) SELECT capture_id, CASE WHEN name IS NOT NULL THEN coalesce(array_to_string(list_sort(f), ','), '') END AS keys FROM n",
     "fileno_keys": f"{_META}, x AS (SELECT capture_id, {_BARE('fileno')} AS n FROM m) SELECT capture_id, CASE WHEN regexp_matches(n, '^\\p{{L}}+(?:19|20)\\d{{2}}\\d+$') THEN n END AS number FROM x",
+    "number_sets": f"{_META}, x AS (SELECT capture_id, lower(regexp_replace({_NARROW('fileno')}, '[{_MARKS}]+', '', 'g')) AS n FROM m) SELECT capture_id, CASE WHEN n IS NOT NULL THEN concat_ws(',', nullif(n, ''), nullif(CASE WHEN regexp_extract(n, '第[0-9]+号') <> n THEN regexp_extract(n, '第[0-9]+号') END, '')) END AS keys FROM x",
     "body_hashes": f"WITH x AS (SELECT doc_id, regexp_replace(text, '[{_WS}]+', '', 'g') AS c FROM documents) SELECT doc_id, CASE WHEN length(c) >= 80 THEN sha256(c) END AS hash FROM x",
     "lines_clean": f"WITH l AS (SELECT law_id, list_filter(list_transform(string_split(regexp_replace(full_text, '\\r\\n?', chr(10), 'g'), chr(10)), lambda x: regexp_replace(regexp_replace(x, '[{_WS}]+', ' ', 'g'), '^ | $', '', 'g')), lambda x: length(x) > 0) AS f, full_text FROM law_document) SELECT DISTINCT law_id, CASE WHEN full_text IS NOT NULL THEN sha256(coalesce(array_to_string(f, chr(10)), '')) END AS clean_hash FROM l",
     "letters_digits": f"SELECT doc_id, length(lower({_on(_ND, 'title')})) AS n, lower({_on(_ND, 'title')}) AS letters FROM documents",

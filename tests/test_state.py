@@ -193,6 +193,14 @@ def test_texts_numbers_dates(spark):
     assert dates.as_of_date("2020-01-01") == "2020-01-01" and len(dates.as_of_date()) == 10
 
 
+def test_titles_and_numbers_as_written(spark):
+    x = lambda f, v: one(spark, f(F.col("v")), v=v)
+    assert [x(T.unescaped, v) for v in ("a &amp; b&#35777;&#x5238;&mdash;&unknown; &#0;", "无", None)] == ["a & b证券—&unknown; &#0;", "无", None]
+    assert x(T.normal_title, "附件1：&ldquo;甲&rdquo; 办法？（试行）.pdf") == "甲办法？试行"
+    assert x(T.title_keys, "关于公开征求意见的通知《某某办法（草案）》") == ["某某办法"]
+    assert [x(T.number_keys, v) for v in ("证监会令【第１２号】", "〔2020〕5号", " ", None)] == [["证监会令第12号", "第12号"], ["〔2020〕5号"], [], None]
+
+
 def test_legal_basis(spark):
     df = spark.createDataFrame([("依据《甲某管理办法》第三条、第十二条第一款和《乙某规定》第五条，《丙某规则》作出决定",), (None,), ("无",)], "t string").select(T.legal_basis(F.col("t")).alias("x"))
     assert [[tuple(y) for y in r.x] if r.x is not None else None for r in df.collect()] == [[("甲某管理办法", "第三条"), ("甲某管理办法", "第十二条"), ("乙某规定", "第五条"), ("丙某规则", None)], None, []]
