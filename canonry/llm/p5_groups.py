@@ -23,9 +23,9 @@ from canonry.functions.text import SPACE
 from canonry.session import cut, release, table
 
 #: Rate of the exponential head starts; their mean, 1 / RATE, is the usual cluster radius.
-RATE = 0.2
+RATE = 0.3
 #: Hops that clusters grow before they contract. Growth cut short only means one more level.
-HOPS = 4
+HOPS = 3
 #: Links of one vertex that share a salt; a vertex with more is spread over several tasks.
 LINKS_PER_SALT = 20_000
 #: An offer is score * 2 ** CENTRE_BITS + centre; scores have SCORE_BITS binary places.
