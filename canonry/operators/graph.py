@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from canonry.session import cut, release
 
 #: Links of one node that share a salt.
-LINKS_PER_SALT = 20_000
+LINKS_PER_SALT = 100_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,12 +28,16 @@ def components(edges: DataFrame) -> DataFrame:
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.ceil(F.count(F.lit(1)) / LINKS_PER_SALT).cast("int").alias("salts"))
-        low = cut(least.select("u", F.least("u", "m").alias("m"), "salts"))
-        held.append(low)
-        hubs = low.where("salts > 1").select("u", "salts")  # at most the links / LINKS_PER_SALT
-        salted = both.join(F.broadcast(hubs), "u", "left").select("u", "v", F.pmod(F.xxhash64("v"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
-        spread = low.select("u", "m", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        linked = salted.join(spread, ["u", "salt"]).select("u", "v", "m")
+        low = least.select("u", F.least("u", "m").alias("m"), "salts")
+        if 4 * now[0] <= LINKS_PER_SALT:  # a star has at most twice the edges, seen from both ends: no node can be a hub
+            linked = both.join(low, "u").select("u", "v", "m")
+        else:
+            low = cut(low)
+            held.append(low)
+            hubs = low.where("salts > 1").select("u", "salts")  # at most the links / LINKS_PER_SALT
+            salted = both.join(F.broadcast(hubs), "u", "left").select("u", "v", F.pmod(F.xxhash64("v"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
+            spread = low.select("u", "m", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+            linked = salted.join(spread, ["u", "salt"]).select("u", "v", "m")
         if large:
             return linked.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         own = low.where("u <> m").select("u", F.col("m").alias("v"))
