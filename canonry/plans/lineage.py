@@ -46,13 +46,13 @@ def latest_runs(spark, d):
 
 
 def review_queue(spark, d):
-    """STR-09, JN-24: captures without a number stay queued until their record is mapped or their day is known."""
+    """STR-09, JN-24: captures without a number or title are queued, unless another capture of the record has a number, or they are supporting material."""
     c = _captures(spark, d)
     found = c.where("fileno is null").select("capture_id", "source_record_id", "fetched_at")
     queue = c.where("title is null").groupBy("capture_id").agg(F.min("fetched_at").alias("first_queued_at"), F.max("fetched_at").alias("last_queued_at"))
-    mapped = table(spark, d, "source_map").select(F.col("record_id").alias("source_record_id"))
-    dated = c.where("day is not null").select("capture_id")
-    return state.queued(queue, found, [(mapped, "source_record_id"), (dated, "capture_id")], "capture_id", "fetched_at")
+    numbered = c.where("fileno is not null").select("source_record_id")
+    supporting = c.where("page_role = 'supporting_material'").select("capture_id")
+    return state.queued(queue, found, [(numbered, "source_record_id"), (supporting, "capture_id")], "capture_id", "fetched_at")
 
 
 def uncached_queries(spark, d):
@@ -311,7 +311,7 @@ SQL = {
     "evidence": f"WITH {_C} SELECT source_record_id, arg_min(endpoint_id, (fetched_at, endpoint_id)) AS owner, string_agg(DISTINCT endpoint_id, ',' ORDER BY endpoint_id) AS endpoints, string_agg(DISTINCT run_id, ',' ORDER BY run_id) AS runs FROM c WHERE source_record_id IS NOT NULL GROUP BY 1",
     "run_states": f"WITH {_C}, g AS (SELECT run_id, count(*) AS parts, count(*) FILTER (coalesce(ok, false) AND title IS NOT NULL) AS complete_parts, bool_and(CASE WHEN material_lane = 'rule' THEN ok END) AS p FROM c WHERE run_id IS NOT NULL GROUP BY 1) SELECT run_id, parts, complete_parts, parts = complete_parts AS is_complete, CASE WHEN p IS NULL THEN 'n/a' WHEN p AND parts = complete_parts THEN 'published' ELSE 'quarantined' END AS publish_status FROM g",
     "latest_runs": f"WITH {_C}, r AS (SELECT system, run_id, max(fetched_at) AS seen_at, bool_and(ok) AS whole FROM c WHERE system IS NOT NULL GROUP BY ALL) SELECT system, arg_max(run_id, (seen_at, run_id)) AS run_id, max(seen_at) AS seen_at FROM r WHERE whole GROUP BY 1",
-    "review_queue": f"WITH {_C}, f AS (SELECT capture_id, fetched_at FROM c WHERE fileno IS NULL AND source_record_id NOT IN (SELECT record_id FROM source_map) UNION ALL SELECT capture_id, fetched_at FROM c WHERE title IS NULL) SELECT capture_id, min(fetched_at) AS first_queued_at, max(fetched_at) AS last_queued_at FROM f WHERE capture_id NOT IN (SELECT capture_id FROM c WHERE day IS NOT NULL) GROUP BY 1",
+    "review_queue": f"WITH {_C}, f AS (SELECT capture_id, fetched_at FROM c WHERE fileno IS NULL AND source_record_id NOT IN (SELECT source_record_id FROM c WHERE fileno IS NOT NULL) UNION ALL SELECT capture_id, fetched_at FROM c WHERE title IS NULL) SELECT capture_id, min(fetched_at) AS first_queued_at, max(fetched_at) AS last_queued_at FROM f WHERE capture_id NOT IN (SELECT capture_id FROM c WHERE page_role = 'supporting_material') GROUP BY 1",
     "uncached_queries": f"WITH q AS MATERIALIZED (SELECT doc_id, strftime(date_trunc('quarter', {_LD('pub_date')}), '%Y-%m-%d') AS quarter, lang, title FROM documents) SELECT quarter FROM q WHERE quarter IS NOT NULL GROUP BY 1 HAVING count(*) FILTER (lang = 'zh') = 0 OR count(*) FILTER (lang = 'zh' AND title IS NULL) > 0",
     "asset_states": f"WITH u AS (SELECT unnest(assets) AS a FROM source_record), n AS MATERIALIZED (SELECT a.asset_id AS asset_id, min({_SHA('a.sha256')}) AS digest, min(a.local_file) AS file FROM u WHERE a.asset_id IS NOT NULL GROUP BY 1), {_LAST} SELECT n.asset_id, CASE WHEN l.st = 'failed' THEN NULL ELSE coalesce(l.digest, n.digest) END AS digest, CASE WHEN l.st = 'failed' THEN l.file ELSE coalesce(l.file, n.file) END AS file, CASE WHEN l.st = 'failed' THEN -1 WHEN l.asset_id IS NOT NULL THEN 0 ELSE 1 END AS state_of FROM n LEFT JOIN last l USING (asset_id)",
     "matched_either": f"WITH {_C}, a AS (SELECT DISTINCT capture_id, nullif({_NT('title')}, '') AS title, {_FN('fileno')} AS number FROM c), l AS MATERIALIZED (SELECT struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawId') AS law_id, struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawName') AS name, struct_extract(struct_extract(lawlist, 'law'), 'fileno') AS fileno FROM law_detail), b AS (SELECT DISTINCT law_id, nullif({_NT('name')}, '') AS title, {_FN('fileno')} AS number FROM l) SELECT DISTINCT a.capture_id, b.law_id, CASE WHEN a.title = b.title AND a.number = b.number THEN 'title,number' WHEN a.title = b.title THEN 'title' ELSE 'number' END AS by FROM a JOIN b ON a.title = b.title OR a.number = b.number",
@@ -330,6 +330,7 @@ SQL = {
     "normalized_issues": f"WITH {_C}, f AS (SELECT local_file FROM asset_record WHERE download_status = 'downloaded' AND local_file IS NOT NULL), a AS (SELECT DISTINCT capture_id, x.local_file AS file FROM (SELECT capture_id, unnest(assets) AS x FROM c)), i AS (SELECT 'empty_text' AS check_id FROM c WHERE body IS NULL OR regexp_replace(body, '[{_WS}]+', '', 'g') = '' UNION ALL SELECT 'markup_left' FROM c WHERE regexp_matches(body, '</?(?:p|div|span|br|table|tr|td|a|img|script|style|ul|li)(?:\\s[^<>]*)?/?>') UNION ALL SELECT 'asset_missing' FROM a WHERE file IS NOT NULL AND file NOT IN (SELECT local_file FROM f)) SELECT check_id, count(*) AS n FROM i GROUP BY 1",
     "enumerations": "WITH m AS (SELECT l_orderkey, max(l_linenumber) AS reported FROM lineitem GROUP BY 1), g AS (SELECT l_orderkey, count(*) AS items, count(DISTINCT l_linenumber) AS pages, min(l_linenumber) AS a, max(l_linenumber) AS z, max(reported) AS reported FROM lineitem JOIN m USING (l_orderkey) WHERE l_suppkey % 7 <> 0 GROUP BY 1) SELECT 'page_gap' AS check_id, l_orderkey FROM g WHERE a <> 1 OR z <> pages UNION ALL SELECT 'total_differs', l_orderkey FROM g WHERE items <> reported",
     "subset_issues": f"WITH {_C}, k AS (SELECT DISTINCT run_id FROM c WHERE run_id IS NOT NULL AND system IS NOT NULL), p AS (SELECT run_id, lane FROM k CROSS JOIN (VALUES ('rule'), ('reference'), ('case')) v(lane)) SELECT run_id, lane FROM p ANTI JOIN (SELECT run_id, material_lane AS lane FROM c WHERE system IS NOT NULL) h USING (run_id, lane)",
+    "registry_issues": f"WITH {_C}, a AS (SELECT DISTINCT endpoint_id AS key, system FROM c), b AS (SELECT DISTINCT {_CU('page_url', False)} AS key, endpoint_id FROM c) SELECT 'endpoint_of_systems' AS check_id, key, count(*) AS n FROM a WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1 UNION ALL SELECT 'address_of_endpoints', key, count(*) FROM b WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1",
     "cited_titles": f"WITH w AS MATERIALIZED (SELECT b.law_id AS law_id, b.entry_title AS t FROM (SELECT unnest(legal_basis) AS b FROM writ_document) WHERE b.law_id IS NOT NULL), d AS (SELECT law_id, min(struct_extract(metadata, 'name')) AS n FROM law_document WHERE regexp_replace(struct_extract(metadata, 'name'), '[{_WS}]+', '', 'g') <> '' GROUP BY 1), l AS (SELECT struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawId') AS law_id, min(struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawName')) AS n FROM law_detail WHERE regexp_replace(struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawName'), '[{_WS}]+', '', 'g') <> '' GROUP BY 1), g AS (SELECT law_id, min(t) FILTER (regexp_replace(t, '[{_WS}]+', '', 'g') <> '') AS t FROM w GROUP BY 1) SELECT law_id, coalesce(d.n, l.n, g.t) AS title, CASE WHEN d.n IS NOT NULL THEN 'document' WHEN l.n IS NOT NULL THEN 'detail' WHEN g.t IS NOT NULL THEN 'citation' END AS origin FROM g LEFT JOIN d USING (law_id) LEFT JOIN l USING (law_id)",
     "merged_related": f"WITH {_E}, w AS MATERIALIZED (SELECT DISTINCT writ_id, b.law_id AS law_id FROM (SELECT writ_id, unnest(legal_basis) AS b FROM writ_document)), k AS (SELECT DISTINCT lower(a.entity_id) AS from_id, lower(z.entity_id) AS to_id FROM w JOIN source_map a ON a.source_system = 'writ' AND a.record_id = writ_id JOIN source_map z ON z.source_system = 'neris' AND z.record_id = law_id WHERE a.entity_id <> z.entity_id), u AS (SELECT DISTINCT from_id, to_id, 0 AS origin FROM e WHERE relation = 'related_to' UNION ALL SELECT from_id, to_id, 1 FROM k) SELECT from_id, to_id, min(origin) AS origin FROM u GROUP BY ALL",
     "compact_nodes": f"WITH {_E}, n AS (SELECT from_id AS node_id FROM e UNION SELECT to_id FROM e), x AS (SELECT 'neris' AS s, law_id AS r, struct_extract(metadata, 'name') AS name FROM law_document UNION ALL SELECT 'writ', writ_id, struct_extract(metadata, 'name') FROM writ_document), m AS (SELECT lower(entity_id) AS node_id, bool_or(source_system = 'writ') AS w, bool_or(source_system = 'neris') AS l, min(name) AS name FROM source_map LEFT JOIN x ON s = source_system AND r = record_id GROUP BY 1) SELECT node_id, CASE WHEN w THEN 'writ' WHEN l THEN 'law' WHEN w IS NULL THEN 'stub' ELSE 'other' END AS kind, name IS NULL AS nameless FROM n LEFT JOIN m USING (node_id)",
