@@ -155,11 +155,11 @@ QUERIES = {
     "audit_summary": audit_summary, "entry_items": entry_items, "slices": sliced, "truncated": truncated, "unmangled_names": unmangled_names, "relinked": relinked, "live_findings": live_findings, "legal_bases": legal_bases, "merged_rounds": merged_rounds,
 }
 SQL = {
-    "records_shape": f"WITH {_LAW}, law AS (SELECT DISTINCT 'neris' AS system, x.secFutrsLawId AS id, NULL AS parent, x.secFutrsLawName AS a, nullif(x.fileno, 'unknown') AS f, x.lawPubOrgName AS b, {_CN('x.pubDate')} AS day, x.lawAthrtyStsCde AS c, x.bodyAftCntnt AS t, NULL AS u, NULL AS file FROM l), pg AS MATERIALIZED (SELECT replace(lower(trim(source_system)), '-', '_') AS system, capture_id AS id, struct_extract(metadata, 'name') AS a, nullif(struct_extract(metadata, 'fileno'), 'unknown') AS f, struct_extract(metadata, 'pub_org') AS b, {_LD('struct_extract(metadata, ' + chr(39) + 'pub_date' + chr(39) + ')')} AS day, lower(trim(ingest_status)) AS c, struct_extract(content, 'plain_text') AS t, struct_extract(source, 'page_url') AS u, material_lane AS lane, assets FROM source_record), page AS (SELECT DISTINCT system, id, a, f, b, day, c, t, u, lane FROM pg), lab AS (SELECT asset_id, min(label) AS label FROM asset_record WHERE asset_id IS NOT NULL GROUP BY 1), n AS (SELECT system, id AS parent, b, day, c, lane, unnest(assets) AS x FROM pg), file AS (SELECT DISTINCT system, x.asset_id AS id, parent, label, b, day, c, x.source_url AS u, x.local_file AS file, lane FROM n LEFT JOIN lab ON lab.asset_id = x.asset_id WHERE x.asset_id IS NOT NULL), txt AS (SELECT local_file, min(plain_text) AS plain FROM asset_text GROUP BY 1), writ AS (SELECT DISTINCT writ_id AS id, struct_extract(metadata, 'name') AS a, struct_extract(metadata, 'fileno') AS f, struct_extract(metadata, 'pub_org') AS b, {_CN('struct_extract(metadata, ' + chr(39) + 'dspt_date_ms' + chr(39) + ')')} AS day, body AS t, struct_extract(source, 'page_url') AS u FROM writ_document), z AS (SELECT system, false AS nested, t, day, f FROM law WHERE id IS NOT NULL UNION ALL SELECT system, false, t, day, f FROM page WHERE id IS NOT NULL UNION ALL SELECT system, true, plain, day, NULL FROM file LEFT JOIN txt ON local_file = file UNION ALL SELECT 'writ', false, t, day, f FROM writ WHERE id IS NOT NULL) SELECT system, nested, count(*) AS n, count(t) AS texts, count(day) AS days, count(f) AS numbers, sum(length(t)) AS characters FROM z GROUP BY ALL",
+    "records_shape": f"WITH {_LAW}, law AS (SELECT DISTINCT 'neris' AS system, x.secFutrsLawId AS id, NULL AS parent, x.secFutrsLawName AS a, nullif(x.fileno, 'unknown') AS f, x.lawPubOrgName AS b, {_CN('x.pubDate')} AS day, x.lawAthrtyStsCde AS c, x.bodyAftCntnt AS t, NULL AS u, NULL AS file FROM l), pg AS MATERIALIZED (SELECT replace(lower(trim(source_system)), '-', '_') AS system, capture_id AS id, struct_extract(metadata, 'name') AS a, nullif(struct_extract(metadata, 'fileno'), 'unknown') AS f, struct_extract(metadata, 'pub_org') AS b, {_LD('struct_extract(metadata, ' + chr(39) + 'pub_date' + chr(39) + ')')} AS day, lower(trim(ingest_status)) AS c, struct_extract(content, 'plain_text') AS t, struct_extract(source, 'page_url') AS u, material_lane AS lane, assets FROM source_record), page AS (SELECT DISTINCT system, id, a, f, b, day, c, t, u, lane FROM pg), lab AS (SELECT asset_id, min(label) AS label FROM asset_record WHERE asset_id IS NOT NULL GROUP BY 1), n AS (SELECT system, id AS parent, b, day, c, lane, unnest(assets) AS x FROM pg), file AS (SELECT DISTINCT system, x.asset_id AS id, parent, label, b, day, c, x.source_url AS u, x.local_file AS file, lane FROM n LEFT JOIN lab ON lab.asset_id = x.asset_id WHERE x.asset_id IS NOT NULL), txt AS (SELECT local_file, min(plain_text) AS plain FROM asset_text GROUP BY 1), writ AS (SELECT DISTINCT writ_id AS id, struct_extract(metadata, 'name') AS a, struct_extract(metadata, 'fileno') AS f, struct_extract(metadata, 'pub_org') AS b, {_CN('struct_extract(metadata, ' + chr(39) + 'dspt_date_ms' + chr(39) + ')')} AS day, body AS t, struct_extract(source, 'page_url') AS u FROM writ_document), z AS (SELECT system, false AS nested, t, day, f FROM law WHERE id IS NOT NULL UNION ALL SELECT system, false, t, day, f FROM page WHERE id IS NOT NULL UNION ALL SELECT system, true, plain, day, NULL FROM file LEFT JOIN txt ON local_file = file UNION ALL SELECT 'writ', false, t, day, f FROM writ WHERE id IS NOT NULL) SELECT system, nested, count(*) AS n, count(t) AS texts, count(day) AS days, count(f) AS numbers, CAST(sum(length(t)) AS BIGINT) AS characters FROM z GROUP BY ALL",
     "monitor_inventory": "WITH l AS (SELECT DISTINCT a.local_file AS file, true AS l FROM (SELECT unnest(assets) AS a FROM source_record) WHERE a.local_file IS NOT NULL), s AS (SELECT local_file AS file, bool_or(download_status = 'downloaded') AS s FROM asset_record WHERE local_file IS NOT NULL GROUP BY 1), t AS (SELECT DISTINCT local_file AS file, true AS t FROM asset_text WHERE local_file IS NOT NULL) SELECT CASE WHEN l IS NULL THEN 'removed' WHEN coalesce(s, false) THEN 'visible' ELSE 'missing' END AS visibility, t IS NOT NULL AS read, count(*) AS n FROM l FULL JOIN s USING (file) FULL JOIN t USING (file) GROUP BY ALL",
     "internal_matches": f"WITH {_LAW}, w AS MATERIALIZED (SELECT DISTINCT x.secFutrsLawId AS law_id, {_NT('x.secFutrsLawName')} AS title, {_CN('x.pubDate')} AS d FROM l), g AS (SELECT title, min(law_id) AS law_id, min(d) AS d0, max(d) AS d1 FROM w WHERE title <> '' GROUP BY 1 HAVING count(DISTINCT law_id) = 1), {_C}, s AS (SELECT DISTINCT capture_id, {_NT('title')} AS title, day FROM c) SELECT capture_id, law_id FROM s JOIN g USING (title) WHERE day IS NULL OR d0 IS NULL OR least(abs(day - d0), abs(day - d1)) <= 3",
     "summary_row": f"WITH {_C}, r AS MATERIALIZED (SELECT DISTINCT * FROM source_record) SELECT count(*) AS captures, count(DISTINCT source_record_id) AS records, round(count(*) FILTER (lower(trim(ingest_status)) = 'complete') / count(*), 6) AS complete_share, round(count(*) FILTER (len(assets) > 0) / count(*), 6) AS with_assets, round(count(*) FILTER (regexp_replace(struct_extract(content, 'plain_text'), '[{_WS}]+', '', 'g') <> '') / count(*), 6) AS with_text, round(count(*) FILTER ({_LD('struct_extract(metadata, ' + chr(39) + 'pub_date' + chr(39) + ')')} IS NOT NULL) / count(*), 6) AS with_day FROM r",
-    "asset_roles": f"WITH u AS MATERIALIZED (SELECT capture_id, source_record_id, replace(lower(trim(source_system)), '-', '_') AS system, page_role, unnest(assets) AS a FROM source_record), s AS MATERIALIZED (SELECT DISTINCT capture_id, source_record_id, system, page_role, {_SHA('a.sha256')} AS digest FROM u), g AS (SELECT digest, count(DISTINCT capture_id) AS captures, count(DISTINCT source_record_id) AS records, count(DISTINCT system) AS systems, count(DISTINCT page_role) AS roles, bool_and(page_role = 'supporting_material') AS supporting FROM s WHERE digest IS NOT NULL GROUP BY 1 HAVING count(DISTINCT capture_id) > 1) SELECT CASE WHEN records = 1 THEN 'same_record' WHEN supporting THEN 'shared_attachment' WHEN systems > 1 THEN 'across_systems' WHEN roles = 1 THEN 'same_role' ELSE 'mixed' END AS role, count(*) AS digests, sum(captures) AS captures FROM g GROUP BY 1",
+    "asset_roles": f"WITH u AS MATERIALIZED (SELECT capture_id, source_record_id, replace(lower(trim(source_system)), '-', '_') AS system, page_role, unnest(assets) AS a FROM source_record), s AS MATERIALIZED (SELECT DISTINCT capture_id, source_record_id, system, page_role, {_SHA('a.sha256')} AS digest FROM u), g AS (SELECT digest, count(DISTINCT capture_id) AS captures, count(DISTINCT source_record_id) AS records, count(DISTINCT system) AS systems, count(DISTINCT page_role) AS roles, bool_and(page_role = 'supporting_material') AS supporting FROM s WHERE digest IS NOT NULL GROUP BY 1 HAVING count(DISTINCT capture_id) > 1) SELECT CASE WHEN records = 1 THEN 'same_record' WHEN supporting THEN 'shared_attachment' WHEN systems > 1 THEN 'across_systems' WHEN roles = 1 THEN 'same_role' ELSE 'mixed' END AS role, count(*) AS digests, CAST(sum(captures) AS BIGINT) AS captures FROM g GROUP BY 1",
     "party_seeds": f"WITH w AS MATERIALIZED (SELECT DISTINCT writ_id, struct_extract(metadata, 'name') AS name, list_filter(parties, lambda p: p.name IS NOT NULL) AS ps, fetched_at FROM writ_document), e AS (SELECT writ_id, fetched_at, unnest(list_transform(ps, lambda p: {{'kind': coalesce(p.party_type, 'org'), 'n': p.name, 'origin': 'party'}})) AS x FROM w WHERE len(ps) > 0 UNION ALL SELECT writ_id, fetched_at, unnest(list_transform(list_distinct(regexp_extract_all(regexp_replace(name, '^关于对?', ''), '(?:对|，|、|；|。|^|\\s)?((?:\\p{{Han}}{{2,12}}?)(?:{T.INSTITUTION}))', 1)), lambda n: {{'kind': 'org', 'n': n, 'origin': 'title'}})) FROM w WHERE ps IS NULL OR len(ps) = 0), k AS (SELECT writ_id, fetched_at, x.kind AS kind, x.n AS n, x.origin AS origin, {_ND('x.n')} AS key FROM e) SELECT kind, key, arg_min(n, (fetched_at, writ_id, n)) AS spelling, arg_min(origin, (fetched_at, writ_id, n)) AS origin, count(DISTINCT writ_id) AS records FROM k WHERE key <> '' GROUP BY ALL",
     "audit_summary": f"WITH {_C}, m AS MATERIALIZED (SELECT DISTINCT capture_id, system, coalesce(material_lane, 'none') AS lane, coalesce(page_role, 'none') AS role, body, title, fileno, day, assets FROM c), f AS (SELECT capture_id, system, lane, role, 'no_text' AS code FROM m WHERE body IS NULL OR regexp_replace(body, '[{_WS}]+', '', 'g') = '' UNION SELECT capture_id, system, lane, role, 'no_number' FROM m WHERE {_FN('fileno')} IS NULL UNION SELECT capture_id, system, lane, role, 'no_day' FROM m WHERE day IS NULL UNION SELECT capture_id, system, lane, role, 'no_assets' FROM m WHERE coalesce(len(assets), 0) = 0 UNION SELECT capture_id, system, lane, role, 'no_title' FROM m WHERE title IS NULL OR regexp_replace(title, '[{_WS}]+', '', 'g') = ''), x AS (SELECT capture_id, code, 'system' AS dimension, system AS value FROM f UNION ALL SELECT capture_id, code, 'lane', lane FROM f UNION ALL SELECT capture_id, code, 'role', role FROM f) SELECT dimension, value, code, count(DISTINCT capture_id) AS captures FROM x GROUP BY ALL",
     "live_findings": f"WITH l AS MATERIALIZED (SELECT DISTINCT law_id, {_NT('struct_extract(metadata, ' + chr(39) + 'name' + chr(39) + ')')} AS title, {_LD('struct_extract(metadata, ' + chr(39) + 'pub_date' + chr(39) + ')')} AS day, {_ND('full_text')} AS p FROM law_document), t AS (SELECT title, min(law_id) AS law_id FROM l WHERE title <> '' GROUP BY 1), {_C}, s AS MATERIALIZED (SELECT DISTINCT capture_id, {_NT('title')} AS title, day AS cday, {_ND('body')} AS q FROM c), m AS MATERIALIZED (SELECT t.law_id, capture_id, l.day <> cday AS d, len(list_filter(range(1, greatest(length(p) - 20 + 1, 1) + 1, 20), lambda i: contains(q, substr(p, i, 20)))) / len(range(1, greatest(length(p) - 20 + 1, 1) + 1, 20)) < 0.8 AND length(p) > 0 AS c FROM s JOIN t USING (title) JOIN l ON l.law_id = t.law_id) SELECT DISTINCT law_id, capture_id, 'day_differs' AS finding FROM m WHERE d UNION ALL SELECT DISTINCT law_id, capture_id, 'poor_coverage' FROM m WHERE c UNION ALL SELECT DISTINCT law_id, NULL, 'unmatched' FROM l WHERE law_id NOT IN (SELECT law_id FROM m)",

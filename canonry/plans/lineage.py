@@ -11,6 +11,9 @@ from canonry.plans.relations import _CU, _FN, _KEYS, _LD, _NT, edges
 from canonry.session import table
 
 
+_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
 def _captures(spark, d):
     s = table(spark, d, "source_record")
     return s.select(
@@ -42,7 +45,7 @@ def run_states(spark, d):
 def latest_runs(spark, d):
     """AGG-22: the last complete run of each system."""
     c = _captures(spark, d).groupBy("system", "run_id").agg(F.max("fetched_at").alias("seen_at"), F.bool_and("ok").alias("whole"))
-    return state.latest_complete(c.where("system is not null"), "run_id", "seen_at", F.col("whole"), ["system"])
+    return state.latest_complete(c.where("system is not null"), "run_id", "seen_at", F.col("whole"), ["system"]).withColumn("seen_at", F.date_format("seen_at", _TIME))
 
 
 def review_queue(spark, d):
@@ -52,7 +55,7 @@ def review_queue(spark, d):
     queue = c.where("title is null").groupBy("capture_id").agg(F.min("fetched_at").alias("first_queued_at"), F.max("fetched_at").alias("last_queued_at"))
     numbered = c.where("fileno is not null").select("source_record_id")
     supporting = c.where("page_role = 'supporting_material'").select("capture_id")
-    return state.queued(queue, found, [(numbered, "source_record_id"), (supporting, "capture_id")], "capture_id", "fetched_at")
+    return state.queued(queue, found, [(numbered, "source_record_id"), (supporting, "capture_id")], "capture_id", "fetched_at").select("capture_id", *(F.date_format(t, _TIME).alias(t) for t in ("first_queued_at", "last_queued_at")))
 
 
 def uncached_queries(spark, d):
@@ -310,8 +313,8 @@ SQL = {
     "kept_attempts": f"WITH {_C} SELECT source_record_id, arg_max(capture_id, (coalesce(ok, false), fetched_at, capture_id)) AS capture_id, bool_or(coalesce(ok, false)) AS is_complete FROM c WHERE source_record_id IS NOT NULL GROUP BY 1",
     "evidence": f"WITH {_C} SELECT source_record_id, arg_min(endpoint_id, (fetched_at, endpoint_id)) AS owner, string_agg(DISTINCT endpoint_id, ',' ORDER BY endpoint_id) AS endpoints, string_agg(DISTINCT run_id, ',' ORDER BY run_id) AS runs FROM c WHERE source_record_id IS NOT NULL GROUP BY 1",
     "run_states": f"WITH {_C}, g AS (SELECT run_id, count(*) AS parts, count(*) FILTER (coalesce(ok, false) AND title IS NOT NULL) AS complete_parts, bool_and(CASE WHEN material_lane = 'rule' THEN ok END) AS p FROM c WHERE run_id IS NOT NULL GROUP BY 1) SELECT run_id, parts, complete_parts, parts = complete_parts AS is_complete, CASE WHEN p IS NULL THEN 'n/a' WHEN p AND parts = complete_parts THEN 'published' ELSE 'quarantined' END AS publish_status FROM g",
-    "latest_runs": f"WITH {_C}, r AS (SELECT system, run_id, max(fetched_at) AS seen_at, bool_and(ok) AS whole FROM c WHERE system IS NOT NULL GROUP BY ALL) SELECT system, arg_max(run_id, (seen_at, run_id)) AS run_id, max(seen_at) AS seen_at FROM r WHERE whole GROUP BY 1",
-    "review_queue": f"WITH {_C}, f AS (SELECT capture_id, fetched_at FROM c WHERE fileno IS NULL AND source_record_id NOT IN (SELECT source_record_id FROM c WHERE fileno IS NOT NULL) UNION ALL SELECT capture_id, fetched_at FROM c WHERE title IS NULL) SELECT capture_id, min(fetched_at) AS first_queued_at, max(fetched_at) AS last_queued_at FROM f WHERE capture_id NOT IN (SELECT capture_id FROM c WHERE page_role = 'supporting_material') GROUP BY 1",
+    "latest_runs": f"WITH {_C}, r AS (SELECT system, run_id, max(fetched_at) AS seen_at, bool_and(ok) AS whole FROM c WHERE system IS NOT NULL GROUP BY ALL) SELECT system, arg_max(run_id, (seen_at, run_id)) AS run_id, strftime(max(seen_at), '%Y-%m-%d %H:%M:%S.%f') AS seen_at FROM r WHERE whole GROUP BY 1",
+    "review_queue": f"WITH {_C}, f AS (SELECT capture_id, fetched_at FROM c WHERE fileno IS NULL AND source_record_id NOT IN (SELECT source_record_id FROM c WHERE fileno IS NOT NULL) UNION ALL SELECT capture_id, fetched_at FROM c WHERE title IS NULL) SELECT capture_id, strftime(min(fetched_at), '%Y-%m-%d %H:%M:%S.%f') AS first_queued_at, strftime(max(fetched_at), '%Y-%m-%d %H:%M:%S.%f') AS last_queued_at FROM f WHERE capture_id NOT IN (SELECT capture_id FROM c WHERE page_role = 'supporting_material') GROUP BY 1",
     "uncached_queries": f"WITH q AS MATERIALIZED (SELECT doc_id, strftime(date_trunc('quarter', {_LD('pub_date')}), '%Y-%m-%d') AS quarter, lang, title FROM documents) SELECT quarter FROM q WHERE quarter IS NOT NULL GROUP BY 1 HAVING count(*) FILTER (lang = 'zh') = 0 OR count(*) FILTER (lang = 'zh' AND title IS NULL) > 0",
     "asset_states": f"WITH u AS (SELECT unnest(assets) AS a FROM source_record), n AS MATERIALIZED (SELECT a.asset_id AS asset_id, min({_SHA('a.sha256')}) AS digest, min(a.local_file) AS file FROM u WHERE a.asset_id IS NOT NULL GROUP BY 1), {_LAST} SELECT n.asset_id, CASE WHEN l.st = 'failed' THEN NULL ELSE coalesce(l.digest, n.digest) END AS digest, CASE WHEN l.st = 'failed' THEN l.file ELSE coalesce(l.file, n.file) END AS file, CASE WHEN l.st = 'failed' THEN -1 WHEN l.asset_id IS NOT NULL THEN 0 ELSE 1 END AS state_of FROM n LEFT JOIN last l USING (asset_id)",
     "matched_either": f"WITH {_C}, a AS (SELECT DISTINCT capture_id, nullif({_NT('title')}, '') AS title, {_FN('fileno')} AS number FROM c), l AS MATERIALIZED (SELECT struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawId') AS law_id, struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawName') AS name, struct_extract(struct_extract(lawlist, 'law'), 'fileno') AS fileno FROM law_detail), b AS (SELECT DISTINCT law_id, nullif({_NT('name')}, '') AS title, {_FN('fileno')} AS number FROM l) SELECT DISTINCT a.capture_id, b.law_id, CASE WHEN a.title = b.title AND a.number = b.number THEN 'title,number' WHEN a.title = b.title THEN 'title' ELSE 'number' END AS by FROM a JOIN b ON a.title = b.title OR a.number = b.number",

@@ -70,7 +70,7 @@ p2 AS MATERIALIZED (SELECT capture_id, first_value(capture_id) OVER (PARTITION B
 m2 AS (SELECT capture_id, kept FROM p2 WHERE capture_id <> kept)
 SELECT m1.capture_id, coalesce(m2.kept, m1.kept) AS kept_id, 0 AS pass FROM m1 LEFT JOIN m2 ON m2.capture_id = m1.kept UNION ALL SELECT capture_id, kept, 1 FROM m2""",
     "title_overlap_unique": f"WITH {_CAP}, a AS MATERIALIZED (SELECT capture_id, number, day, unnest({_KEYS('name')}) AS k FROM x WHERE name IS NOT NULL), l AS MATERIALIZED (SELECT DISTINCT struct_extract(lawlist, 'law') AS w FROM law_detail), b0 AS MATERIALIZED (SELECT w.secFutrsLawId AS law_id, w.secFutrsLawName AS lname, w.fileno AS fno, DATE '1970-01-01' + CAST(floor((w.pubDate + 28800000) / 86400000.0) AS INTEGER) AS d FROM l), b AS MATERIALIZED (SELECT law_id, {_FN('fno')} AS n, d, unnest({_KEYS('lname')}) AS k FROM b0 WHERE lname IS NOT NULL), j AS (SELECT a.capture_id, b.law_id, coalesce(number = n, false) AS strong FROM a JOIN b USING (k) WHERE (number IS NULL OR n IS NULL OR number = n) AND (day IS NULL OR d IS NULL OR day = d)), g AS (SELECT capture_id, min(law_id) FILTER (strong) AS s0, max(law_id) FILTER (strong) AS s1, min(law_id) AS w0, max(law_id) AS w1 FROM j GROUP BY 1) SELECT capture_id, CASE WHEN s0 IS NOT NULL THEN s0 ELSE w0 END AS law_id FROM g WHERE CASE WHEN s0 IS NOT NULL THEN s0 = s1 ELSE w0 = w1 END",
-    "markdown_sizes": f"WITH t AS MATERIALIZED (SELECT DISTINCT law_id, full_text FROM law_document), l AS MATERIALIZED (SELECT law_id, full_text IS NULL AS none, list_filter(list_filter(list_transform(string_split(regexp_replace(full_text, '\\r\\n?', chr(10), 'g'), chr(10)), lambda x: regexp_replace(regexp_replace(x, '[{T.SPACE}]+', ' ', 'g'), '^ | $', '', 'g')), lambda x: x <> ''), lambda x: NOT regexp_matches(x, '^[-—– ]*[0-9]{{1,4}}[-—– ]*$')) AS k FROM t), e AS (SELECT row_number() OVER () AS r, law_id, none, k FROM l), x AS (SELECT r, generate_subscripts(k, 1) AS i, unnest(k) AS x FROM e WHERE len(k) > 0), y AS (SELECT r, i, x, lag(x) OVER (PARTITION BY r ORDER BY i) AS p, regexp_matches(x, '^第[一二三四五六七八九十百]+章|^Chapter [0-9]+') AS c, regexp_matches(x, '^第[一二三四五六七八九十百]+条|^Article [0-9]+') AS a FROM x), z AS (SELECT r, length(x) + CASE WHEN c THEN 3 WHEN a THEN 4 ELSE 0 END AS n, c, i > 1 AND (c OR a OR regexp_matches(p, '[。！？；：.!?;:]$') OR regexp_matches(p, '^第[一二三四五六七八九十百]+章|^Chapter [0-9]+')) AS b, i > 1 AND regexp_matches(p, '[A-Za-z0-9,;)]$') AND regexp_matches(x, '^[A-Za-z0-9(]') AS s FROM y), g AS (SELECT r, sum(n + CASE WHEN b THEN 2 WHEN s THEN 1 ELSE 0 END) AS n, count(*) FILTER (c) AS chapters, count(*) FILTER (b) AS breaks FROM z GROUP BY 1) SELECT DISTINCT law_id, CASE WHEN NOT none THEN coalesce(n, 0) END AS n, CASE WHEN NOT none THEN coalesce(chapters, 0) END AS chapters, CASE WHEN NOT none THEN coalesce(breaks, 0) END AS breaks FROM e LEFT JOIN g USING (r)",
+    "markdown_sizes": f"WITH t AS MATERIALIZED (SELECT DISTINCT law_id, full_text FROM law_document), l AS MATERIALIZED (SELECT law_id, full_text IS NULL AS none, list_filter(list_filter(list_transform(string_split(regexp_replace(full_text, '\\r\\n?', chr(10), 'g'), chr(10)), lambda x: regexp_replace(regexp_replace(x, '[{T.SPACE}]+', ' ', 'g'), '^ | $', '', 'g')), lambda x: x <> ''), lambda x: NOT regexp_matches(x, '^[-—– ]*[0-9]{{1,4}}[-—– ]*$')) AS k FROM t), e AS (SELECT row_number() OVER () AS r, law_id, none, k FROM l), x AS (SELECT r, generate_subscripts(k, 1) AS i, unnest(k) AS x FROM e WHERE len(k) > 0), y AS (SELECT r, i, x, lag(x) OVER (PARTITION BY r ORDER BY i) AS p, regexp_matches(x, '^第[一二三四五六七八九十百]+章|^Chapter [0-9]+') AS c, regexp_matches(x, '^第[一二三四五六七八九十百]+条|^Article [0-9]+') AS a FROM x), z AS (SELECT r, length(x) + CASE WHEN c THEN 3 WHEN a THEN 4 ELSE 0 END AS n, c, i > 1 AND (c OR a OR regexp_matches(p, '[。！？；：.!?;:]$') OR regexp_matches(p, '^第[一二三四五六七八九十百]+章|^Chapter [0-9]+')) AS b, i > 1 AND regexp_matches(p, '[A-Za-z0-9,;)]$') AND regexp_matches(x, '^[A-Za-z0-9(]') AS s FROM y), g AS (SELECT r, sum(n + CASE WHEN b THEN 2 WHEN s THEN 1 ELSE 0 END) AS n, count(*) FILTER (c) AS chapters, count(*) FILTER (b) AS breaks FROM z GROUP BY 1) SELECT DISTINCT law_id, CAST(CASE WHEN NOT none THEN coalesce(n, 0) END AS INTEGER) AS n, CASE WHEN NOT none THEN coalesce(chapters, 0) END AS chapters, CASE WHEN NOT none THEN coalesce(breaks, 0) END AS breaks FROM e LEFT JOIN g USING (r)",
     "brand_chain": "WITH k AS (SELECT p_brand, max(p_partkey) AS id FROM part GROUP BY 1), c AS (SELECT i AS position, 'Brand#' || i AS p_brand FROM range(1, 26) t(i)), f AS (SELECT position, id, lag(id) OVER (ORDER BY position) AS older FROM c LEFT JOIN k USING (p_brand)) SELECT 'brands' AS chain, id AS from_id, older AS to_id FROM f WHERE position > 1 AND older IS NOT NULL",
     "quoted_instruments": f"WITH {_C}, l AS MATERIALIZED (SELECT DISTINCT struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawId') AS law_id, struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawName') AS lname FROM law_detail), k AS (SELECT {_NT('lname')} AS key, min(law_id) AS law_id FROM l GROUP BY 1 HAVING min(law_id) = max(law_id)), q AS (SELECT DISTINCT capture_id, unnest(string_split_regex(name, '[。；;！？!?\\n]')) AS clause FROM c), t AS (SELECT DISTINCT capture_id, unnest(regexp_extract_all(clause, '《([^《》]{{4,120}})》', 1)) AS title FROM q WHERE regexp_matches(clause, '发布|印发|废止|公布')) SELECT DISTINCT t.capture_id, k.law_id, t.title FROM t JOIN k ON k.key = {_NT('t.title')} WHERE k.key <> ''",
     "law_mismatch": "WITH a AS MATERIALIZED (SELECT DISTINCT struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawId') AS law_id, struct_extract(struct_extract(lawlist, 'law'), 'secFutrsLawName') AS name, struct_extract(struct_extract(lawlist, 'law'), 'fileno') AS fileno FROM law_detail), b AS MATERIALIZED (SELECT DISTINCT law_id, struct_extract(metadata, 'name') AS name, struct_extract(metadata, 'fileno') AS fileno FROM law_document), j AS (SELECT a.law_id AS ka, b.law_id AS kb, a.name IS DISTINCT FROM b.name AS n, a.fileno IS DISTINCT FROM b.fileno AS f FROM a FULL JOIN b ON a.law_id = b.law_id), w AS (SELECT CASE WHEN ka IS NULL THEN 'extra' WHEN kb IS NULL THEN 'missing' ELSE concat_ws(',', CASE WHEN n THEN 'name' END, CASE WHEN f THEN 'fileno' END) END AS detail FROM j) SELECT detail, count(*) AS n FROM w WHERE detail <> '' GROUP BY 1",
