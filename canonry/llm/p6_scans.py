@@ -212,7 +212,8 @@ def _strays(bare: list[str], filled: list[int], known: set[int], heads: set[int]
     out = set()
     for k, i in rest:
         m = masked[i]
-        like = m in forms or any(abs(len(m) - len(f)) <= 2 and SequenceMatcher(None, m, f, False).ratio() >= 0.8 for f in forms)
+        # No more than 0.2 of a form and one character can be without a match, so no more of its characters can be missing.
+        like = m in forms or any(abs(len(m) - len(f)) <= 2 and len(set(f) - set(m)) <= 0.2 * len(f) + 1 and SequenceMatcher(None, m, f, False).ratio() >= 0.8 for f in forms)
         signature = k >= len(filled) - 2 and not breaks_in(k)
         if (like or m in again) and not signature:
             out.add(i)
