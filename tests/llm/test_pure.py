@@ -6,6 +6,7 @@ import random
 import unicodedata
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -154,6 +155,20 @@ def test_classifier_on_held_out_text():
     assert model.stretch("") is None
 
 
+def test_counts_of_garbled_text_equal_brute_force(monkeypatch):
+    monkeypatch.setattr(p7_encoding, "AT_ONCE", 20)
+    texts = ["证券公司应当报送", "Any holder’s “register” – naïve", "é", "\U00020000好\n好", "ÿ\x81", "あ한", "不計入"]
+    weights = dict.fromkeys(texts, 1) | {"不計入": 0, "é": 0}
+    count = lambda weight: p7_encoding._counts(*pd.concat(p7_encoding._tally(texts, weight)).to_numpy(np.int64).T)
+    got = p7_encoding.chain_counts(count(lambda t: 1) + count(lambda t: weights[t] - 1))
+    for row, chain in zip(got, ((), *p7_encoding.CHAINS), strict=True):
+        want = np.zeros(p7_encoding.BUCKETS, np.int64)
+        for t in texts:
+            data = np.frombuffer(f"\n{p7_encoding.garble(t, chain)}\n".encode(), np.uint8)
+            want += weights[t] * np.bincount(p7_encoding._bigrams(data), minlength=p7_encoding.BUCKETS)
+        assert (row == want).all(), chain
+
+
 def test_scan_furniture():
     body = ["证券公司应当及时核对账户并保存", "相关资料，不得拖延。", "基金管理人应当在十日内报送报", "告。"]
     lines = ["某某协会规则", *body, "- 3 -", "某某协会规则", *body, "- 4 -", "某某协会规贝", *body, "- 5 -"]

@@ -288,3 +288,11 @@ def test_forest_finds_planted_pairs(spark):
     ids = {r.key: r.id for r in known.collect()}
     found = {tuple(sorted((ids[r.a], ids[r.b]))) for r in p2_near.near_pairs(df, known).collect()}
     assert found <= planted and len(found) >= 0.99 * len(planted) and len(planted) > 300
+
+
+def test_encodings_are_learnt_from_every_value(spark):
+    text = [f"证券公司应当在十日内报送第{i}号资料" for i in range(2500)]
+    df = spark.createDataFrame([(str(i), "full_text", t) for i, t in enumerate(text)], "law_id string, field_name string, text string").repartition(3)
+    model = p7_encoding.fit(df)
+    assert model.text.single.sum() == sum(map(len, text)) and model.text.single[ord("证")] == 2500
+    assert (model.odds == p7_encoding.fitted(text).odds).all()
