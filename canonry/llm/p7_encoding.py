@@ -57,7 +57,7 @@ CHAINS = (
     ("utf-8", "mac-roman"), ("utf-8", "cp437"), ("utf-8", "cp850"), ("utf-8", "cp1250"), ("cp1252", "cp437"), ("cp1252", "cp850"), ("cp1252", "mac-roman"), ("mac-roman", "cp1252"),
     ("utf-8", "cp1252", "utf-8", "cp1252"), ("utf-8", "latin-1", "utf-8", "latin-1"), ("utf-8", "cp1252", "utf-8", "latin-1"),
 )
-_LOST = "�"
+_LOST, _ASCII = "�", "".join(map(chr, range(0x80)))
 #: Chains that make characters out of the bytes of several; of all others the pairs of characters are enough.
 JOINED = tuple(k for k, c in enumerate(CHAINS) if {"gb18030", "big5", "cp932", "euc-kr"} & set(c[1::2]))
 #: What stands before and behind a text among the pairs of characters; the bits of one in a pair.
@@ -82,6 +82,14 @@ def _encode(text: str, codec: str, errors: str) -> bytes:
         return text.translate(_CP1252_BACK).encode("latin-1", errors)
 
 
+def _encodable(text: str, codec: str) -> bool:
+    try:
+        _encode(text, codec, "strict")
+    except UnicodeError:
+        return False
+    return True
+
+
 def garble(text: str, chain: tuple[str, ...]) -> str:
     for written, taken in zip(chain[::2], chain[1::2], strict=True):
         text = _decode(text.encode(written, "replace"), taken)
@@ -296,7 +304,7 @@ class ChainModel:
 
     def stretch(self, text: str, best_of_all: bool = True) -> tuple[int, int, tuple[str, ...], str | None] | None:
         """Begin, end, chain and restored text (null where bytes are lost) of the garbled stretch
-        whose restoration gains most, or of the first one found, most odds first."""
+        whose restoration gains most, or of the first one found, the chain with most odds first."""
         data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
         if len(data) < 4 or text.isascii() or not (bits := _chains(text)):
             return None
@@ -305,27 +313,29 @@ class ChainModel:
         # No chain gains more anywhere than the best odds of these chains do, so only where these gain enough is anything to find.
         if bits not in self.most:
             self.most[bits] = self.odds[chains].max(axis=0)
-        found = []
         most = _gains(self.most[bits][None, grams])[0]
-        if most.max() >= ODDS:
-            # All gains are at 0 where the best one is, so the parts can be looked at beside one another.
-            at = np.concatenate([np.arange(begin, min(end, len(grams))) for begin, end in _risen(most)])
-            gains = _gains(self.odds[np.ix_(chains, grams[at])])
-            for n in np.flatnonzero(gains.max(axis=1) >= ODDS):
+        if most.max() < ODDS:
+            return None
+        # All gains are at 0 where the best one is, so the parts can be looked at beside one another.
+        at = np.concatenate([np.arange(begin, min(end, len(grams))) for begin, end in _risen(most)])
+        gains = _gains(self.odds[np.ix_(chains, grams[at])])
+        tops = gains.max(axis=1)
+        risen = [n for n in np.argsort(-tops, kind="stable") if tops[n] >= ODDS]
+        char = np.cumsum((data & 0xC0) != 0x80) - 1
+        best = None
+        for some in [risen] if best_of_all else [[n] for n in risen]:
+            found = []
+            for n in some:
                 for begin, end in _risen(gains[n]):
                     top = begin + int(np.argmax(gains[n, begin:end]))
                     found.append((-float(gains[n, top]), int(at[begin]), int(at[top - 1]) + 1, chains[n]))
-        if not found:
-            return None
-        at = np.cumsum((data & 0xC0) != 0x80) - 1
-        best = None
-        for _, begin, end, k in sorted(found):
-            a, b = self._widened(text, int(at[min(begin, len(at) - 1)]), int(at[min(end, len(at) - 1)]) + 1)
-            done = self._restored(text, a, b, CHAINS[k], best_of_all)
-            if done is not None and (best is None or done[0] > best[0]):
-                best = done
-                if not best_of_all:
-                    break
+            for _, begin, end, k in sorted(found):
+                a, b = self._widened(text, int(char[begin]), int(char[min(end, len(char) - 1)]) + 1)
+                done = self._restored(text, a, b, CHAINS[k], best_of_all)
+                if done is not None and (best is None or done[0] > best[0]):
+                    best = done
+                    if not best_of_all:
+                        return best[1:]
         return best and best[1:]
 
     def _widened(self, text: str, a: int, b: int) -> tuple[int, int]:
@@ -340,10 +350,10 @@ class ChainModel:
     def _restored(self, text: str, a: int, b: int, chain: tuple[str, ...], best_of_all: bool) -> tuple[float, int, int, tuple[str, ...], str | None] | None:
         """Gain, begin, end, chain and restored text of the best reading of a stretch, or of the first one, if it gains enough."""
         # A stretch begins with a character beyond ASCII, which stays what it is, and ends with one or with the one behind it.
-        while a < b and text[a] <= "\x7f":
-            a += 1
-        while b - a >= 2 and text[b - 1] <= "\x7f" and text[b - 2] <= "\x7f":
-            b -= 1
+        part = text[a:b].lstrip(_ASCII)
+        a, b = b - len(part), min(b, b - len(part) + len(part.rstrip(_ASCII)) + 1)
+        if a == b:
+            return None
         if b - a > 2 * TRIM:
             return self._read(text, a, b, chain, best_of_all)
         # Short ones come again and again; beside the stretch only a character on either side matters.
@@ -363,7 +373,7 @@ class ChainModel:
     def _read(self, text: str, a: int, b: int, chain: tuple[str, ...], best_of_all: bool) -> tuple[float, int, int, tuple[str, ...], str | None] | None:
         # The running likelihood of the stretch as it stands, in its place; a restoration can't gain more than that costs.
         stands, best = np.concatenate([[0.0], np.cumsum(self.text.log_p((text[a - 1] if a else "\n") + text[a : b + 1]))]), None
-        costs = -stands[-1] >= GAIN and -stands[b - a] >= GAIN - LOST_GAIN
+        costs = -stands[-1] >= GAIN and -stands[b - a] >= GAIN - LOST_GAIN and _encodable(text[a + TRIM - 1 : b - TRIM + 1], chain[-1])  # what is in every part
         for i in range(min(TRIM, b - a) if costs else 0):
             if text[a + i] <= "\x7f":
                 continue
