@@ -155,6 +155,34 @@ def test_classifier_on_held_out_text():
     assert model.stretch("") is None
 
 
+@pytest.mark.parametrize("together", [1, 40, 1 << 15])
+def test_texts_are_scanned_together(monkeypatch, together):
+    rng = random.Random(7)
+    parts = ["证券公司", "应当", "在十日内", "向协会", "报送", "资料", "基金", "管理人", "不得", "托管", "的", "及时", "并", "，", "。"]
+    make = lambda n: "".join(rng.choice(parts) for _ in range(n))
+    model = p7_encoding.fitted([make(40) for _ in range(200)])
+    texts = ["", "a", "é", "的", "ascii only", "Société Brévane’s rule", make(9) + "囧", "\n", "ï¿½", "锟斤拷锟斤拷", "\ufffd" * 5, "\U00020000", "\ud800é"]
+    for chain in p7_encoding.CHAINS:
+        texts += [make(20), make(3) + p7_encoding.garble(make(8), chain) + "\n" + make(60), p7_encoding.garble(make(2), chain), "Rule " * 30 + p7_encoding.garble("“naïve”", chain)]
+    one_by_one = {best: [model.stretch(t, best) for t in texts] for best in (False, True)}
+    assert sum(x is not None for x in one_by_one[False]) > 40
+    gains, calls = p7_encoding._gains, []
+    monkeypatch.setattr(p7_encoding, "_gains", lambda odds: calls.append(1) or gains(odds))
+    monkeypatch.setattr(p7_encoding, "TOGETHER", together)
+    for best, want in one_by_one.items():
+        assert model.stretches(texts, best) == want
+    calls.clear()
+    assert model.stretches([make(12) for _ in range(500)], False) == [None] * 500
+    assert together < 100 or len(calls) < 100  # not for each text
+
+
+def test_gain_of_some_pairs_equals_all():
+    text = p7_encoding.fitted(["基金管理人应当及时核对账户。" * 3, "the rule of any fund"]).text
+    for a, b in (("the rule", "thé rúle"), ("基金管理", "基佥管里"), ("a", "é"), ("same", "same")):
+        assert text.gain(a, b) == pytest.approx(text._log_p(a).sum() - text._log_p(b).sum())
+        assert (text.log_p(a) == text._log_p(a)).all() and (text.log_p(a) == text._log_p(a)).all()  # new, and remembered
+
+
 def test_counts_of_garbled_text_equal_brute_force(monkeypatch):
     monkeypatch.setattr(p7_encoding, "AT_ONCE", 20)
     texts = ["证券公司应当报送", "Any holder’s “register” – naïve", "é", "\U00020000好\n好", "ÿ\x81", "あ한", "不計入"]
