@@ -4,8 +4,9 @@ Pieces of the published pre-tokenisation pattern are merged by a segment tree ov
 byte positions. A leaf holds the rank of the pair that begins at its byte, the root the
 leftmost minimum; a merge takes the root and updates the leaves of the merged pair and of
 its live neighbours, each along one path to the root. Pieces of similar length go in step,
-one row each, so a level of all their trees is one array operation. Equal pieces of a
-batch are merged once, and frequent ones are remembered.
+one row each, so a level of all their trees is one array operation. Where two bytes stand
+beside one another in no token of the vocabulary, nothing merges across, so pieces are cut
+there; equal pieces, and equal parts of them, are merged once and remembered.
 
 Results in special cases: null and empty texts have the empty list; texts and pieces of
 any length are encoded whole; equal texts under other ids are rows of their own; special
@@ -17,11 +18,13 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from canonry.session import table
 
@@ -31,8 +34,10 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Cells (pieces times width) of the trees that go in step; bounds memory only.
 CELLS = 1 << 17
-#: Pieces remembered between batches; a bound of memory, the others are merged again.
+#: Pieces, and parts of them, remembered between batches; a bound of memory, the others are merged again.
 REMEMBERED = 150_000
+#: Characters of the texts that are encoded at once; bounds memory only.
+AT_ONCE = 1 << 20
 _DEAD = np.int64(1) << 62
 
 
@@ -141,37 +146,105 @@ def merge_rows(pieces: list[bytes], pair_rank: PairRanks) -> list[list[int]]:
     return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
+class Lists:
+    """Lists of ids, numbered, in one array."""
+
+    def __init__(self) -> None:
+        self.flat, self.begin, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, flat: np.ndarray, size: np.ndarray) -> None:
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
+        self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of lists one behind the other, and how many each has."""
+        size = self.size[numbers]
+        return self.flat[np.repeat(self.begin[numbers] - np.cumsum(size) + size, size) + np.arange(size.sum())], size
+
+
 class Encoder:
     """Encodes batches of texts and remembers pieces between them."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.pair_rank, self.known, self.find = PairRanks(ranks), {}, regex.compile(PATTERN).findall
+        self.pair_rank, self.find = PairRanks(ranks), regex.compile(PATTERN).findall
+        self.known, self.ids = {}, Lists()
+        self.known_parts, self.part_ids = {}, Lists()
+        self.joined = np.zeros(1 << 16, bool)  # two bytes that stand beside one another in a token
+        for t in ranks:
+            for x, y in pairwise(t):
+                self.joined[x << 8 | y] = True
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        split = [self.find(t) if t else [] for t in texts]
-        known = self.known
-        fresh = {p for s in split for p in s if p not in known}
-        if len(known) + len(fresh) > REMEMBERED:
-            self.known = known = {}
-            fresh = {p for s in split for p in s}
-        as_bytes = sorted(((p.encode("utf-8", "replace"), p) for p in fresh), key=lambda x: len(x[0]))
-        at = 0
-        while at < len(as_bytes):
-            w = 1 << max(1, (len(as_bytes[at][0]) - 1).bit_length())
+    def _numbers(self, parts: list[bytes]) -> np.ndarray:
+        """The numbers of parts, which are merged if they are new."""
+        known = self.known_parts
+        fresh = sorted({p for p in parts if p not in known}, key=len)
+        at, flat, size = 0, [], []
+        while at < len(fresh):
+            w = 1 << max(1, (len(fresh[at]) - 1).bit_length())
             end = at
             most = max(1, CELLS // w)
-            while end < len(as_bytes) and end - at < most and len(as_bytes[end][0]) <= w:
+            while end < len(fresh) and end - at < most and len(fresh[end]) <= w:
                 end += 1
-            for (_, p), ids in zip(as_bytes[at:end], merge_rows([b for b, _ in as_bytes[at:end]], self.pair_rank), strict=True):
-                known[p] = ids
+            for ids in merge_rows(fresh[at:end], self.pair_rank):
+                flat += ids
+                size.append(len(ids))
             at = end
-        out = []
-        for s in split:
-            ids: list[int] = []
-            for p in s:
-                ids += known[p]
-            out.append(ids)
-        return out
+        if fresh:
+            known.update(zip(fresh, range(len(known), len(known) + len(fresh)), strict=True))
+            self.part_ids.add(np.array(flat, np.int32), np.array(size, np.int64))
+        return np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+
+    def merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces one behind the other, and how many each has."""
+        if len(self.known_parts) > REMEMBERED:
+            self.known_parts, self.part_ids = {}, Lists()
+        raw = "".join(pieces).encode("utf-8", "replace")
+        data = np.frombuffer(raw, np.uint8)
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        first = np.flatnonzero((data & 0xC0) != 0x80)[np.cumsum(length) - length]
+        starts = np.ones(len(data), bool)
+        starts[1:] = ~self.joined[data[:-1].astype(np.uint16) << 8 | data[1:]]
+        starts[first] = True
+        begin = np.flatnonzero(starts)
+        size = np.diff(begin, append=len(data))
+        number = np.empty(len(begin), np.int64)
+        # Parts of up to eight bytes are compared as numbers, the few longer ones as bytes.
+        for n in range(1, 9):
+            if not len(where := np.flatnonzero(size == n)):
+                continue
+            cells = np.zeros((len(where), 8), np.uint8)
+            for i in range(n):
+                cells[:, i] = data[begin[where] + i]
+            keys = cells.view("<u8").ravel()
+            if n > 2:
+                distinct, of = np.unique(keys, return_inverse=True)
+            else:
+                seen = np.bincount(keys.astype(np.int64), minlength=1 << 16) > 0
+                distinct, of = np.flatnonzero(seen).astype("<u8"), (np.cumsum(seen) - 1)[keys]
+            parts = distinct.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].tobytes()
+            number[where] = self._numbers([parts[i : i + n] for i in range(0, len(parts), n)])[of]
+        where = np.flatnonzero(size > 8)
+        number[where] = self._numbers([raw[a : a + n] for a, n in zip(begin[where].tolist(), size[where].tolist(), strict=True)])
+        flat, counts = self.part_ids.take(number)
+        return flat, np.add.reduceat(counts, begin.searchsorted(first)) if len(pieces) else counts
+
+    def arrays(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts one behind the other, and where each text's begin and the last one's end."""
+        split = [self.find(t) if t else [] for t in texts]
+        fresh = {p for s in split for p in s if p not in self.known}
+        if len(self.known) + len(fresh) > REMEMBERED:
+            self.known, self.ids = {}, Lists()
+            fresh = {p for s in split for p in s}
+        pieces = list(fresh)
+        self.ids.add(*self.merged(pieces))
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
+        ends = np.cumsum([0, *map(len, split)])
+        flat, size = self.ids.take(np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, ends[-1]))
+        return flat, np.append(0, np.cumsum(size))[ends]
+
+    def __call__(self, texts: list[str]) -> list[list[int]]:
+        flat, at = self.arrays(texts)
+        return [ids.tolist() for ids in np.split(flat, at[1:-1])] if texts else []
 
 
 #: The encoder of this worker, by the digest of its vocabulary.
@@ -189,15 +262,22 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if digest not in _encoders:
             _encoders.clear()
             _encoders[digest] = Encoder(shared.value)
         encoder = _encoders[digest]
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch.doc_id, "ids": encoder(batch.text.fillna("").tolist())})
+            doc_id, texts, begin, size = batch.column("doc_id"), batch.column("text").to_pylist(), 0, 0
+            for end, text in enumerate(texts, 1):
+                size += len(text or "")
+                if size >= AT_ONCE or end == len(texts):
+                    flat, at = encoder.arrays(texts[begin:end])
+                    ids = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))
+                    yield pa.RecordBatch.from_arrays([doc_id.slice(begin, end - begin), ids], ["doc_id", "ids"])
+                    begin, size = end, 0
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, ids array<int>")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
 def p8_ids(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -33,6 +33,41 @@ def test_encoder_equals_public_library(ranks):
     assert own(texts) == [public.encode_ordinary(t) for t in texts]  # now from what is remembered
 
 
+def test_cut_pieces_equal_plain_merging(monkeypatch):
+    rng = random.Random(4)
+    ranks = {bytes([b]): b for b in range(256)}
+    alphabet = [bytes([b]) for b in sorted(set("ab 中丰é".encode()))]
+    while len(ranks) < 300:
+        made = rng.choice(alphabet) + rng.choice(alphabet)
+        if made not in ranks and len(made) < 12:
+            ranks[made] = len(ranks)
+            alphabet.append(made)
+
+    def plain(piece):
+        parts = [bytes([b]) for b in piece.encode()]
+        while (best := min((ranks.get(x + y, 1 << 30), i) for i, (x, y) in enumerate(zip(parts, [*parts[1:], b"\0\0\0"], strict=True))))[0] < 1 << 30:
+            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+        return [ranks[p] for p in parts]
+
+    own = p8_tokens.Encoder(ranks)
+    texts = ["", *("".join(rng.choice("ab 中丰é界\n") for _ in range(rng.randrange(60))) for _ in range(300)), "ab" * 300]
+    want = [[i for piece in own.find(t) for i in plain(piece)] for t in texts]
+    assert own(texts) == want and own(texts) == want and own([]) == []
+    for bound in (1, 50):  # forgotten in between
+        monkeypatch.setattr(p8_tokens, "REMEMBERED", bound)
+        assert [ids for t in texts for ids in own([t])] == want
+
+
+def test_equal_parts_of_pieces_are_merged_once(ranks, monkeypatch):
+    rng = random.Random(8)
+    merged, merge = [], p8_tokens.merge_rows
+    monkeypatch.setattr(p8_tokens, "merge_rows", lambda pieces, pair_rank: merged.extend(pieces) or merge(pieces, pair_rank))
+    own = p8_tokens.Encoder(ranks)
+    texts = ["".join(rng.choice("证券公司应当在十日内向协会报送资料") for _ in range(40)) for _ in range(500)]
+    assert sum(map(len, own(texts))) > 500 * 40
+    assert len(merged) == len(set(merged)) < 100
+
+
 @given(st.text(max_size=120), st.text(max_size=120))
 @settings(max_examples=60, deadline=None)
 def test_grams_jaccard_equals_sets(a, b):
