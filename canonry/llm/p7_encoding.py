@@ -199,20 +199,23 @@ class CleanText:
         """Log likelihood of each character of a text but the first, behind the one before it."""
         if len(text) >= SHORT:
             return self._log_p(text)
-        pairs = [text[i : i + 2] for i in range(len(text) - 1)]
+        return np.array(self._known_log_p([text[i : i + 2] for i in range(len(text) - 1)]), np.float64)
+
+    def _log_p(self, text: str) -> np.ndarray:
+        code = self.codes(text)
+        return self.pairs_log_p(code[:-1], code[1:])
+
+    def _known_log_p(self, pairs: list[str]) -> list[float]:
         try:
-            return np.array([self.known[p] for p in pairs], np.float64)
+            return [self.known[p] for p in pairs]
         except KeyError:
             if len(self.known) >= KNOWN_PAIRS:
                 self.known.clear()
-            log_p = self._log_p(text)
-            self.known.update(zip(pairs, log_p.tolist(), strict=True))
+            code = self.codes("".join(pairs))
+            log_p = self.pairs_log_p(code[::2], code[1::2]).tolist()
+            self.known.update(zip(pairs, log_p, strict=True))
             return log_p
 
-    def _log_p(self, text: str) -> np.ndarray:
-        code = self.codes(text)
-        return self.pairs_log_p(code[:-1], code[1:])
-
     def pairs_log_p(self, p: np.ndarray, c: np.ndarray) -> np.ndarray:
         pair, one, script = WEIGHTS
         of, small, (begins, among) = _scripts()
@@ -231,6 +234,8 @@ class CleanText:
         x, y = self.codes(text), self.codes(other)
         differs = x != y
         at = np.flatnonzero(differs[:-1] | differs[1:])
+        if len(at) < SHORT:
+            return sum(self._known_log_p([text[i : i + 2] for i in at.tolist()])) - sum(self._known_log_p([other[i : i + 2] for i in at.tolist()]))
         return float(self.pairs_log_p(x[at], x[at + 1]).sum() - self.pairs_log_p(y[at], y[at + 1]).sum())
 
 
@@ -245,10 +250,10 @@ def _gains(odds: np.ndarray) -> np.ndarray:
 
 def _risen(gain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begins and ends of the parts of a row of gains in which they reach ODDS; at the end they are at 0 again, or it is the row's."""
-    zero, high = np.append(np.flatnonzero(gain <= 0), len(gain)), np.flatnonzero(gain >= ODDS)
-    behind = zero.searchsorted(high)
-    behind = behind[np.diff(behind, prepend=0) > 0]
-    return zero[behind - 1], zero[behind]
+    edge = np.flatnonzero(np.diff(gain > 0))
+    begins, ends = edge[::2], np.append(edge[1::2] + 1, len(gain))[: (len(edge) + 1) // 2]
+    high = np.maximum.reduceat(gain, begins) >= ODDS
+    return begins[high], ends[high]
 
 
 class Counts(NamedTuple):
@@ -266,7 +271,7 @@ class Counts(NamedTuple):
 
 def _byte_pairs(texts: list[str]) -> np.ndarray:
     data = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-8", "replace"), np.uint8)
-    return sum(np.bincount(data[i : i + (len(data) - i) // 2 * 2].view(">u2"), minlength=1 << 16) for i in (0, 1))
+    return sum(np.bincount(data[i : i + (len(data) - i) // 2 * 2].view("<u2"), minlength=1 << 16) for i in (0, 1)).reshape(256, 256).T.ravel()
 
 
 def _tally(texts: Iterable[str], weight: Callable[[str], int]) -> Iterator[pd.DataFrame]:
